@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The lake is rebuilt by a daily batch; the source system has no stream,
+watermark, event-time window or state, so there is nothing to express with
+Structured Streaming here.  Every job in ``strata.plans`` is a batch
+DataFrame plan.
+"""
