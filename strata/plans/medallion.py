@@ -110,7 +110,7 @@ class Lake:
         sources: Mapping[str, DataFrame],
         pinned: Mapping[str, DataFrame] | None = None,
     ):
-        self.sources = dict(sources)
+        self.sources = sources
         # `pinned` models are already materialized (e.g. read back from Parquet)
         self._memo: dict[str, DataFrame] = dict(pinned or {})
 

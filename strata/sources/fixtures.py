@@ -10,6 +10,8 @@ filters into the scans of whatever query uses them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,9 +36,12 @@ class TestTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._read[name]
 
 
 def _purchase_ts(orderdate: Column, orderkey: Column) -> Column:
@@ -198,10 +203,34 @@ ADAPTERS = {
 }
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+class RawTables(Mapping[str, DataFrame]):
+    """The nine raw tables of one test folder, each defined on first use.
+
+    Defining a DataFrame already costs an analysis pass on the driver, so a
+    query that touches two raw tables only pays for those two.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._tables = TestTables(spark, sf_dir)
+        self._defined: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in ADAPTERS:
+            raise KeyError(name)
+        if name not in self._defined:
+            self._defined[name] = ADAPTERS[name](self._tables)
+        return self._defined[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(RAW_TABLES)
+
+    def __len__(self) -> int:
+        return len(RAW_TABLES)
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     """The nine raw tables of the lake, derived lazily from one test folder."""
-    t = TestTables(spark, sf_dir)
-    return {name: ADAPTERS[name](t) for name in RAW_TABLES}
+    return RawTables(spark, sf_dir)
 
 
 def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
