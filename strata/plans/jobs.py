@@ -86,6 +86,5 @@ def star_roundtrip(spark: SparkSession, raw: Mapping[str, DataFrame]) -> DataFra
 
 
 def medallion_build(spark: SparkSession, raw: Mapping[str, DataFrame], layer: str | None = None):
-    """Register the raw sources, then materialize the 26 models (or one layer)."""
-    root = register_lake(spark, raw, with_star=False)
-    return medallion.build(spark, catalog_sources(spark), f"{root}/lake", layer=layer)
+    """Materialize the 26 models (or one layer) from the raw source DataFrames."""
+    return medallion.build(spark, raw, f"{run_dir(spark, 'medallion')}/lake", layer=layer)

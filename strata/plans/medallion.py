@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import union_all
 from strata.plans import models as m
+from strata.plans.parallel import DEFAULT_THREADS, run_all
 
 SOURCE = "source:"
 LAYERS = ("bronze", "silver", "gold")
@@ -141,38 +142,54 @@ def build(
     root: str,
     layer: str | None = None,
     databases: Mapping[str, str] | None = None,
+    threads: int = DEFAULT_THREADS,
 ) -> DataFrame:
     """Materialize the models (optionally one layer) and return their inventory.
 
     Each model is written with ``mode("overwrite")`` as an external Parquet
     table at ``{root}/{layer}/{alias}`` and registered as ``{layer}.{alias}``
-    (a full rebuild per run, like a ``table`` materialization).
+    (a full rebuild per run, like a ``table`` materialization).  Layers run
+    in order; the models of one layer depend only on earlier layers, so
+    they are written side by side from ``threads`` driver threads.
     """
     if layer is not None and layer not in LAYERS:
         raise ValueError(f"unknown layer {layer!r}; expected one of {LAYERS}")
     built: list[Model] = []
-    for spec in MODELS:
-        if layer is not None and spec.layer != layer:
+    for current in LAYERS:
+        if layer is not None and current != layer:
             continue
-        args = []
-        for ref in spec.inputs:
-            if ref.startswith(SOURCE):
-                args.append(sources[ref[len(SOURCE) :]])
-            else:
-                args.append(spark.table(table_name(BY_NAME[ref], databases)))
-        db = (databases or {}).get(spec.layer, spec.layer)
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-        (
-            spec.fn(*args)
-            .write.mode("overwrite")
-            .format("parquet")
-            .option("path", f"{root}/{spec.layer}/{spec.alias}")
-            .saveAsTable(table_name(spec, databases))
+        specs = [spec for spec in MODELS if spec.layer == current]
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {(databases or {}).get(current, current)}")
+        run_all(
+            [lambda spec=spec: _write_model(spark, spec, sources, root, databases) for spec in specs],
+            threads,
         )
-        built.append(spec)
+        built += specs
     return inventory(spark, built, databases)
 
 
+def _write_model(
+    spark: SparkSession,
+    spec: Model,
+    sources: Mapping[str, DataFrame],
+    root: str,
+    databases: Mapping[str, str] | None,
+) -> None:
+    args = []
+    for ref in spec.inputs:
+        if ref.startswith(SOURCE):
+            args.append(sources[ref[len(SOURCE) :]])
+        else:
+            args.append(spark.table(table_name(BY_NAME[ref], databases)))
+    (
+        spec.fn(*args)
+        .write.mode("overwrite")
+        .format("parquet")
+        .option("path", f"{root}/{spec.layer}/{spec.alias}")
+        .saveAsTable(table_name(spec, databases))
+    )
+
+
 def inventory(
     spark: SparkSession, built: list[Model], databases: Mapping[str, str] | None = None
 ) -> DataFrame:

@@ -1,0 +1,26 @@
+"""Independent actions submitted from several driver threads.
+
+Writing nine small tables one after another leaves most of a cluster idle
+while each job's few tasks run; submitting independent writes from a few
+driver threads lets Spark's scheduler run their tasks side by side (the
+model builder of the original pipeline does the same with two threads).
+Only actions without data dependencies between them are passed here.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
+
+T = TypeVar("T")
+
+DEFAULT_THREADS = 4
+
+
+def run_all(actions: Sequence[Callable[[], T]], threads: int = DEFAULT_THREADS) -> list[T]:
+    """Run ``actions`` (no dependencies between them); results in input order."""
+    if threads <= 1 or len(actions) <= 1:
+        return [action() for action in actions]
+    with ThreadPoolExecutor(max_workers=min(threads, len(actions))) as pool:
+        return list(pool.map(lambda action: action(), actions))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.plans import charts, jobs, kpis, medallion, quality
 from strata.plans.medallion import Lake
+from strata.session import run_dir
 from strata.sources import catalog
 from strata.sources.fixtures import RAW_TABLES, raw_tables
 
@@ -75,9 +76,9 @@ def medallion_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def medallion_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze, then silver alone: the silver run reads bronze from the catalog."""
-    jobs.medallion_build(spark, raw_tables(spark, sf_dir), layer="bronze")
-    root = jobs.run_dir(spark, "layer")
-    return medallion.build(spark, jobs.catalog_sources(spark), root, layer="silver")
+    raw = raw_tables(spark, sf_dir)
+    jobs.medallion_build(spark, raw, layer="bronze")
+    return medallion.build(spark, raw, run_dir(spark, "layer"), layer="silver")
 
 
 def star_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from strata.plans.parallel import run_all
 from strata.sources.schemas import LANDING_FILES, RETAIL_SCHEMAS, LandingFile
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -49,11 +50,17 @@ def land_tables(
     tables: Mapping[str, DataFrame],
     landing_dir: str,
     files: Sequence[LandingFile] = LANDING_FILES,
+    threads: int = 4,
 ) -> None:
     """Write each table as its landing CSV under ``landing_dir``."""
-    for f in files:
-        if f.table in tables:
-            write_csv(tables[f.table], f"{landing_dir}/{f.file_name}")
+    run_all(
+        [
+            lambda f=f: write_csv(tables[f.table], f"{landing_dir}/{f.file_name}")
+            for f in files
+            if f.table in tables
+        ],
+        threads,
+    )
 
 
 def ingest(
@@ -62,6 +69,7 @@ def ingest(
     raw_dir: str,
     schemas: Mapping[str, StructType] = RETAIL_SCHEMAS,
     files: Sequence[LandingFile] = LANDING_FILES,
+    threads: int = 4,
 ) -> DataFrame:
     """Convert every landing CSV to a Parquet table ``{raw_dir}/{table}``.
 
@@ -75,7 +83,7 @@ def ingest(
         if _is_missing(err):
             raise FileNotFoundError(f"landing directory not found: {landing_dir}") from err
         raise
-    loaded: list[LandingFile] = []
+    present: list[tuple[LandingFile, DataFrame]] = []
     for f in files:
         try:
             df = read_csv(spark, f"{landing_dir}/{f.file_name}", schemas[f.table], f.multiline)
@@ -83,8 +91,12 @@ def ingest(
             if _is_missing(err):
                 continue  # skip an absent file
             raise
-        df.write.mode("overwrite").parquet(f"{raw_dir}/{f.table}")
-        loaded.append(f)
+        present.append((f, df))
+    run_all(
+        [lambda f=f, df=df: df.write.mode("overwrite").parquet(f"{raw_dir}/{f.table}") for f, df in present],
+        threads,
+    )
+    loaded = [f for f, _ in present]
     if not loaded:
         raise FileNotFoundError(f"no landing file found in {landing_dir}")
     frames = [

@@ -43,12 +43,21 @@ def test_models_are_in_dependency_order():
 def test_layer_build_reads_upstream_from_catalog(spark, sf_dir):
     inv = jobs.medallion_build(spark, raw_tables(spark, sf_dir), layer="bronze")
     assert inv.count() == 9
-    silver = medallion.build(spark, jobs.catalog_sources(spark), jobs.run_dir(spark, "t"), layer="silver")
+    # no sources at all: every silver input must come from the bronze tables
+    silver = medallion.build(spark, {}, jobs.run_dir(spark, "t"), layer="silver")
     rows = {r.model: r.row_count for r in silver.collect()}
     assert set(rows) == {m.name for m in medallion.MODELS if m.layer == "silver"}
     assert rows["silver_order_reviews"] == spark.table("silver.order_reviews").count()
 
 
+def test_layers_only_depend_on_earlier_layers():
+    rank = {layer: i for i, layer in enumerate(medallion.LAYERS)}
+    for spec in medallion.MODELS:
+        for ref in spec.inputs:
+            if not ref.startswith(medallion.SOURCE):
+                assert rank[medallion.BY_NAME[ref].layer] < rank[spec.layer], (spec.name, ref)
+
+
 def test_unknown_layer_rejected(spark):
     with pytest.raises(ValueError):
         medallion.build(spark, {}, "unused", layer="platinum")
