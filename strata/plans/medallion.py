@@ -115,6 +115,21 @@ class Lake:
         # `pinned` models are already materialized (e.g. read back from Parquet)
         self._memo: dict[str, DataFrame] = dict(pinned or {})
 
+    @classmethod
+    def from_catalog(
+        cls,
+        spark: SparkSession,
+        databases: Mapping[str, str] | None = None,
+        layers: tuple[str, ...] = ("silver", "gold"),
+    ) -> Lake:
+        """Models read from materialized tables: KPIs then scan gold, nothing upstream."""
+        pinned = {}
+        for spec in MODELS:
+            name = table_name(spec, databases)
+            if spec.layer in layers and spark.catalog.tableExists(name):
+                pinned[spec.name] = spark.table(name)
+        return cls({}, pinned)
+
     def source(self, table: str) -> DataFrame:
         return self.sources[table]
 

@@ -78,3 +78,17 @@ def test_catalog_lists_all_registered_tables(spark, sf_dir):
     assert {(catalog.STAR_DATABASE, t) for t in medallion.STAR_TABLES} <= names
     orders = catalog.source(spark, "orders")
     assert orders.agg(F.count("*")).first()[0] == raw_tables(spark, sf_dir)["orders"].count()
+
+
+def test_kpis_over_materialized_gold_equal_lazy_kpis(spark, sf_dir):
+    from strata.plans import kpis
+
+    jobs.medallion_build(spark, raw_tables(spark, sf_dir))
+    built = medallion.Lake.from_catalog(spark)
+    lazy = medallion.Lake(raw_tables(spark, sf_dir))
+    for fn in (kpis.monthly_revenue, kpis.review_by_category, kpis.delivery_by_state):
+        assert sorted(map(tuple, fn(built).collect()), key=str) == sorted(
+            map(tuple, fn(lazy).collect()), key=str
+        )
+    plan = kpis.monthly_revenue(built)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lineitem" not in plan  # reads the gold tables only
