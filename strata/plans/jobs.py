@@ -9,7 +9,7 @@ re-run (or a retried stage after a lost executor) replaces its output.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from strata.operators import union_all
 from strata.plans import medallion
 from strata.plans.medallion import STAR_TABLES, Lake
+from strata.plans.parallel import run_all
 from strata.session import run_dir
 from strata.sources import catalog, csv, lake
 from strata.sources.fixtures import RAW_TABLES
@@ -41,28 +42,46 @@ def ingest_tables(
     return f"{root}/raw", registry
 
 
-def write_star(spark: SparkSession, sources: Mapping[str, DataFrame], star_dir: str) -> dict[str, str]:
+def _stage_orders(sources: Mapping[str, DataFrame], star_dir: str) -> Callable[[], None]:
+    """The action that writes ``silver_orders`` once for the star's five consumers."""
+    return lambda: lake.write_table(Lake(sources).model("silver_orders"), f"{star_dir}/_stage/silver_orders")
+
+
+def write_star(
+    spark: SparkSession,
+    sources: Mapping[str, DataFrame],
+    star_dir: str,
+    staged: bool = False,
+) -> dict[str, str]:
     """Build and write the nine star tables (K2).
 
-    ``silver_orders`` feeds five of them; it is written once and read back,
-    so the order enrichment runs once instead of once per fact.
+    ``silver_orders`` feeds five of them; it is written once (unless the
+    caller already ``staged`` it) and read back, so the order enrichment runs
+    once instead of once per fact.
     """
-    stage = f"{star_dir}/_stage/silver_orders"
-    lake.write_table(Lake(sources).model("silver_orders"), stage)
-    pinned = Lake(sources, pinned={"silver_orders": spark.read.parquet(stage)})
+    if not staged:
+        _stage_orders(sources, star_dir)()
+    pinned = Lake(sources, pinned={"silver_orders": spark.read.parquet(f"{star_dir}/_stage/silver_orders")})
     return lake.write_tables({t: pinned.model(t) for t in STAR_TABLES}, star_dir)
 
 
 def register_lake(
     spark: SparkSession, raw: Mapping[str, DataFrame], with_star: bool = True
 ) -> str:
-    """Write raw (and star) tables and register them in the catalog (K7–K9)."""
+    """Write raw (and star) tables and register them in the catalog (K7–K9).
+
+    The raw writes and the staged order enrichment of the star are
+    independent and run side by side; the star tables follow.
+    """
     root = run_dir(spark, "catalog")
-    raw_locations = lake.write_tables(dict(raw), f"{root}/raw")
+    raw_locations = {name: f"{root}/raw/{name}" for name in raw}
+    actions = [lambda n=name: lake.write_table(raw[n], raw_locations[n]) for name in raw]
+    if with_star:
+        actions.append(_stage_orders(raw, f"{root}/star"))
+    run_all(actions)
     catalog.register(spark, catalog.RAW_DATABASE, raw_locations)
     if with_star:
-        written = lake.read_tables(spark, f"{root}/raw", list(raw_locations))
-        star_locations = write_star(spark, written, f"{root}/star")
+        star_locations = write_star(spark, raw, f"{root}/star", staged=True)
         catalog.register(spark, catalog.STAR_DATABASE, star_locations)
     return root
 

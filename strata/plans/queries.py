@@ -66,7 +66,8 @@ def catalog_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    jobs.register_lake(spark, raw_tables(spark, sf_dir), with_star=False)
+    raw = raw_tables(spark, sf_dir)
+    jobs.register_lake(spark, {"orders": raw["orders"]}, with_star=False)
     return catalog.source(spark, "orders")
 
 

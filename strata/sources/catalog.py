@@ -37,8 +37,13 @@ def register(spark: SparkSession, database: str, locations: Mapping[str, str]) -
 
 
 def list_tables(spark: SparkSession, databases: Sequence[str]) -> DataFrame:
-    """``SHOW TABLES IN`` each database, stacked."""
-    return union_all([spark.sql(f"SHOW TABLES IN {db}") for db in databases])
+    """``SHOW TABLES IN`` each database, stacked.
+
+    ``SHOW TABLES`` also lists the session's temporary views under every
+    database; only the registered tables of the database are kept.
+    """
+    listed = union_all([spark.sql(f"SHOW TABLES IN {db}") for db in databases])
+    return listed.where(~F.col("isTemporary"))
 
 
 def table_counts(spark: SparkSession, database: str, tables: Sequence[str]) -> DataFrame:
