@@ -15,7 +15,7 @@ integer ratios rounded half-up (``rounded_ratio``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import (
@@ -220,19 +220,21 @@ def total_revenue(lake: Lake) -> DataFrame:
 
 
 def report_monthly_revenue(lake: Lake) -> DataFrame:
-    """Report lines: each month's revenue as ``1,234.56`` text, then the total."""
+    """Report lines: each month's revenue as ``1,234.56`` text, then the total.
+
+    The facts are aggregated once to months; the total is a ``rollup`` over
+    those few month rows, so the fact table is scanned a single time.
+    """
     by_month = _sales_period(lake).groupBy(_month_of("purchase_date").alias("m")).agg(
         money_sum(REVENUE).alias("rev")
     )
-    months = by_month.select(
-        F.date_format("m", "yyyy-MM").alias("label"),
+    lines = by_month.rollup("m").agg(F.sum("rev").alias("rev"), F.grouping("m").alias("is_total"))
+    return lines.select(
+        F.when(F.col("is_total") == 1, F.lit("Total revenue"))
+        .otherwise(F.date_format("m", "yyyy-MM"))
+        .alias("label"),
         thousands(F.round("rev", 2), 2).alias("revenue_brl"),
     )
-    total = by_month.agg(
-        F.lit("Total revenue").alias("label"),
-        thousands(F.round(F.sum("rev"), 2), 2).alias("revenue_brl"),
-    )
-    return months.unionByName(total)
 
 
 def category_top10(lake: Lake, k: int = 10) -> DataFrame:
@@ -305,12 +307,19 @@ def payment_totals(lake: Lake) -> DataFrame:
 
 
 def payment_recent_months(lake: Lake, months: int = 6) -> DataFrame:
-    """Month × type values for the last ``months`` distinct months."""
+    """Month × type values for the last ``months`` distinct months.
+
+    The month × type aggregate is small (calendar months × payment types),
+    so the recent months are picked with a ``dense_rank`` over it instead of
+    aggregating the payments a second time for a semi-join.
+    """
     pay = _payments_by_month(lake)
-    recent = top_k(pay.select("purchase_month").distinct(), months, [F.desc("purchase_month")])
-    # `recent` holds at most `months` rows: broadcasting it is bounded by construction
-    return pay.join(F.broadcast(recent), "purchase_month", "left_semi").orderBy(
-        "purchase_month", "payment_type"
+    recency = F.dense_rank().over(Window.orderBy(F.desc("purchase_month")))
+    return (
+        pay.withColumn("__recency", recency)
+        .where(F.col("__recency") <= months)
+        .drop("__recency")
+        .orderBy("purchase_month", "payment_type")
     )
 
 

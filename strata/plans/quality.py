@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import rounded_ratio
-from strata.operators import distinct_key_count, duplicate_count, null_counts, union_all
+from strata.operators import distinct_key_count, null_counts, union_all
 from strata.plans.medallion import Lake
 from strata.plans.models import GEO_COLUMNS
 
@@ -93,18 +93,31 @@ def table_inventory(lake: Lake) -> DataFrame:
 
 
 def duplicate_keys(lake: Lake) -> DataFrame:
-    """Duplicate counts per key, NULL keys counted like values."""
-    return union_all(
-        [
-            duplicate_count(_raw(lake, table), list(cols)).select(
+    """Duplicate counts per key, NULL keys counted like values.
+
+    The checks of one table share a single aggregation (one scan); the
+    result row is unpivoted into one row per check.
+    """
+    frames = []
+    tables = list(dict.fromkeys(t for t, _, _, _ in DUPLICATE_CHECKS))
+    for table in tables:
+        checks = [(i, cols, label, action) for i, (t, cols, label, action) in enumerate(DUPLICATE_CHECKS) if t == table]
+        df = _raw(lake, table)
+        counts = df.agg(
+            *[(F.count(F.lit(1)) - distinct_key_count(list(cols))).alias(f"c{i}") for i, cols, _, _ in checks]
+        )
+        rows = counts.unpivot([], [f"c{i}" for i, _, _, _ in checks], "check", "duplicates")
+        label = F.create_map(*[x for i, _, lbl, _ in checks for x in (F.lit(f"c{i}"), F.lit(lbl))])
+        action = F.create_map(*[x for i, _, _, act in checks for x in (F.lit(f"c{i}"), F.lit(act))])
+        frames.append(
+            rows.select(
                 F.lit(table).alias("table_name"),
-                F.lit(label).alias("key_name"),
+                label[F.col("check")].alias("key_name"),
                 "duplicates",
-                F.lit(action).alias("action"),
+                action[F.col("check")].alias("action"),
             )
-            for table, cols, label, action in DUPLICATE_CHECKS
-        ]
-    )
+        )
+    return union_all(frames)
 
 
 def dedupe_effect(lake: Lake) -> DataFrame:
@@ -130,19 +143,23 @@ def dedupe_effect(lake: Lake) -> DataFrame:
 
 
 def null_profile(lake: Lake) -> DataFrame:
-    """NULL count and percentage (1 decimal, half-up) of the reported columns."""
+    """NULL count and percentage (1 decimal, half-up) of the reported columns.
+
+    One aggregation per table (a single scan for all its columns), turned
+    into one row per column with ``unpivot``.
+    """
     frames = []
     for table, cols in NULL_CHECKS:
         counts = null_counts(_raw(lake, table), list(cols))
-        for c in cols:
-            frames.append(
-                counts.select(
-                    F.lit(table).alias("table_name"),
-                    F.lit(c).alias("column_name"),
-                    F.col(c).alias("nulls"),
-                    rounded_ratio(F.col(c) * 100, "__rows", 1).alias("pct"),
-                )
+        rows = counts.unpivot(["__rows"], list(cols), "column_name", "nulls")
+        frames.append(
+            rows.select(
+                F.lit(table).alias("table_name"),
+                "column_name",
+                "nulls",
+                rounded_ratio(F.col("nulls") * 100, "__rows", 1).alias("pct"),
             )
+        )
     return union_all(frames)
 
 
@@ -167,17 +184,16 @@ def _unique_test(lake: Lake, model: str, column: str) -> DataFrame:
     ).withColumn("status", _status("failures"))
 
 
-def _not_null_test(lake: Lake, model: str, column: str) -> DataFrame:
-    return (
-        lake.model(model)
-        .agg(
-            F.lit("not_null").alias("test_name"),
-            F.lit(model).alias("model"),
-            F.lit(column).alias("column_name"),
-            F.count_if(F.col(column).isNull()).alias("failures"),
-        )
-        .withColumn("status", _status("failures"))
-    )
+def _not_null_tests(lake: Lake, model: str, columns: list[str]) -> DataFrame:
+    """All not-null tests of one model in a single aggregation, one row per column."""
+    counts = lake.model(model).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    rows = counts.unpivot([], columns, "column_name", "failures")
+    return rows.select(
+        F.lit("not_null").alias("test_name"),
+        F.lit(model).alias("model"),
+        "column_name",
+        "failures",
+    ).withColumn("status", _status("failures"))
 
 
 def test_unique(lake: Lake) -> DataFrame:
@@ -187,9 +203,11 @@ def test_unique(lake: Lake) -> DataFrame:
 
 
 def test_not_null(lake: Lake) -> DataFrame:
-    return union_all(
-        [_not_null_test(lake, m, c) for m, c, tests in DATA_TESTS if "not_null" in tests]
-    )
+    by_model: dict[str, list[str]] = {}
+    for m, c, tests in DATA_TESTS:
+        if "not_null" in tests:
+            by_model.setdefault(m, []).append(c)
+    return union_all([_not_null_tests(lake, m, cols) for m, cols in by_model.items()])
 
 
 def test_summary(lake: Lake) -> DataFrame:
