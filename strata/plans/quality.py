@@ -167,20 +167,25 @@ def _status(failures: str) -> F.Column:
     return F.when(F.col(failures) == 0, "pass").otherwise("fail")
 
 
-def _unique_test(lake: Lake, model: str, column: str) -> DataFrame:
-    """Keys that occur more than once (NULLs ignored); one row with the failure count."""
-    failing = (
-        lake.model(model)
-        .where(F.col(column).isNotNull())
-        .groupBy(column)
-        .count()
-        .where(F.col("count") > 1)
+def _key_tests(lake: Lake, model: str, column: str, tests: tuple[str, ...]) -> DataFrame:
+    """``unique`` (and ``not_null``) of one key column from a single ``groupBy(key)``.
+
+    Failing unique keys are the non-NULL keys counted more than once; the
+    NULL key's group size is the not-null failure count, so both tests share
+    one aggregation (partial on the map side, so a hot key is collapsed early).
+    """
+    per_key = lake.model(model).groupBy(column).count()
+    key = F.col(column)
+    counts = per_key.agg(
+        F.count_if(key.isNotNull() & (F.col("count") > 1)).alias("unique"),
+        F.coalesce(F.sum(F.when(key.isNull(), F.col("count"))), F.lit(0)).cast("long").alias("not_null"),
     )
-    return failing.agg(
-        F.lit("unique").alias("test_name"),
+    rows = counts.unpivot([], list(tests), "test_name", "failures")
+    return rows.select(
+        "test_name",
         F.lit(model).alias("model"),
         F.lit(column).alias("column_name"),
-        F.count(F.lit(1)).alias("failures"),
+        "failures",
     ).withColumn("status", _status("failures"))
 
 
@@ -197,9 +202,7 @@ def _not_null_tests(lake: Lake, model: str, columns: list[str]) -> DataFrame:
 
 
 def test_unique(lake: Lake) -> DataFrame:
-    return union_all(
-        [_unique_test(lake, m, c) for m, c, tests in DATA_TESTS if "unique" in tests]
-    )
+    return union_all([_key_tests(lake, m, c, ("unique",)) for m, c, tests in DATA_TESTS if "unique" in tests])
 
 
 def test_not_null(lake: Lake) -> DataFrame:
@@ -211,4 +214,13 @@ def test_not_null(lake: Lake) -> DataFrame:
 
 
 def test_summary(lake: Lake) -> DataFrame:
-    return test_unique(lake).unionByName(test_not_null(lake))
+    """All ten tests; a key column with both tests is aggregated once."""
+    frames = []
+    not_null_only: dict[str, list[str]] = {}
+    for m, c, tests in DATA_TESTS:
+        if "unique" in tests:
+            frames.append(_key_tests(lake, m, c, tuple(t for t in ("unique", "not_null") if t in tests)))
+        elif "not_null" in tests:
+            not_null_only.setdefault(m, []).append(c)
+    frames += [_not_null_tests(lake, m, cols) for m, cols in not_null_only.items()]
+    return union_all(frames)

@@ -212,3 +212,24 @@ def test_missing_landing_file_is_skipped_missing_dir_fails(spark, scratch):
     assert [(r.table_name, r.row_count) for r in reg] == [("category_translation", 1)]
     with pytest.raises(FileNotFoundError):
         csv.ingest(spark, f"{scratch}/nowhere", f"{scratch}/raw2", RETAIL_SCHEMAS, files)
+
+
+def test_key_tests_ignore_null_for_unique_and_count_it_for_not_null(spark):
+    customers = frame(
+        spark,
+        "customers",
+        [("c1", "u", "1", "x", "SP"), ("c1", "u", "1", "x", "SP"), (None, "u", "1", "x", "SP"),
+         (None, "u", "1", "x", "SP"), ("c2", "u", "1", "x", "RJ")],
+    )
+    lake = Lake({"customers": customers})
+    lake._memo.update({m: spark.createDataFrame([], "order_id string, revenue double, seller_id string, "
+                                                    "product_id string")
+                       for m in ("fact_sales", "fact_orders", "dim_seller", "dim_product")})
+    lake._memo["dim_seller"] = spark.createDataFrame([("s1",)], "seller_id string")
+    lake._memo["dim_product"] = spark.createDataFrame([("p1",)], "product_id string")
+    got = {(r.test_name, r.model, r.column_name): (r.failures, r.status)
+           for r in quality.test_summary(lake).collect()}
+    assert got[("unique", "dim_customer", "customer_id")] == (1, "fail")   # c1 twice; NULLs ignored
+    assert got[("not_null", "dim_customer", "customer_id")] == (2, "fail")
+    assert got[("unique", "dim_seller", "seller_id")] == (0, "pass")
+    assert len(got) == 10
