@@ -221,12 +221,16 @@ def test_key_tests_ignore_null_for_unique_and_count_it_for_not_null(spark):
         [("c1", "u", "1", "x", "SP"), ("c1", "u", "1", "x", "SP"), (None, "u", "1", "x", "SP"),
          (None, "u", "1", "x", "SP"), ("c2", "u", "1", "x", "RJ")],
     )
-    lake = Lake({"customers": customers})
-    lake._memo.update({m: spark.createDataFrame([], "order_id string, revenue double, seller_id string, "
-                                                    "product_id string")
-                       for m in ("fact_sales", "fact_orders", "dim_seller", "dim_product")})
-    lake._memo["dim_seller"] = spark.createDataFrame([("s1",)], "seller_id string")
-    lake._memo["dim_product"] = spark.createDataFrame([("p1",)], "product_id string")
+    empty = "order_id string, revenue double"
+    lake = Lake(
+        {"customers": customers},
+        pinned={
+            "fact_sales": spark.createDataFrame([], empty),
+            "fact_orders": spark.createDataFrame([], empty),
+            "dim_seller": spark.createDataFrame([("s1",)], "seller_id string"),
+            "dim_product": spark.createDataFrame([("p1",)], "product_id string"),
+        },
+    )
     got = {(r.test_name, r.model, r.column_name): (r.failures, r.status)
            for r in quality.test_summary(lake).collect()}
     assert got[("unique", "dim_customer", "customer_id")] == (1, "fail")   # c1 twice; NULLs ignored
