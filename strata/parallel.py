@@ -15,7 +15,7 @@ from typing import TypeVar
 
 T = TypeVar("T")
 
-DEFAULT_THREADS = 4
+DEFAULT_THREADS = 8
 
 
 def run_all(actions: Sequence[Callable[[], T]], threads: int = DEFAULT_THREADS) -> list[T]:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from strata.operators import union_all
 from strata.plans import medallion
 from strata.plans.medallion import STAR_TABLES, Lake
-from strata.plans.parallel import run_all
+from strata.parallel import run_all
 from strata.session import run_dir
 from strata.sources import catalog, csv, lake
 from strata.sources.fixtures import RAW_TABLES

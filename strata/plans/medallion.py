@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import union_all
 from strata.plans import models as m
-from strata.plans.parallel import DEFAULT_THREADS, run_all
+from strata.parallel import DEFAULT_THREADS, run_all
 
 SOURCE = "source:"
 LAYERS = ("bronze", "silver", "gold")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.plans.parallel import run_all
+from strata.parallel import DEFAULT_THREADS, run_all
 from strata.sources.schemas import LANDING_FILES, RETAIL_SCHEMAS, LandingFile
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -29,9 +29,19 @@ CSV_OPTIONS = {
 }
 
 
+# Landing files are cut at this many records: a multi-line CSV file is read
+# by a single task, so many moderate files keep the ingest parallel.
+LANDING_RECORDS_PER_FILE = 100_000
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Land a DataFrame as a headed, RFC 4180 quoted CSV dataset."""
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    (
+        df.write.mode("overwrite")
+        .options(**CSV_OPTIONS)
+        .option("maxRecordsPerFile", LANDING_RECORDS_PER_FILE)
+        .csv(path)
+    )
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool = False) -> DataFrame:
@@ -50,7 +60,7 @@ def land_tables(
     tables: Mapping[str, DataFrame],
     landing_dir: str,
     files: Sequence[LandingFile] = LANDING_FILES,
-    threads: int = 4,
+    threads: int = DEFAULT_THREADS,
 ) -> None:
     """Write each table as its landing CSV under ``landing_dir``."""
     run_all(
@@ -69,7 +79,7 @@ def ingest(
     raw_dir: str,
     schemas: Mapping[str, StructType] = RETAIL_SCHEMAS,
     files: Sequence[LandingFile] = LANDING_FILES,
-    threads: int = 4,
+    threads: int = DEFAULT_THREADS,
 ) -> DataFrame:
     """Convert every landing CSV to a Parquet table ``{raw_dir}/{table}``.
 

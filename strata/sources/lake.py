@@ -6,19 +6,19 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.parallel import DEFAULT_THREADS, run_all
+
 
 def write_table(df: DataFrame, path: str) -> None:
     """Full rebuild of one lake table as Parquet."""
     df.write.mode("overwrite").parquet(path)
 
 
-def write_tables(tables: Mapping[str, DataFrame], base: str, threads: int = 4) -> dict[str, str]:
+def write_tables(tables: Mapping[str, DataFrame], base: str, threads: int = DEFAULT_THREADS) -> dict[str, str]:
     """Write ``{name: df}`` below ``base`` (independent writes run side by side).
 
     Returns ``{name: location}``.
     """
-    from strata.plans.parallel import run_all
-
     locations = {name: f"{base}/{name}" for name in tables}
     run_all([lambda n=name: write_table(tables[n], locations[n]) for name in tables], threads)
     return locations
