@@ -450,7 +450,8 @@ from bronze_order_reviews"""
 BODIES["dq_null_profile"] = _union(
     [
         f"select '{t}' table_name, '{c}' column_name, count(*) filter (where {c} is null) nulls, "
-        f"{rounded_ratio(f'count(*) filter (where {c} is null) * 100', 'count(*)', 1)} pct "
+        f"{rounded_ratio(f'count(*) filter (where {c} is null) * 100', 'count(*)', 1)} pct, "
+        f"format('{{:.1f}}%', {rounded_ratio(f'count(*) filter (where {c} is null) * 100', 'count(*)', 1)}) pct_text "
         f"from bronze_{t}"
         for t, cols in NULL_CHECKS
         for c in cols

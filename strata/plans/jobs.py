@@ -107,3 +107,25 @@ def star_roundtrip(spark: SparkSession, raw: Mapping[str, DataFrame]) -> DataFra
 def medallion_build(spark: SparkSession, raw: Mapping[str, DataFrame], layer: str | None = None):
     """Materialize the 26 models (or one layer) from the raw source DataFrames."""
     return medallion.build(spark, raw, f"{run_dir(spark, 'medallion')}/lake", layer=layer)
+
+
+def publish_reports(
+    spark: SparkSession,
+    reports: Mapping[str, DataFrame],
+    out_dir: str | None = None,
+) -> DataFrame:
+    """Report sink (K11): write every report section as its own Parquet table.
+
+    Sections are independent and written side by side; returns
+    (report, row_count) read back from what was written.
+    """
+    out_dir = out_dir or f"{run_dir(spark, 'reports')}/reports"
+    locations = lake.write_tables(dict(reports), out_dir)
+    return union_all(
+        [
+            spark.read.parquet(path).agg(
+                F.lit(name).alias("report"), F.count(F.lit(1)).alias("row_count")
+            )
+            for name, path in locations.items()
+        ]
+    )

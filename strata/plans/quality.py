@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions import rounded_ratio
+from strata.functions import percent_text, rounded_ratio
 from strata.operators import distinct_key_count, null_counts, union_all
 from strata.plans.medallion import Lake
 from strata.plans.models import GEO_COLUMNS
@@ -143,7 +143,7 @@ def dedupe_effect(lake: Lake) -> DataFrame:
 
 
 def null_profile(lake: Lake) -> DataFrame:
-    """NULL count and percentage (1 decimal, half-up) of the reported columns.
+    """NULL count and percentage (1 decimal, half-up; also as ``12.3%`` text).
 
     One aggregation per table (a single scan for all its columns), turned
     into one row per column with ``unpivot``.
@@ -158,7 +158,7 @@ def null_profile(lake: Lake) -> DataFrame:
                 "column_name",
                 "nulls",
                 rounded_ratio(F.col("nulls") * 100, "__rows", 1).alias("pct"),
-            )
+            ).withColumn("pct_text", percent_text("pct", 1))
         )
     return union_all(frames)
 

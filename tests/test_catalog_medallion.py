@@ -92,3 +92,16 @@ def test_kpis_over_materialized_gold_equal_lazy_kpis(spark, sf_dir):
         )
     plan = kpis.monthly_revenue(built)._jdf.queryExecution().optimizedPlan().toString()
     assert "lineitem" not in plan  # reads the gold tables only
+
+
+def test_publish_reports_writes_each_section(spark, sf_dir, scratch):
+    from strata.plans import kpis, quality
+
+    lazy = medallion.Lake(raw_tables(spark, sf_dir))
+    reports = {
+        "kpi_monthly_revenue": kpis.monthly_revenue(lazy),
+        "dq_null_profile": quality.null_profile(lazy),
+    }
+    written = {r.report: r.row_count for r in jobs.publish_reports(spark, reports, scratch).collect()}
+    assert written == {name: df.count() for name, df in reports.items()}
+    assert spark.read.parquet(f"{scratch}/dq_null_profile").columns[-1] == "pct_text"
