@@ -114,6 +114,7 @@ class Lake:
         self.sources = sources
         # `pinned` models are already materialized (e.g. read back from Parquet)
         self._memo: dict[str, DataFrame] = dict(pinned or {})
+        self._pinned = frozenset(self._memo)
 
     @classmethod
     def from_catalog(
@@ -133,6 +134,10 @@ class Lake:
     def source(self, table: str) -> DataFrame:
         return self.sources[table]
 
+    def is_materialized(self, name: str) -> bool:
+        """True when ``name`` is read from a written table rather than composed."""
+        return name in self._pinned
+
     def model(self, name: str) -> DataFrame:
         if name not in self._memo:
             spec = BY_NAME[name]
