@@ -40,29 +40,57 @@ def _revenue_by(sales: DataFrame, key: str) -> DataFrame:
     return sales.groupBy(key).agg(money_sum(REVENUE).alias("rev"))
 
 
-def _revenue_by_order_attribute(lake: Lake, key: str, where: F.Column | None = None) -> DataFrame:
-    """Exact revenue (``rev``) per attribute of the *order* (date key, customer, date).
-
-    Over a materialized ``fact_sales`` this is one aggregation of the fact.
-    Composed from silver, the items are first summed per order — partial
-    aggregation on the map side, so the join moves one row per order
-    instead of one per item and a hot order is collapsed before the
-    shuffle — and the per-order sums are then joined to the orders.  Both
-    forms equal the fact-table aggregate (decimal sums are exact and the
-    join multiplicity is unchanged).
+def _sum_by_order_attribute(
+    lake: Lake,
+    fact: str,
+    lines: str,
+    measure: str,
+    order_keys: tuple[str, ...],
+    line_keys: tuple[str, ...] = (),
+    where: F.Column | None = None,
+) -> DataFrame:
+    """Exact money sum (``rev``) of a line-grain fact per order attributes (+ line attributes).
+
+    ``fact`` is ``lines ⋈ silver_orders`` on ``order_id`` (fact_sales,
+    fact_payments).  Over a materialized fact this is one aggregation of
+    it.  Composed from silver, the lines are first summed per order (and
+    line key) — partial aggregation on the map side, so the join moves one
+    row per order instead of one per line and a hot order is collapsed
+    before the shuffle — and the per-order sums are then joined to the
+    orders.  Both forms equal the fact-table aggregate: decimal sums are
+    exact and the join multiplicity is unchanged.  ``where`` may only use
+    order columns.
     """
-    if lake.is_materialized("fact_sales"):
-        sales = lake.model("fact_sales")
+    if lake.is_materialized(fact):
+        rows = lake.model(fact)
         if where is not None:
-            sales = sales.where(where)
-        return _revenue_by(sales, key)
-    per_order = lake.model("silver_order_items").groupBy("order_id").agg(
-        money_sum(REVENUE).alias("rev")
-    )
-    orders = lake.model("silver_orders").select("order_id", key)
+            rows = rows.where(where)
+        return rows.groupBy(*order_keys, *line_keys).agg(money_sum(measure).alias("rev"))
+    per_order = (
+        lake.model(lines)
+        .groupBy("order_id", *line_keys)
+        .agg(money_sum(measure).alias("rev"))
+    )
+    orders = lake.model("silver_orders").select("order_id", *order_keys)
     if where is not None:
         orders = orders.where(where)
-    return per_order.join(orders, "order_id").groupBy(key).agg(F.sum("rev").alias("rev"))
+    return (
+        per_order.join(orders, "order_id")
+        .groupBy(*order_keys, *line_keys)
+        .agg(F.sum("rev").alias("rev"))
+    )
+
+
+def _revenue_by_order_attribute(lake: Lake, key: str, where: F.Column | None = None) -> DataFrame:
+    """Revenue (``rev``) per attribute of the order (date key, customer, date)."""
+    return _sum_by_order_attribute(lake, "fact_sales", "silver_order_items", REVENUE, (key,), (), where)
+
+
+def _payments_by(lake: Lake, order_keys: tuple[str, ...], where: F.Column | None = None) -> DataFrame:
+    """Payment value (``rev``) per order attributes and payment type."""
+    return _sum_by_order_attribute(
+        lake, "fact_payments", "silver_order_payments", "payment_value", order_keys, ("payment_type",), where
+    )
 
 
 def _month_of(d: str) -> F.Column:
@@ -174,16 +202,12 @@ def delivery_unrounded(lake: Lake) -> DataFrame:
 
 def payment_trends(lake: Lake) -> DataFrame:
     """KPI 6: payment value by (year, month, payment_type) through dim_date."""
-    by_day = (
-        lake.model("fact_payments")
-        .groupBy("date_key", "payment_type")
-        .agg(money_sum("payment_value").alias("v"))
-    )
+    by_day = _payments_by(lake, ("date_key",))
     dates = lake.model("dim_date").select("date_key", "year", "month")
     return (
         by_day.join(dates, "date_key")
         .groupBy("year", "month", "payment_type")
-        .agg(to_money_double(F.sum("v")).alias("payment_value"))
+        .agg(to_money_double(F.sum("rev")).alias("payment_value"))
         .orderBy("year", "month", "payment_type")
     )
 
@@ -320,11 +344,10 @@ def state_left(lake: Lake) -> DataFrame:
 
 
 def _payments_by_month(lake: Lake) -> DataFrame:
+    by_date = _payments_by(lake, ("purchase_date",), F.col("purchase_date").isNotNull())
     return (
-        lake.model("fact_payments")
-        .where(F.col("purchase_date").isNotNull())
-        .groupBy(_month_of("purchase_date").alias("m"), "payment_type")
-        .agg(money_sum("payment_value").alias("v"))
+        by_date.groupBy(_month_of("purchase_date").alias("m"), "payment_type")
+        .agg(F.sum("rev").alias("v"))
         .select(
             F.date_format("m", "yyyy-MM").alias("purchase_month"),
             "payment_type",
@@ -336,9 +359,8 @@ def _payments_by_month(lake: Lake) -> DataFrame:
 def payment_totals(lake: Lake) -> DataFrame:
     """Total payment value per type (pandas form of KPI 6)."""
     return (
-        lake.model("fact_payments")
-        .groupBy("payment_type")
-        .agg(to_money_double(money_sum("payment_value")).alias("payment_value"))
+        _payments_by(lake, ())
+        .select("payment_type", to_money_double("rev").alias("payment_value"))
         .orderBy(F.desc("payment_value"), F.asc_nulls_last("payment_type"))
     )
 

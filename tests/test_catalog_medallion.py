@@ -86,7 +86,8 @@ def test_kpis_over_materialized_gold_equal_lazy_kpis(spark, sf_dir):
     jobs.medallion_build(spark, raw_tables(spark, sf_dir))
     built = medallion.Lake.from_catalog(spark)
     lazy = medallion.Lake(raw_tables(spark, sf_dir))
-    for fn in (kpis.monthly_revenue, kpis.review_by_category, kpis.delivery_by_state):
+    for fn in (kpis.monthly_revenue, kpis.review_by_category, kpis.delivery_by_state,
+               kpis.payment_trends, kpis.payment_totals, kpis.total_revenue, kpis.sales_by_state):
         assert sorted(map(tuple, fn(built).collect()), key=str) == sorted(
             map(tuple, fn(lazy).collect()), key=str
         )
