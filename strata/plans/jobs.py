@@ -129,3 +129,35 @@ def publish_reports(
             for name, path in locations.items()
         ]
     )
+
+
+def run_from_landing(
+    spark: SparkSession,
+    landing_dir: str,
+    root: str | None = None,
+    schemas=None,
+) -> DataFrame:
+    """The whole lake from a folder of landing CSVs: ingest → register → build.
+
+    Ingests every landing file present (declared schemas, default: the
+    retail schemas), registers the raw tables as the catalog sources, then
+    builds the bronze, silver and gold layers from those sources.  Returns
+    the model inventory; the data tests and KPIs then read
+    ``Lake.from_catalog(spark)``.
+    """
+    from strata.sources.schemas import RETAIL_SCHEMAS
+
+    root = root or run_dir(spark, "lake")
+    csv.ingest(spark, landing_dir, f"{root}/raw", schemas or RETAIL_SCHEMAS)
+    present = [t for t in RAW_TABLES if _exists(spark, f"{root}/raw/{t}")]
+    catalog.register(spark, catalog.RAW_DATABASE, {t: f"{root}/raw/{t}" for t in present})
+    sources = {t: catalog.source(spark, t) for t in present}
+    return medallion.build(spark, sources, f"{root}/lake")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path)
+        return True
+    except Exception:  # noqa: BLE001 - absent folder → table was skipped at ingest
+        return False
