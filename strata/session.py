@@ -54,12 +54,19 @@ def shared_root(spark: SparkSession) -> str:
     from the session.  Only when it is unset (local tests) a private folder
     is created and installed as the checkpoint directory.
     """
-    root = spark.sparkContext.getCheckpointDir()
+    root = None
+    try:
+        root = spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - no SparkContext in a Spark Connect session
+        pass
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:  # noqa: BLE001
+            spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
