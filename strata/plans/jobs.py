@@ -86,11 +86,6 @@ def register_lake(
     return root
 
 
-def catalog_sources(spark: SparkSession) -> dict[str, DataFrame]:
-    """The raw tables as declared catalog sources."""
-    return {t: catalog.source(spark, t) for t in RAW_TABLES}
-
-
 def star_roundtrip(spark: SparkSession, raw: Mapping[str, DataFrame]) -> DataFrame:
     """Write the star schema to Parquet and read every table back."""
     root = run_dir(spark, "star")

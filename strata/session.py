@@ -10,7 +10,6 @@ cluster the job is handed the cluster's session.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -73,7 +72,3 @@ def shared_root(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, never-reused folder below the shared root for one run."""
     return f"{shared_root(spark)}/strata/{purpose}-{uuid.uuid4().hex[:12]}"
-
-
-def default_sf_dir() -> str:
-    return os.environ.get("STRATA_SF_DIR", "/root/testdata/sf0.01")

@@ -121,8 +121,3 @@ def ingest(
     for frame in frames[1:]:
         out = out.unionByName(frame)
     return out
-
-
-def read_raw(spark: SparkSession, raw_dir: str, table: str) -> DataFrame:
-    """A raw lake table by name."""
-    return spark.read.parquet(f"{raw_dir}/{table}")
