@@ -34,3 +34,16 @@ def test_entry_smoke(spark):
 def test_query_matches_oracle(spark, con, sf_dir, key):
     problems = compare(spark, con, key, queries()[key], oracle_sql()[key], sf_dir)
     assert problems == []
+
+
+TIME_KEYS = ["silver_orders", "kpi_delivery_unrounded", "chart_monthly_orders", "latest_review_per_order"]
+
+
+@pytest.mark.parametrize("key", TIME_KEYS)
+def test_results_do_not_depend_on_session_time_zone(spark, con, sf_dir, key):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        assert compare(spark, con, key, queries()[key], oracle_sql()[key], sf_dir) == []
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
