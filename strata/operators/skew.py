@@ -1,0 +1,93 @@
+"""Joins on a key that one value may dominate.
+
+AQE splits a skewed partition of a sort-merge join only when both sides
+are fresh shuffles.  When one side is already partitioned on the join key
+(the output of a window, an aggregate or an earlier join on that key),
+Catalyst plans no exchange for it, AQE cannot split, and every row of a hot
+key meets in one task.  ``hot_key_join`` splits such keys out explicitly:
+
+1. one bounded job finds the keys with at least ``hot_rows`` rows in the
+   big side (partial aggregation on the map side; at most
+   ``max_hot_keys + 1`` keys reach the driver);
+2. the partner rows of those keys, checked to be at most
+   ``max_side_rows``, are broadcast, so a hot key's rows are joined in the
+   tasks that read them and are never shuffled;
+3. every other key takes the ordinary shuffle join.
+
+With no hot key, or beyond either bound, it is the plain join.  The hot-key
+threshold can be tuned per session with ``spark.strata.hotKeyRows``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from strata.operators.joins import DEFAULT_BROADCAST_ROWS, has_at_most
+
+HOT_ROWS_CONF = "spark.strata.hotKeyRows"
+# A key with this many rows fills a partition of ~100 MB on its own.
+DEFAULT_HOT_ROWS = 1_000_000
+# Upper bound on the number of hot keys collected to the driver.
+DEFAULT_MAX_HOT_KEYS = 10_000
+
+
+def hot_row_threshold(df: DataFrame) -> int:
+    value = df.sparkSession.conf.get(HOT_ROWS_CONF, None)
+    return int(value) if value else DEFAULT_HOT_ROWS
+
+
+def find_hot_keys(
+    df: DataFrame, key: str, hot_rows: int, max_hot_keys: int = DEFAULT_MAX_HOT_KEYS
+) -> list | None:
+    """Non-NULL keys with ≥ ``hot_rows`` rows; ``None`` when there are more than ``max_hot_keys``."""
+    rows = (
+        df.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("__rows"))
+        .where(F.col("__rows") >= hot_rows)
+        .select(key)
+        .limit(max_hot_keys + 1)
+        .collect()
+    )
+    if len(rows) > max_hot_keys:
+        return None
+    return [r[0] for r in rows]
+
+
+def hot_key_join(
+    big: DataFrame,
+    side: DataFrame,
+    key: str,
+    how: str = "inner",
+    hot_rows: int | None = None,
+    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+    max_side_rows: int = DEFAULT_BROADCAST_ROWS,
+) -> DataFrame:
+    """``big.join(side, key, how)`` with the hot keys of ``big`` joined by broadcast.
+
+    Output columns are those of the plain join.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"hot_key_join supports inner and left joins, not {how!r}")
+    threshold = hot_row_threshold(big) if hot_rows is None else hot_rows
+    keys = find_hot_keys(big, key, threshold, max_hot_keys)
+    if not keys:
+        return big.join(side, key, how)
+    spark = big.sparkSession
+    hot = F.broadcast(spark.createDataFrame([(k,) for k in keys], big.select(key).schema))
+    side_hot = side.join(hot, key, "left_semi")
+    if not has_at_most(side_hot, max_side_rows):
+        return big.join(side, key, how)
+    k = F.col(key)
+    hot_part = big.join(hot, key, "left_semi").join(F.broadcast(side_hot), key, how)
+    cold_part = big.where(k.isNotNull()).join(hot, key, "left_anti").join(side, key, how)
+    parts = [hot_part, cold_part]
+    if how == "left":
+        # a NULL key matches nothing: those rows skip the join (and its shuffle)
+        side_cols = [F.lit(None).cast(f.dataType).alias(f.name) for f in side.schema.fields if f.name != key]
+        parts.append(big.where(k.isNull()).select(key, *[c for c in big.columns if c != key], *side_cols))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

@@ -28,7 +28,7 @@ from strata.functions import (
     thousands,
     to_money_double,
 )
-from strata.operators import enrich_bounded, latest_per_key_agg, top_k
+from strata.operators import enrich_bounded, hot_key_join, latest_per_key_agg, top_k
 from strata.plans.medallion import Lake
 from strata.plans.models import REVIEW_COLUMNS, dedupe_review_ids
 
@@ -213,11 +213,27 @@ def payment_trends(lake: Lake) -> DataFrame:
 
 
 def _review_scores_by_product(lake: Lake) -> DataFrame:
-    """Σ score and item rows per product for reviewed orders (J6, pre-aggregated)."""
-    reviews = lake.model("fact_reviews").select("order_id", "review_score")
-    items = lake.model("fact_sales").select("order_id", "product_id")
+    """Σ score and item rows per product for reviewed orders (J6, pre-aggregated).
+
+    The item-grain join on ``order_id`` is the one a hot order would
+    overload: its order-grain side is already partitioned on ``order_id``
+    (review dedupe), so AQE cannot split it.  It is a ``hot_key_join``:
+    items of hot orders meet their single review by broadcast.  Composed
+    from silver, reviews are first matched to existing orders at order
+    grain (fact_sales keeps only items of existing orders), so items take
+    part in one join only.
+    """
+    if lake.is_materialized("fact_sales") and lake.is_materialized("fact_reviews"):
+        reviews = lake.model("fact_reviews").select("order_id", "review_score")
+        items = lake.model("fact_sales").select("order_id", "product_id")
+    else:
+        orders = lake.model("silver_orders").select("order_id")
+        reviews = (
+            lake.model("silver_order_reviews").select("order_id", "review_score").join(orders, "order_id")
+        )
+        items = lake.model("silver_order_items").select("order_id", "product_id")
     return (
-        reviews.join(items, "order_id")
+        hot_key_join(items, reviews, "order_id")
         .groupBy("product_id")
         .agg(
             F.sum("review_score").alias("s"),
