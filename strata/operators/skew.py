@@ -7,8 +7,8 @@ Catalyst plans no exchange for it, AQE cannot split, and every row of a hot
 key meets in one task.  ``hot_key_join`` splits such keys out explicitly:
 
 1. one bounded job finds the keys with at least ``hot_rows`` rows in the
-   big side (partial aggregation on the map side; at most
-   ``max_hot_keys + 1`` keys reach the driver);
+   big side, counted in a small seeded sample (partial aggregation on the
+   map side; at most ``max_hot_keys + 1`` keys reach the driver);
 2. the partner rows of those keys, checked to be at most
    ``max_side_rows``, are broadcast, so a hot key's rows are joined in the
    tasks that read them and are never shuffled;
@@ -30,6 +30,9 @@ HOT_ROWS_CONF = "spark.strata.hotKeyRows"
 DEFAULT_HOT_ROWS = 1_000_000
 # Upper bound on the number of hot keys collected to the driver.
 DEFAULT_MAX_HOT_KEYS = 10_000
+# Expected sample hits of a key with exactly the threshold's row count.
+SAMPLE_HITS = 400
+SAMPLE_SEED = 17
 
 
 def hot_row_threshold(df: DataFrame) -> int:
@@ -40,12 +43,28 @@ def hot_row_threshold(df: DataFrame) -> int:
 def find_hot_keys(
     df: DataFrame, key: str, hot_rows: int, max_hot_keys: int = DEFAULT_MAX_HOT_KEYS
 ) -> list | None:
-    """Non-NULL keys with ≥ ``hot_rows`` rows; ``None`` when there are more than ``max_hot_keys``."""
+    """Non-NULL keys with about ``hot_rows`` rows or more; ``None`` beyond ``max_hot_keys`` keys.
+
+    Counting every key would shuffle one partial count per key and map
+    task, about as much as the join it guards.  The keys are counted in a
+    seeded Bernoulli sample of ``SAMPLE_HITS / hot_rows`` of the rows
+    instead (all rows when that is ≥ 1): a key with ``hot_rows`` rows is
+    expected ``SAMPLE_HITS`` times and is kept from half that, so it is
+    missed only with negligible probability, while a key with a quarter of
+    ``hot_rows`` is almost never kept.  The sample only routes rows: a missed
+    key takes the shuffle join, an extra one the broadcast; the join result
+    is the same either way.
+    """
+    fraction = SAMPLE_HITS / hot_rows
+    rows = df.where(F.col(key).isNotNull())
+    threshold = hot_rows
+    if fraction < 1:
+        rows = rows.sample(fraction=fraction, seed=SAMPLE_SEED)
+        threshold = SAMPLE_HITS // 2
     rows = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
+        rows.groupBy(key)
         .agg(F.count(F.lit(1)).alias("__rows"))
-        .where(F.col("__rows") >= hot_rows)
+        .where(F.col("__rows") >= threshold)
         .select(key)
         .limit(max_hot_keys + 1)
         .collect()
