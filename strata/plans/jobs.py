@@ -9,7 +9,7 @@ re-run (or a retried stage after a lost executor) replaces its output.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from strata.operators import union_all
 from strata.plans import medallion
 from strata.plans.medallion import STAR_TABLES, Lake
-from strata.parallel import run_all
 from strata.session import run_dir
 from strata.sources import catalog, csv, lake
 from strata.sources.fixtures import RAW_TABLES
@@ -42,27 +41,25 @@ def ingest_tables(
     return f"{root}/raw", registry
 
 
-def _stage_orders(sources: Mapping[str, DataFrame], star_dir: str) -> Callable[[], None]:
-    """The action that writes ``silver_orders`` once for the star's five consumers."""
-    return lambda: lake.write_table(Lake(sources).model("silver_orders"), f"{star_dir}/_stage/silver_orders")
-
-
 def write_star(
     spark: SparkSession,
     sources: Mapping[str, DataFrame],
     star_dir: str,
-    staged: bool = False,
+    stage_orders: bool = True,
 ) -> dict[str, str]:
     """Build and write the nine star tables (K2).
 
-    ``silver_orders`` feeds five of them; it is written once (unless the
-    caller already ``staged`` it) and read back, so the order enrichment runs
-    once instead of once per fact.
+    ``silver_orders`` feeds five of them.  When the sources are a computed
+    lineage (``stage_orders``) it is written once and read back, so the
+    order enrichment runs once instead of once per table; over written raw
+    tables it is a pruned scan of the orders and is not staged.
     """
-    if not staged:
-        _stage_orders(sources, star_dir)()
-    pinned = Lake(sources, pinned={"silver_orders": spark.read.parquet(f"{star_dir}/_stage/silver_orders")})
-    return lake.write_tables({t: pinned.model(t) for t in STAR_TABLES}, star_dir)
+    models = Lake(sources)
+    if stage_orders:
+        stage = f"{star_dir}/_stage/silver_orders"
+        lake.write_table(models.model("silver_orders"), stage)
+        models = Lake(sources, pinned={"silver_orders": spark.read.parquet(stage)})
+    return lake.write_tables({t: models.model(t) for t in STAR_TABLES}, star_dir)
 
 
 def register_lake(
@@ -70,18 +67,17 @@ def register_lake(
 ) -> str:
     """Write raw (and star) tables and register them in the catalog (K7–K9).
 
-    The raw writes and the staged order enrichment of the star are
-    independent and run side by side; the star tables follow.
+    The raw tables are written side by side and registered; the star is
+    then built from the registered raw tables (as the star job reads raw
+    Parquet), so its lineage starts at written tables: a lost executor
+    during the star writes re-reads raw Parquet, not the upstream sources.
     """
     root = run_dir(spark, "catalog")
-    raw_locations = {name: f"{root}/raw/{name}" for name in raw}
-    actions = [lambda n=name: lake.write_table(raw[n], raw_locations[n]) for name in raw]
-    if with_star:
-        actions.append(_stage_orders(raw, f"{root}/star"))
-    run_all(actions)
+    raw_locations = lake.write_tables(dict(raw), f"{root}/raw")
     catalog.register(spark, catalog.RAW_DATABASE, raw_locations)
     if with_star:
-        star_locations = write_star(spark, raw, f"{root}/star", staged=True)
+        written = {name: catalog.source(spark, name) for name in raw_locations}
+        star_locations = write_star(spark, written, f"{root}/star", stage_orders=False)
         catalog.register(spark, catalog.STAR_DATABASE, star_locations)
     return root
 
