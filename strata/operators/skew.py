@@ -82,10 +82,14 @@ def hot_key_join(
     hot_rows: int | None = None,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
     max_side_rows: int = DEFAULT_BROADCAST_ROWS,
+    side_unique: bool = False,
 ) -> DataFrame:
     """``big.join(side, key, how)`` with the hot keys of ``big`` joined by broadcast.
 
-    Output columns are those of the plain join.
+    ``side_unique`` states that ``side`` has at most one row per key (e.g.
+    one review per order by construction); its broadcast part is then
+    bounded by the number of hot keys and is not counted, which would
+    compute ``side`` once more.  Output columns are those of the plain join.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"hot_key_join supports inner and left joins, not {how!r}")
@@ -96,7 +100,8 @@ def hot_key_join(
     spark = big.sparkSession
     hot = F.broadcast(spark.createDataFrame([(k,) for k in keys], big.select(key).schema))
     side_hot = side.join(hot, key, "left_semi")
-    if not has_at_most(side_hot, max_side_rows):
+    bounded = len(keys) <= max_side_rows if side_unique else has_at_most(side_hot, max_side_rows)
+    if not bounded:
         return big.join(side, key, how)
     k = F.col(key)
     hot_part = big.join(hot, key, "left_semi").join(F.broadcast(side_hot), key, how)

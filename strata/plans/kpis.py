@@ -218,7 +218,8 @@ def _review_scores_by_product(lake: Lake) -> DataFrame:
     The item-grain join on ``order_id`` is the one a hot order would
     overload: its order-grain side is already partitioned on ``order_id``
     (review dedupe), so AQE cannot split it.  It is a ``hot_key_join``:
-    items of hot orders meet their single review by broadcast.  Composed
+    items of hot orders meet their single review by broadcast (one review
+    per order, so the broadcast holds at most one row per hot order).  Composed
     from silver, reviews are first matched to existing orders at order
     grain (fact_sales keeps only items of existing orders), so items take
     part in one join only.
@@ -233,7 +234,7 @@ def _review_scores_by_product(lake: Lake) -> DataFrame:
         )
         items = lake.model("silver_order_items").select("order_id", "product_id")
     return (
-        hot_key_join(items, reviews, "order_id")
+        hot_key_join(items, reviews, "order_id", side_unique=True)
         .groupBy("product_id")
         .agg(
             F.sum("review_score").alias("s"),

@@ -174,6 +174,8 @@ def test_hot_key_left_join_equals_plain_join(spark):
     assert _sorted(split.collect()) == _sorted(plain.collect())
     inner = hot_key_join(big, side, "k", "inner", hot_rows=500)
     assert _sorted(inner.collect()) == _sorted(big.join(side, "k").collect())
+    unique = hot_key_join(big, side, "k", "left", hot_rows=500, side_unique=True)
+    assert _sorted(unique.collect()) == _sorted(plain.collect())
 
 
 def test_skewed_item_join_is_split_by_aqe(spark, sources):
