@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.components import components
-from strata.llm.scratch import Scratch
+from strata.llm.scratch import Scratch, received, sent
 
 THRESHOLD = 0.93
 TREES = 6
@@ -128,6 +128,7 @@ def _leaf_rows(forest):
     """One row per class and leaf: leaf key, and the class's leaves in every tree up to this one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees = received(forest)
         for batch in batches:
             ids, copies, labels, units, dims = (batch.column(k).to_pylist() for k in range(5))
             rows: dict[str, list] = {c: [] for c in ("root", "tree", "leaf", "id", "copies", "unit", "seen")}
@@ -136,7 +137,7 @@ def _leaf_rows(forest):
                 by_root.setdefault(root, []).append(r)
             for root, members in by_root.items():
                 vectors = np.stack([np.frombuffer(units[r]) for r in members])
-                routed = [tree.route(root, vectors) for tree in forest.value]
+                routed = [tree.route(root, vectors) for tree in trees]
                 for j, r in enumerate(members):
                     seen: list[int] = []
                     for t, leaves in enumerate(x[j] for x in routed):
@@ -276,7 +277,7 @@ def embedding_links(
         .collect()
     )
     known = [r for r in picked if (r["label"], r["dim"]) in counts]
-    forest = spark.sparkContext.broadcast(_fit(known, counts, trees, leaf, threshold, spill))
+    forest = sent(spark, _fit(known, counts, trees, leaf, threshold, spill))
     placed = scratch.table(
         classes.select("id", "copies", "label", "unit", "dim").mapInArrow(
             _leaf_rows(forest), "root string, tree int, leaf long, id long, copies long, unit binary, seen array<long>"

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
+
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.session import run_dir
@@ -29,3 +32,12 @@ class Scratch:
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def sent(spark: SparkSession, value) -> Broadcast:
+    """Broadcast an object of bounded size together with the classes of this subpackage that it needs."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(box: Broadcast):
+    return pickle.loads(box.value)

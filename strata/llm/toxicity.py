@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.scratch import Scratch
+from strata.llm.scratch import Scratch, received, sent
 
 EXAMPLES = 20_000
 TERMS = 5_000
@@ -248,10 +248,10 @@ def train(
     held = scratch.table(sample.mapInArrow(vectors, "id long, toxic int, terms array<int>, counts array<int>"), "vectors")
     kept = held.where(F.size("terms") > 0).collect()  # about `examples` rows of few terms
     model = Model(numbers, BlockMaxIndex(idf, [(r["id"], r["toxic"], r["terms"], r["counts"]) for r in kept]), n1 / (n0 + n1))
-    sent = spark.sparkContext.broadcast(model)
+    box = sent(spark, model)
 
     def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
+        m = received(box)
         for batch in batches:
             bins = []
             for i, t, c in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3))):
@@ -290,10 +290,10 @@ def toxicity_scores(
     by row; empty table: empty result.
     """
     model = train(docs, labels, scratch, id_col=id_col, text_col=text_col, label_col=label_col, examples=examples, terms=terms)
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by `examples` and `terms`
+    box = sent(docs.sparkSession, model)  # bounded by `examples` and `terms`
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
+        m = received(box)
         index = TermIndex(m.numbers) if m else None
         for batch in batches:
             scores, evidence, similarity = [], [], []
