@@ -27,8 +27,10 @@ DIM = 1 << 12
 TRAIN_ROWS = 20_000
 FIT_PARTS = 6
 KEEP_AT = 0.5
+#: Assumed bound: a labeller votes bad on this share of the good documents at most.
+FALSE_ALARMS = 0.01
 #: Fewer words than this leave the ratios too coarse for a vote.
-ENOUGH_WORDS = 20
+ENOUGH_WORDS = 8
 
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
@@ -83,13 +85,13 @@ def profile(text: bytes, shapes: Shapes) -> tuple[dict[str, float], Counter]:
 
 #: (ratio, good below or above, bad beyond): a labeller votes bad past the second bound, good within the first.
 LABELLERS = (
-    ("marks", 0.05, 0.08),
+    ("marks", 0.05, 0.10),
     ("upper", 0.10, 0.30),
     ("again", 0.05, 0.20),
-    ("top", 0.12, 0.25),
+    ("top", 0.16, 0.30),
     ("pipes", 0.02, 0.15),
-    ("digits", 0.05, 0.25),
-    ("plain", 0.90, 0.75),
+    ("digits", 0.05, 0.40),
+    ("plain", 0.90, 0.66),
     ("distinct", 0.40, 0.20),
     ("lines", 0.80, 0.50),
 )
@@ -119,20 +121,26 @@ def vote_of(pattern: int) -> list[int]:
 
 
 def estimate(patterns: dict[int, int], rounds: int = 100) -> dict[int, float]:
-    """Posterior of good per vote pattern, by expectation-maximisation of the labellers' accuracies."""
+    """Posterior of good per vote pattern, by expectation-maximisation of the labellers' accuracies.
+
+    A labeller that gives no vote says nothing: it adds no likelihood.
+    """
     if not patterns:
         return {}
     keys = sorted(patterns)
     v = np.array([vote_of(k) for k in keys])
     n = np.array([patterns[k] for k in keys], float)
-    hot = np.stack([v == 0, v == 1, v == 2], axis=2).astype(float)  # pattern, labeller, vote
-    good, bad = hot[:, :, 1].sum(1), hot[:, :, 2].sum(1)
-    post = (good + 1) / (good + 3 * bad + 2)  # a bad vote is the rarer and surer kind
+    hot = np.stack([v == 1, v == 2], axis=2).astype(float)  # pattern, labeller, vote
+    good, bad = hot[:, :, 0].sum(1), hot[:, :, 1].sum(1)
+    post = (good + 2) / (good + 3 * bad + 3)  # a bad vote is the rarer and surer kind
     for _ in range(rounds):
         w1, w0 = n * post, n * (1 - post)
         prior = (w1.sum() + 1) / (n.sum() + 2)
-        p1 = (np.einsum("p,plv->lv", w1, hot) + [0.5, 2.0, 0.1]) / (w1.sum() + 2.6)
-        p0 = (np.einsum("p,plv->lv", w0, hot) + [0.5, 0.5, 0.5]) / (w0.sum() + 1.5)
+        p1 = np.einsum("p,plv->lv", w1, hot) + [2.0, 0.1]
+        p0 = np.einsum("p,plv->lv", w0, hot) + [0.5, 0.5]
+        p1, p0 = p1 / p1.sum(axis=1, keepdims=True), p0 / p0.sum(axis=1, keepdims=True)
+        false = np.minimum(p1[:, 1], FALSE_ALARMS)
+        p1 = np.stack([1 - false, false], axis=1)
         odds = np.log(prior / (1 - prior)) + np.einsum("plv,lv->p", hot, np.log(p1) - np.log(p0))
         new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         if np.abs(new - post).max() < 1e-9:
