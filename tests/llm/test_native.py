@@ -1,0 +1,170 @@
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.llm import decontam, mixing, sharding
+
+NO_PYTHON = re.compile("Python|Pandas|Arrow")
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().toString()
+
+
+def _words(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def _brute_contamination(docs, items):
+    windows = set()
+    for item, text in items:
+        w = _words(text)
+        n = min(13, len(w))
+        if item is not None and n:
+            windows |= {(item, tuple(w[k : k + n])) for k in range(len(w) - n + 1)}
+    out = []
+    for i, text in docs:
+        w, hit, found = _words(text), set(), set()
+        for item, run in windows:
+            for k in range(len(w) - len(run) + 1):
+                if tuple(w[k : k + len(run)]) == run:
+                    hit |= set(range(k, k + len(run)))
+                    found.add(item)
+        names = ",".join(sorted(map(str, found)))
+        out.append((i, len(w), len(hit), len(found), hashlib.sha256(names.encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)))
+    return sorted(out, key=str)
+
+
+@pytest.fixture()
+def bench(spark):
+    alpha = " ".join(f"q{k}" for k in range(30))
+    items = [(3, alpha), (10, "Tiny item"), (11, "tiny, item!"), (4, None), (5, " .,; "), (None, "one two three"), (6, "rep rep rep rep")]
+    docs = [
+        (1, "x " * 50 + " ".join(f"Q{k}" for k in range(5, 20)) + " y" * 10),
+        (2, "a tiny -- ITEM here"),
+        (3, " ".join(f"q{k}" for k in range(12))),
+        (4, None),
+        (5, ""),
+        (6, "rep " * 9),
+        (7, "word " * 500 + "tiny item"),
+        (8, alpha + " " + alpha),
+        (9, "tinyé item"),
+        (None, "tiny item"),
+        (2, "a tiny -- ITEM here"),
+    ]
+    rows = [(i, t, 1, "w", 5) for i, t in docs]
+    return docs, items, spark.createDataFrame(rows, "doc_id long, text string, hits int, w string, item long"), spark.createDataFrame(items, "item_id long, text string")
+
+
+@pytest.mark.parametrize("block", [200_000, 5])
+def test_contamination_against_brute_force(bench, room, monkeypatch, block):
+    monkeypatch.setattr(decontam, "BLOCK_WINDOWS", block)
+    docs, items, d, b = bench
+    out = decontam.contamination_digest(d, b, room)
+    assert sorted(map(tuple, out.collect()), key=str) == _brute_contamination(docs, items)
+    assert not NO_PYTHON.search(_plan(out))
+
+
+def test_clean_keeps_the_rest_whole(bench, room, spark):
+    docs, items, d, b = bench
+    bad = {r[0] for r in _brute_contamination(docs, items) if r[5]}
+    kept = decontam.clean(d, b, room)
+    assert kept.columns == d.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, _ in docs if i is not None and i not in bad)
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert decontam.clean(d, none, type(room)(spark, "test")).count() == len(docs)
+    assert decontam.contamination_digest(d.limit(0), b, room).collect() == []
+
+
+def _targets(sizes: dict, weights=(3, 1, 2)):
+    """Share by weight; cap at twice the size; share the excess again, until none is above."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    w = {s: weights[k % 3] for k, s in enumerate(order)}
+    budget, done, target = 1.5 * sum(sizes.values()), {}, {}
+    while True:
+        free = [s for s in order if s not in done]
+        if not free:
+            return done
+        share = (budget - sum(done.values())) / sum(w[s] for s in free)
+        target = {s: share * w[s] for s in free}
+        over = [s for s in free if target[s] >= 2 * sizes[s]]
+        if not over:
+            return done | target
+        done |= {s: 2.0 * sizes[s] for s in over}
+
+
+def test_mixing_targets_and_takes(docs, doc_list, room):
+    got = mixing.mixing_digest(docs, room).collect()
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    sizes = Counter()
+    for _, t, _, s, *_ in doc_list:
+        sizes[s] += size(t)
+    want = _targets(dict(sizes))
+    assert sorted((r["doc_id"], r["size"]) for r in got if r["doc_id"]) == sorted((i, size(t)) for i, t, *_ in doc_list if i)
+    source_of = {i: s for i, _, _, s, *_ in doc_list}
+    taken, largest = Counter(), Counter()
+    for r in got:
+        s = source_of[r["doc_id"]]
+        assert r["source_size"] == sizes[s] and r["target"] == pytest.approx(want[s])
+        assert r["taken"] in (0, r["size"], 2 * r["size"])
+        taken[s] += r["taken"]
+        largest[s] = max(largest[s], 2 * r["size"])  # id 17 is there twice and is taken together
+    assert all(abs(taken[s] - want[s]) <= largest[s] / 2 + 1e-9 for s in sizes)
+
+
+def test_mix_repeats_rows(docs, no_docs, room, spark):
+    digest = {}
+    for r in mixing.mixing_digest(docs, room).where("size > 0").collect():
+        digest[r["doc_id"]] = r["taken"] // r["size"]
+    mixed = mixing.mix(docs, type(room)(spark, "test"))
+    assert mixed.columns == docs.columns and not NO_PYTHON.search(_plan(mixed))
+    rows = Counter(r["doc_id"] for r in mixed.where("length(trim(text)) > 0").collect())
+    assert {i: n for i, n in rows.items() if i != 17} == {i: n for i, n in digest.items() if n and i != 17 and i in rows}
+    assert rows[17] == 2 * digest[17]
+    assert mixing.mixing_digest(no_docs, room).collect() == []
+
+
+def _check_shards(got, n):
+    counts = Counter(r["shard"] for r in got)
+    assert len(got) == n and set(counts) <= set(range(16))
+    full = [counts[s] for s in range(16)]
+    assert max(full) - min(full) <= 1
+    for s in range(16):
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(counts[s]))
+
+
+def test_shards_are_even_gapless_and_keep_groups(spark, room):
+    rows = [(k, f"text {k if k % 4 else k % 40}") for k in range(4000)] + [(9000 + k, "hot") for k in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    out = sharding.balanced_shards(df, room)
+    assert not NO_PYTHON.search(_plan(out))
+    got = out.collect()
+    _check_shards(got, len(rows))
+    text = dict(rows)
+    where = {}
+    for r in got:
+        where.setdefault(text[r["doc_id"]], set()).add(r["shard"])
+        data = text[r["doc_id"]].encode()
+        assert r["size"] == len(data) + 1 and r["text_crc32"] == zlib.crc32(data) and r["law"] == "rows" and r["grown_shard"] is None
+    split = [t for t, s in where.items() if len(s) > 1 and t != "hot"]
+    assert len(split) <= 2
+    assert len(where["hot"]) <= 9  # 2000 rows, 375 a shard; 6 would hold them
+
+
+def test_shards_of_odd_rows(docs, doc_list, no_docs, room, spark):
+    _check_shards(sharding.balanced_shards(docs, room).collect(), len(doc_list))
+    again = type(room)(spark, "test")
+    carried = sharding.balanced_shards(docs, again, carry=("lang", "kind"))
+    assert carried.columns[-2:] == ["lang", "kind"] and carried.count() == len(doc_list)
+    few = type(room)(spark, "test")
+    _check_shards(sharding.balanced_shards(docs.where(F.col("doc_id") <= 3), few).collect(), 3)
+    same = spark.createDataFrame([(k, "same") for k in range(100)], "doc_id long, text string")
+    _check_shards(sharding.balanced_shards(same, type(room)(spark, "test")).collect(), 100)
+    assert sharding.balanced_shards(no_docs, type(room)(spark, "test")).collect() == []
