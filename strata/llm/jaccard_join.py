@@ -5,25 +5,25 @@
    range returns, per class, its tokens that some other class holds too.
 2. A class can have a partner only if 80 % of its tokens are held elsewhere.
    The others are out, and no text is read again.
-3. Similar classes are grouped: classes with an equal min-hash are compared
-   with one leader each (linear, whatever the size of the group), and the
-   components of those links are the groups.
-4. The token-group matrix holds each group's token union.  A class probes it
-   with its rarest tokens, as many as any partner must share one of; the
-   overlap with the whole union of each group met bounds the overlap with any
-   member; only groups that reach the bound are opened, and their members of a
-   fitting size are compared exactly.
+3. Similar classes are grouped: an equal min-hash, in blocks of bounded size.
+   A group's classes are compared with each other as one matrix product of
+   their token incidences, which returns spanning edges and no pairs.
+4. The token-group matrix tells which groups hold a token.  A class probes it
+   with its rarest tokens, as many as any partner must share one of; groups
+   without a member of a fitting size, and groups whose met members are all
+   connected with the class already, are passed over.  In the others the
+   overlap with the group's token union bounds that with any member; only
+   where it reaches the bound is the group opened and compared exactly.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.components import components
@@ -31,7 +31,11 @@ from strata.llm.scratch import Scratch
 from strata.llm.shingles import SHINGLE, WordHashes, shingle_set
 
 PERCENT = 80
-LEADER_ROUNDS = 3
+#: Classes of a group, or queries of one, that are compared in one task.
+BLOCK = 512
+#: Rows and token columns of one matrix product.
+CHUNK = 128
+COLUMNS = 8_192
 #: Bytes of text behind one hash range (its tokens are sorted in one task's memory).
 RANGE_BYTES = 12_000_000
 #: Tokens and documents gathered before a task sends blobs.
@@ -176,85 +180,143 @@ def _shared_tokens(rows: pa.Table) -> pa.Table:
     return pa.concat_tables(parts)
 
 
-def _linked(a: str, b: str, n_a: str, n_b: str, percent: int) -> Column:
-    """Exact test; the tokens that no other class holds cannot be in the intersection."""
-    both = F.size(F.array_intersect(a, b))
-    return both * 100 >= (F.col(n_a) + F.col(n_b) - both) * percent
+def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set of ``a`` with every set of ``b`` (sorted distinct tokens)."""
+    out = np.zeros((len(a), len(b)), np.float32)
+    ta, tb = np.concatenate(a), np.concatenate(b)
+    ra, rb = np.repeat(np.arange(len(a)), [len(x) for x in a]), np.repeat(np.arange(len(b)), [len(x) for x in b])
+    both = np.intersect1d(ta, tb)  # other tokens cannot meet
+    ia, ib = np.searchsorted(both, ta), np.searchsorted(both, tb)
+    ka = both[np.minimum(ia, len(both) - 1)] == ta if len(both) else np.zeros(len(ta), bool)
+    kb = both[np.minimum(ib, len(both) - 1)] == tb if len(both) else np.zeros(len(tb), bool)
+    ia, ra, ib, rb = ia[ka], ra[ka], ib[kb], rb[kb]
+    oa, ob = np.argsort(ia, kind="stable"), np.argsort(ib, kind="stable")
+    ia, ra, ib, rb = ia[oa], ra[oa], ib[ob], rb[ob]
+    for lo in range(0, len(both), COLUMNS):
+        hi = min(lo + COLUMNS, len(both))
+        x, y = np.zeros((len(a), hi - lo), np.float32), np.zeros((len(b), hi - lo), np.float32)
+        sa, sb = slice(*np.searchsorted(ia, (lo, hi))), slice(*np.searchsorted(ib, (lo, hi)))
+        x[ra[sa], ia[sa] - lo] = 1
+        y[rb[sb], ib[sb] - lo] = 1
+        out += x @ y.T
+    return out.astype(np.int64)
+
+
+def _compare(percent: int):
+    """Exact links of the queries of a group (side 0) with its members (side 1), or of its members with each other.
+
+    Returns spanning edges, a row a class at most.
+    """
 
+    def run(rows: pa.Table) -> pa.Table:
+        side = rows["side"].to_numpy()
+        order = np.lexsort((rows["sig"].to_numpy(), side))
+        side, sigs, ns = side[order], rows["sig"].to_numpy()[order], rows["n"].to_numpy().astype(np.int64)[order]
+        lists = rows["toks"].combine_chunks()
+        offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+        sets = [np.sort(values[offsets[k] : offsets[k + 1]]) for k in order]
+        split = int((side == 0).sum())
+        up = list(range(len(sigs)))
+
+        def root(x: int) -> int:
+            while up[x] != x:
+                up[x] = up[up[x]]
+                x = up[x]
+            return x
+
+        members = np.arange(split, len(sigs))
+        queries = np.arange(split) if split else members
+        if split and len(members):
+            # the bound: a query that shares too few tokens with the group's union links with no member
+            union = np.unique(np.concatenate([sets[k] for k in members]))
+            bound = np.array([len(np.intersect1d(sets[k], union, assume_unique=True)) for k in queries])
+            queries = queries[bound * 100 >= ns[queries] * percent]
+        for lo in range(0, len(queries), CHUNK):
+            q = queries[lo : lo + CHUNK]
+            if not len(members):
+                break
+            both = _overlaps([sets[k] for k in q], [sets[k] for k in members])
+            linked = both * 100 >= (ns[q][:, None] + ns[members][None, :] - both) * percent
+            for i, j in zip(*np.nonzero(linked)):
+                x, y = int(q[i]), int(members[j])
+                if up[x] != up[y]:
+                    x, y = root(x), root(y)
+                    if x != y:
+                        up[max(x, y)] = min(x, y)
+        ends = [(sigs[k], sigs[root(k)]) for k in range(len(sigs)) if root(k) != k]
+        return pa.table(
+            {"a": pa.array([a for a, _ in ends], pa.int64()), "b": pa.array([b for _, b in ends], pa.int64())}
+        )
 
-def _sizes_fit(n_a: str, n_b: str, percent: int) -> Column:
-    return F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent
+    return run
 
 
-def _leader_links(cand: DataFrame, scratch: Scratch, percent: int, rounds: int) -> DataFrame:
-    """Links of classes with the leaders of their min-hash groups."""
-    links = []
-    for k in range(rounds):
-        keyed = cand.select(
-            F.array_min(F.transform("toks", lambda t: F.xxhash64(F.lit(k), t))).alias("key"), "sig", "n", "toks"
-        )
-        chosen = keyed.groupBy("key").agg(F.min(F.struct(F.xxhash64(F.lit(k), "sig").alias("h"), "sig")).alias("x"), F.count("*").alias("c"))
-        chosen = chosen.where("c > 1").select("key", F.col("x.sig").alias("sig"))
-        leaders = scratch.table(
-            cand.select("sig", "n", "toks")
-            .join(chosen, "sig")
-            .select("key", F.col("sig").alias("sig_l"), F.col("n").alias("n_l"), F.col("toks").alias("toks_l")),
-            f"leaders-{k}",
-        )
-        links.append(
-            scratch.table(
-                keyed.join(leaders, "key")
-                .where((F.col("sig") != F.col("sig_l")) & _sizes_fit("n", "n_l", percent))
-                .where(_linked("toks", "toks_l", "n", "n_l", percent))
-                .select(F.col("sig").alias("a"), F.col("sig_l").alias("b")),
-                f"links-{k}",
-            )
-        )
-        scratch.drop(f"leaders-{k}")
-    return reduce(DataFrame.union, links)
+def _grouped(cand: DataFrame, scratch: Scratch) -> DataFrame:
+    """``cand`` with ``grp``: classes of an equal min-hash, in blocks of about ``BLOCK`` classes."""
+    keyed = scratch.table(
+        cand.withColumn("key", F.array_min(F.transform("toks", lambda t: F.xxhash64(t)))), "keyed"
+    )
+    large = scratch.table(
+        keyed.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > BLOCK), "large"
+    )
+    block = F.pmod(F.xxhash64("sig"), F.ceil(F.col("c") / BLOCK).cast("int"))
+    return scratch.table(
+        keyed.join(large, "key", "left").select(
+            "sig", "n", "toks", "dfs", F.xxhash64("key", F.coalesce(block, F.lit(0))).alias("grp")
+        ),
+        "grouped",
+    )
 
 
-def _cross_links(cand: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
-    """Links between classes of different groups; ``cand`` has ``grp``."""
+def _cross_links(grouped: DataFrame, inner: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """Links between classes of different groups; ``inner`` names the components (node, component) so far."""
+    named = grouped.join(inner, grouped["sig"] == inner["node"], "left")
     least = F.floor((F.col("n") * percent + 99) / 100).cast("int")  # tokens that a partner must share
     must = F.col("n") - least + 1 - (F.col("n") - F.size("toks"))  # of the rarest, less those that nobody shares
     by_rarity = F.array_sort(F.arrays_zip("dfs", "toks"))
     probes = scratch.table(
-        cand.where(must > 0)
-        .select("sig", "n", "grp", F.explode(F.slice(by_rarity, F.lit(1), must)).alias("t"))
-        .select("sig", "n", "grp", F.col("t.toks").alias("tok")),
+        named.where(must > 0)
+        .select(
+            "sig", "n", "grp", F.coalesce("component", "sig").alias("comp"), F.explode(F.slice(by_rarity, F.lit(1), must)).alias("t")
+        )
+        .select("sig", "n", "grp", "comp", F.col("t.toks").alias("tok")),
         "probes",
     )
-    several = probes.groupBy("tok").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo <> hi")
-    mixed = scratch.table(probes.join(several.select("tok"), "tok"), "mixed")
-    met = mixed.select("tok", F.col("grp").alias("other")).distinct()
-    pairs = scratch.table(
-        mixed.join(met, "tok").where("grp <> other").select("sig", "n", "other").distinct(), "pairs"
+    # the token-group matrix over the tokens that a link must go through
+    matrix = probes.groupBy("tok", "grp").agg(
+        F.min("n").alias("n_lo"), F.max("n").alias("n_hi"), F.min("comp").alias("c_lo"), F.max("comp").alias("c_hi")
     )
-    scratch.drop("probes", "mixed")
-    token = F.explode("toks").alias("tok")
-    asked = cand.join(pairs.select("sig").distinct(), "sig").select("sig", token)
-    matrix = (  # token unions of the groups that some class met
-        cand.join(pairs.select(F.col("other").alias("grp")).distinct(), "grp").select(F.col("grp").alias("other"), token).distinct()
+    matrix = scratch.table(matrix, "matrix")
+    several = matrix.groupBy("tok").agg(F.max("grp").alias("top"), F.count("*").alias("k")).where("k > 1")
+    several = scratch.table(several.select("tok", "top"), "several")
+    entries = matrix.join(several.select("tok"), "tok").withColumnRenamed("grp", "other")
+    asks = probes.join(several, "tok").where("grp < top")  # each pair of groups once
+    pairs = (
+        asks.join(entries, "tok")
+        .where((F.col("grp") < F.col("other")) & (F.col("n_hi") * 100 >= F.col("n") * percent) & (F.col("n_lo") * percent <= F.col("n") * 100))
+        .where((F.col("c_lo") != F.col("comp")) | (F.col("c_hi") != F.col("comp")))  # else they are connected already
+        .select("sig", "other")
+        .distinct()
     )
-    bound = (
-        pairs.join(asked, "sig")
-        .join(scratch.table(matrix, "matrix"), ["tok", "other"])
-        .groupBy("sig", "n", "other")
-        .agg(F.count("*").alias("overlap"))
+    pairs = scratch.table(pairs, "pairs")
+    scratch.drop("probes", "matrix")
+    asked = pairs.groupBy("other").agg(F.count("*").alias("q"))
+    asked = scratch.table(asked.select("other", F.ceil(F.col("q") / BLOCK).cast("int").alias("parts")), "asked")
+    body = grouped.select("sig", "n", "toks")
+    queries = (
+        pairs.join(asked, "other")
+        .withColumn("part", F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int"))
+        .join(body, "sig")
+        .select("other", "part", F.lit(0).alias("side"), "sig", "n", "toks")
     )
-    opened = scratch.table(bound.where(F.col("overlap") * 100 >= F.col("n") * percent).select("sig", "n", "other"), "opened")
-    members = cand.select(F.col("grp").alias("other"), F.col("sig").alias("sig_m"), F.col("n").alias("n_m"))
-    fits = scratch.table(
-        opened.join(members, "other").where((F.col("sig") < F.col("sig_m")) & _sizes_fit("n", "n_m", percent)).select("sig", "n", "sig_m", "n_m"),
-        "fits",
-    )
-    return (
-        fits.join(cand.select("sig", "toks"), "sig")
-        .join(cand.select(F.col("sig").alias("sig_m"), F.col("toks").alias("toks_m")), "sig_m")
-        .where(_linked("toks", "toks_m", "n", "n_m", percent))
-        .select(F.col("sig").alias("a"), F.col("sig_m").alias("b"))
+    members = (
+        grouped.withColumnRenamed("grp", "other")
+        .join(asked, "other")
+        .select(
+            "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(1).alias("side"), "sig", "n", "toks"
+        )
     )
+    return queries.union(members).groupBy("other", "part").applyInArrow(_compare(percent), "a long, b long")
 
 
 def jaccard_components(
@@ -263,7 +325,6 @@ def jaccard_components(
     *,
     percent: int = PERCENT,
     shingle: int = SHINGLE,
-    rounds: int = LEADER_ROUNDS,
     range_bytes: int = RANGE_BYTES,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -291,16 +352,15 @@ def jaccard_components(
         .where(F.size("toks") * 100 >= F.col("n") * percent),
         "candidates",
     )
-    groups = components(_leader_links(cand, scratch, percent, rounds), scratch, "groups")
-    grouped = scratch.table(
-        cand.join(groups, cand["sig"] == groups["node"], "left").select(
-            "sig", "n", "toks", "dfs", F.coalesce("component", "sig").alias("grp")
-        ),
-        "grouped",
+    grouped = _grouped(cand, scratch)
+    scratch.drop("candidates", "keyed")
+    own = grouped.select("grp", F.lit(1).alias("side"), "sig", "n", "toks")
+    inner = scratch.table(own.groupBy("grp").applyInArrow(_compare(percent), "a long, b long"), "inner")
+    groups = components(inner, scratch, "groups")
+    cross = scratch.table(_cross_links(grouped, groups, scratch, percent), "cross")
+    label = grouped.join(groups, grouped["sig"] == groups["node"], "left").select(
+        "sig", F.coalesce("component", "sig").alias("grp")
     )
-    scratch.drop("candidates")
-    cross = scratch.table(_cross_links(grouped, scratch, percent), "cross")
-    label = grouped.select("sig", "grp")
     ends = cross.join(label.select(F.col("sig").alias("a"), F.col("grp").alias("ga")), "a").join(
         label.select(F.col("sig").alias("b"), F.col("grp").alias("gb")), "b"
     )

@@ -61,8 +61,8 @@ def test_jaccard_against_brute_force(docs, doc_list, room):
     assert sorted(map(tuple, got)) == _brute_jaccard(rows)
 
 
-def test_jaccard_families_shared_passages_and_borders(spark, room):
-    """Chains of edits, passages shared by unlike texts, pairs just at and below the threshold, leaders that miss."""
+def test_jaccard_families_shared_passages_and_borders(spark, room, monkeypatch):
+    """Chains of edits, passages shared by unlike texts, pairs just at and below the threshold, cut groups."""
     rng = np.random.default_rng(11)
     vocabulary = [f"v{k}" for k in range(3000)]
     prose = lambda n: list(rng.choice(vocabulary, n))
@@ -84,9 +84,10 @@ def test_jaccard_families_shared_passages_and_borders(spark, room):
     want = _brute_jaccard(rows)
     got = sorted(map(tuple, jaccard_join.jaccard_components(df, room).collect()))
     assert got == want
-    # without leader groups every link has to come through the token-group matrix
-    one = sorted(map(tuple, jaccard_join.jaccard_components(df, type(room)(spark, "test"), rounds=1).collect()))
-    assert one == want
+    # small blocks: families are cut, and most links have to come through the token-group matrix
+    monkeypatch.setattr(jaccard_join, "BLOCK", 2)
+    again = sorted(map(tuple, jaccard_join.jaccard_components(df, type(room)(spark, "test")).collect()))
+    assert again == want
 
 
 def test_jaccard_stage_keeps_one_of_each(docs, room, no_docs):
