@@ -1,22 +1,17 @@
 """Relational building blocks composed from DataFrame operations."""
 
-from strata.operators.dedupe import distinct_rows, latest_per_key, latest_per_key_agg
-from strata.operators.joins import enrich_bounded, has_at_most, lookup_join
-from strata.operators.profile import distinct_key_count, duplicate_count, null_counts, union_all
-from strata.operators.skew import find_hot_keys, hot_key_join
+from strata.operators.dedupe import distinct_rows, latest_per_key
+from strata.operators.digest import content_digest
+from strata.operators.joins import enrich_bounded
+from strata.operators.profile import distinct_key_count, null_counts, union_all
 from strata.operators.topk import top_k
 
 __all__ = [
+    "content_digest",
     "distinct_key_count",
     "distinct_rows",
-    "duplicate_count",
     "enrich_bounded",
-    "find_hot_keys",
-    "has_at_most",
-    "hot_key_join",
     "latest_per_key",
-    "latest_per_key_agg",
-    "lookup_join",
     "null_counts",
     "top_k",
     "union_all",

@@ -6,9 +6,6 @@ timestamps losing, then a total tie-break.  It is written as
 before the shuffle and a final one after it: every map task forwards at most
 one row per key, so a key that holds a third of all rows still reaches its
 reducer as one row per map task, not as a third of the table.
-
-``latest_per_key_agg`` is the window-free form of the same rule
-(``min_by`` over an ordering struct); it is a partial + final aggregation.
 """
 
 from __future__ import annotations
@@ -34,31 +31,6 @@ def latest_per_key(
     return df.withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) == 1).drop(_RN)
 
 
-def _newest_first_key(ts: str) -> Column:
-    """Ascending sort key that puts the newest timestamp first and NULL last."""
-    c = F.col(ts)
-    # timestamp_ntz has no time zone: its distance to the epoch in microseconds is
-    # the same in every session, so it is a safe numeric sort key.
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
-    return F.struct(c.isNull().alias("ts_null"), (-micros).alias("neg_us"))
-
-
-def latest_per_key_agg(
-    df: DataFrame,
-    keys: Sequence[str],
-    ts: str,
-    tie_break: Sequence[str] = (),
-) -> DataFrame:
-    """Same rule as ``latest_per_key`` as a grouped ``min_by``; keeps column order."""
-    payload = [c for c in df.columns if c not in keys]
-    order = F.struct(
-        _newest_first_key(ts).alias("newest"),
-        *[F.col(c).alias(f"tb{i}") for i, c in enumerate(tie_break) if c not in keys],
-    )
-    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*payload), order).alias("__row"))
-    return picked.select(*[F.col(k) for k in keys], "__row.*").select(*df.columns)
-
-
 def distinct_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Full-row de-duplication over ``columns`` (all when omitted)."""
     if columns:

@@ -1,63 +1,29 @@
-"""Joins with an explicit policy for broadcasting.
+"""Enrichment of a frame that is small by construction.
 
-A side is broadcast only when its size is *proven* small:
-
-* ``lookup_join`` counts at most ``max_rows + 1`` rows of the lookup side
-  (a bounded job that stops early) and broadcasts it only under the bound;
-  beyond it the join is left to the planner (sort-merge, or AQE's runtime
-  broadcast when the measured shuffle output is small).
-* ``enrich_bounded`` is for a side whose size is bounded by construction
-  (the output of a ``limit(k)``): the big table is filtered by a broadcast
-  semi-join on those ≤ k keys, so it is scanned once and never shuffled.
-
-Every other join in the library is written plainly and planned by Catalyst
-+ AQE (skewed partitions are split by ``spark.sql.adaptive.skewJoin``).
+Joins in the library are written plainly and planned by Catalyst and AQE:
+static size estimates and measured shuffle sizes decide on broadcasts, and
+skewed partitions are split.  The one hint is for the keys of a ``limit(k)``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound for a lookup table that may be copied to every executor.
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has ≤ ``max_rows`` rows; reads at most ``max_rows + 1``."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: str | Sequence[str],
-    how: str = "left",
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
-    """Join ``facts`` to a lookup table, broadcasting it only under a checked bound."""
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"lookup side can only be broadcast for inner/left joins, not {how!r}")
-    side = F.broadcast(lookup) if has_at_most(lookup, max_rows) else lookup
-    return facts.join(side, on, how)
+#: Most rows that the keys of an enrichment may have.
+MOST_KEYS = 10_000
 
 
-def enrich_bounded(
-    bounded: DataFrame,
-    table: DataFrame,
-    key: str,
-    how: str = "left",
-) -> DataFrame:
-    """Attach ``table`` columns to a small, limit-bounded ``bounded`` frame.
+def enrich_bounded(best: DataFrame, k: int, table: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Attach ``table`` columns to the first ``k`` rows of ``best`` (a sorted or limited frame).
 
-    ``bounded`` must come from ``limit(k)`` (or be otherwise bounded by
-    construction).  ``table`` is first reduced to the rows whose key occurs
-    in ``bounded`` by a broadcast semi-join — a map-only pass over the big
-    table — and the reduced rows are then joined back, preserving every row
-    of ``bounded`` for a left join.
+    The limit is applied here, so the broadcast keys are ``k`` rows at most.
+    ``table`` is filtered by a broadcast semi-join on them (a map-only pass),
+    and the remaining rows are joined back; every row of ``best`` stays in a
+    left join.
     """
-    keys = F.broadcast(bounded.select(key).distinct())
-    matching = table.join(keys, key, "left_semi")
-    return bounded.join(matching, key, how)
+    if not 0 < k <= MOST_KEYS:
+        raise ValueError(f"an enrichment takes 1 to {MOST_KEYS} rows, not {k}")
+    best = best.limit(k)
+    keys = F.broadcast(best.select(key).distinct())
+    return best.join(table.join(keys, key, "left_semi"), key, how)

@@ -28,12 +28,6 @@ def distinct_key_count(columns: Sequence[str]) -> Column:
     return F.count_distinct(F.struct(*[F.col(c) for c in columns]))
 
 
-def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row: ``duplicates`` = rows that repeat an earlier row's key."""
-    cols = list(columns) if columns else list(df.columns)
-    return df.select(*cols).agg((row_count(df) - distinct_key_count(cols)).alias("duplicates"))
-
-
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: ``__rows`` and ``<col>`` = NULL count for each column."""
     return df.agg(

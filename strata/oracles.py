@@ -17,10 +17,11 @@ from __future__ import annotations
 import re
 
 from strata.plans.medallion import MODELS, STAR_TABLES
+from strata.plans.models import GOLD_COLUMNS
 from strata.plans.quality import DATA_TESTS, DUPLICATE_CHECKS, NULL_CHECKS, TABLE_NOTES
 from strata.sources.catalog import RAW_DATABASE, STAR_DATABASE
 from strata.sources.fixtures import RAW_TABLES
-from strata.sources.schemas import LANDING_FILES
+from strata.sources.schemas import LANDING_FILES, RETAIL_SCHEMAS
 
 
 def money(expr: str) -> str:
@@ -218,6 +219,8 @@ def with_ctes(body: str) -> str:
                 visit(dep)
         ordered.append(name)
 
+    if body.strip().startswith("with "):
+        body = f"select * from ({body.strip()}) own"
     for name in _deps(body):
         visit(name)
     if not ordered:
@@ -243,17 +246,57 @@ BODIES["latest_review_per_order"] = "select * from silver_order_reviews"
 BODIES["ingest_csv"] = "select * from f_order_reviews"
 BODIES["ingest_registry"] = _union(
     [
-        f"select '{f.table}' table_name, '{f.file_name}' file_name, count(*) row_count from f_{f.table}"
+        f"select '{f.table}' table_name, '{f.file_name}' file_name, count(*) row_count, "
+        f"cast(0 as bigint) malformed_cells from f_{f.table}"
         for f in LANDING_FILES
     ]
 )
+
+_SQL_TYPES = {"string": "varchar", "int": "integer", "double": "double", "timestamp_ntz": "timestamp"}
+for _t, _schema in RETAIL_SCHEMAS.items():
+    _cells = ", ".join(f"cast({c.name} as {_SQL_TYPES[c.dataType.simpleString()]}) {c.name}" for c in _schema)
+    BODIES[f"ingest_{_t}"] = f"select {_cells} from f_{_t}"
+
+# columns of the written tables, for their digests
+_RAW_COLUMNS = {t: tuple(schema.names) for t, schema in RETAIL_SCHEMAS.items()}
+_RAW_COLUMNS["order_reviews"] += ("ln", "px")
+_RETAIL = {t: tuple(schema.names) for t, schema in RETAIL_SCHEMAS.items()}
+COLUMNS: dict[str, tuple[str, ...]] = {
+    **{f"f_{t}": c for t, c in _RAW_COLUMNS.items()},
+    **{f"bronze_{t}": c for t, c in _RAW_COLUMNS.items()},
+    **{f"silver_{t}": _RETAIL[t] for t in ("customers", "sellers", "geolocation", "order_payments", "order_reviews")},
+    "silver_orders": (*_RETAIL["orders"], "purchase_date", "date_key", "delivery_days"),
+    "silver_order_items": (*_RETAIL["order_items"], "revenue"),
+    "silver_products": (*_RETAIL["products"], "product_category_name_english"),
+    "dim_customer": _RETAIL["customers"],
+    "dim_seller": _RETAIL["sellers"],
+    "dim_geolocation": _RETAIL["geolocation"],
+    "dim_date": ("date_key", "date", "year", "month", "month_name", "quarter"),
+    **GOLD_COLUMNS,
+}
+FRACTIONS = {"price", "freight_value", "revenue", "payment_value", "delivery_days", "geolocation_lat", "geolocation_lng", "px"}
+
+
+def digest(table: str) -> str:
+    """``row_count, digest``: the sum over rows of the first 12 hex digits of the row text's MD5."""
+    texts = [
+        f"coalesce(cast({f'cast({c} as decimal(28,8))' if c in FRACTIONS else c} as varchar), '~')"
+        for c in sorted(COLUMNS[table])
+    ]
+    row = f"('0x' || substr(md5(concat_ws('|', {', '.join(texts)})), 1, 12))::hugeint"
+    return f"count(*) row_count, cast(coalesce(sum({row}), 0) as varchar) digest"
+
+
 BODIES["catalog_scan"] = "select * from f_orders"
 BODIES["preview_orders"] = "select * from f_orders order by order_id limit 1000"
 
 _STAR = STAR_TABLES
+BODIES["catalog_sources"] = _union(
+    [f"select '{RAW_DATABASE}' database_name, '{t}' table_name, {digest(f'f_{t}')} from f_{t}" for t in RAW_TABLES]
+)
 BODIES["catalog_register"] = _union(
-    [f"select '{RAW_DATABASE}' database_name, '{t}' table_name, count(*) row_count from f_{t}" for t in RAW_TABLES]
-    + [f"select '{STAR_DATABASE}' database_name, '{t}' table_name, count(*) row_count from {t}" for t in _STAR]
+    [BODIES["catalog_sources"]]
+    + [f"select '{STAR_DATABASE}' database_name, '{t}' table_name, {digest(t)} from {t}" for t in _STAR]
 )
 _listed = [(RAW_DATABASE, t) for t in RAW_TABLES] + [(STAR_DATABASE, t) for t in _STAR]
 BODIES["catalog_list"] = (
@@ -262,14 +305,14 @@ BODIES["catalog_list"] = (
     + ') t(namespace, "tableName", "isTemporary")'
 )
 BODIES["star_roundtrip"] = _union(
-    [f"select '{t}' table_name, count(*) row_count from {t}" for t in _STAR]
+    [f"select '{t}' table_name, {digest(t)} from {t}" for t in _STAR]
 )
 
 
 def _model_rows(layer_filter: str | None) -> str:
     return _union(
         [
-            f"select '{m.layer}' layer, '{m.name}' model, '{m.alias}' table_name, count(*) row_count "
+            f"select '{m.layer}' layer, '{m.name}' model, '{m.alias}' table_name, {digest(m.name)} "
             f"from {m.name}"
             for m in MODELS
             if layer_filter is None or m.layer == layer_filter
@@ -283,34 +326,45 @@ BODIES["medallion_layer"] = _model_rows("silver")
 # --------------------------------------------------------------- KPIs
 
 BODIES["kpi_monthly_revenue"] = f"""
-select d.year, d.month, {money('f.revenue')} monthly_revenue
-from fact_sales f join dim_date d on f.date_key = d.date_key
-group by d.year, d.month order by d.year, d.month"""
+with dated as (
+  select date_key, revenue from fact_sales where date_key in (select date_key from dim_date)
+)
+select (date_key // 10000)::integer as year, (date_key // 100 % 100)::integer as month,
+       {money('revenue')} monthly_revenue
+from dated group by all"""
 
 BODIES["kpi_revenue_by_category"] = f"""
-select p.product_category_name_english category, {money('f.revenue')} revenue
-from fact_sales f join dim_product p on f.product_id = p.product_id
-group by p.product_category_name_english order by revenue desc"""
+with named as (
+  select product_category_name_english category, revenue
+  from dim_product inner join fact_sales using (product_id)
+)
+select category, {money('revenue')} revenue from named group by category"""
 
 BODIES["kpi_top_sellers"] = f"""
-select s.seller_id, s.seller_city, s.seller_state, {money('f.revenue')} revenue
-from fact_sales f join dim_seller s on f.seller_id = s.seller_id
-group by s.seller_id, s.seller_city, s.seller_state
-order by revenue desc, s.seller_id, s.seller_city limit 20"""
+with ranked as (
+  select seller_id, seller_city, seller_state, {money('revenue')} revenue
+  from dim_seller inner join fact_sales using (seller_id)
+  group by all
+)
+select * from ranked
+qualify row_number() over (order by revenue desc, seller_id, seller_city) <= 20"""
 
 BODIES["kpi_sales_by_state"] = f"""
-select c.customer_state, {money('f.revenue')} revenue
-from fact_sales f join dim_customer c on f.customer_id = c.customer_id
-group by c.customer_state order by revenue desc"""
+with placed as (
+  select customer_state, revenue from dim_customer inner join fact_sales using (customer_id)
+)
+select customer_state, {money('revenue')} revenue from placed group by customer_state"""
 
-_CENTS = "cast(round(o.delivery_days * 100) as bigint)"
 BODIES["kpi_delivery_by_state"] = f"""
-select c.customer_state,
-       {rounded_ratio(f'sum({_CENTS})', 'count(*) * 100', 2)} avg_delivery_days,
-       count(*) delivered_orders
-from fact_orders o join dim_customer c on o.customer_id = c.customer_id
-where o.order_status = 'delivered' and o.delivery_days is not null
-group by c.customer_state order by avg_delivery_days"""
+with delivered as (
+  select customer_id, cast(round(delivery_days * 100) as bigint) cents
+  from fact_orders where order_status = 'delivered' and delivery_days is not null
+), summed as (
+  select customer_state, sum(cents) cents, count(*) n
+  from dim_customer inner join delivered using (customer_id) group by customer_state
+)
+select customer_state, {rounded_ratio('cents', 'n * 100', 2)} avg_delivery_days, n delivered_orders
+from summed"""
 
 _SECS = "(cast(epoch(o.order_delivered_customer_date) as bigint) - cast(epoch(o.order_purchase_timestamp) as bigint))"
 BODIES["kpi_delivery_unrounded"] = f"""
@@ -320,17 +374,22 @@ where o.order_status = 'delivered' and o.delivery_days is not null and c.custome
 group by c.customer_state"""
 
 BODIES["kpi_payment_trends"] = f"""
-select d.year, d.month, p.payment_type, {money('p.payment_value')} payment_value
-from fact_payments p join dim_date d on p.date_key = d.date_key
-group by d.year, d.month, p.payment_type order by d.year, d.month, p.payment_type"""
+with dated as (
+  select date_key, payment_type, payment_value
+  from fact_payments where date_key in (select date_key from dim_date)
+)
+select (date_key // 10000)::integer as year, (date_key // 100 % 100)::integer as month, payment_type,
+       {money('payment_value')} payment_value
+from dated group by all"""
 
 BODIES["kpi_review_by_category"] = f"""
-select p.product_category_name_english category,
-       {rounded_ratio('sum(r.review_score)', 'count(r.review_score)', 2)} avg_review_score,
-       count(*) review_item_rows
-from fact_reviews r join fact_sales f on r.order_id = f.order_id
-join dim_product p on f.product_id = p.product_id
-group by p.product_category_name_english"""
+with reviewed as (
+  select product_id, review_score from fact_sales inner join fact_reviews using (order_id)
+), summed as (
+  select product_category_name_english category, sum(review_score) s, count(review_score) scored, count(*) n
+  from reviewed inner join dim_product using (product_id) group by 1
+)
+select category, {rounded_ratio('s', 'scored', 2)} avg_review_score, n review_item_rows from summed"""
 
 _PERIOD = "strftime(purchase_date, '%Y-%m')"
 BODIES["kpi_monthly_revenue_period"] = f"""
@@ -338,14 +397,14 @@ select {_PERIOD} purchase_month, {money('revenue')} revenue
 from fact_sales where purchase_date is not null group by 1"""
 
 BODIES["kpi_total_revenue"] = f"""
-select {money('revenue')} total_revenue from fact_sales where purchase_date is not null"""
+select {money('revenue')} total_revenue from fact_sales"""
 
 BODIES["report_monthly_revenue"] = f"""
 select {_PERIOD} label, format('{{:,.2f}}', round(sum(cast(revenue as decimal(18,2))), 2)) revenue_brl
 from fact_sales where purchase_date is not null group by 1
 union all
 select 'Total revenue' label, format('{{:,.2f}}', round(sum(cast(revenue as decimal(18,2))), 2)) revenue_brl
-from fact_sales where purchase_date is not null"""
+from fact_sales"""
 
 BODIES["kpi_category_top10"] = f"""
 select coalesce(nullif(category, ''), '(missing)') category, revenue from (
@@ -359,7 +418,7 @@ BODIES["kpi_sellers_top10"] = f"""
 select t.seller_id, concat(substring(cast(t.seller_id as varchar), 1, 8), '…') seller_label,
        s.seller_city, s.seller_state, t.revenue
 from (
-  select seller_id, {money('revenue')} revenue from fact_sales
+  select seller_id, {money('revenue')} revenue from fact_sales where seller_id is not null
   group by seller_id order by revenue desc, seller_id limit 10
 ) t left join dim_seller s on t.seller_id = s.seller_id"""
 
@@ -369,11 +428,12 @@ from fact_sales f left join dim_customer c on f.customer_id = c.customer_id
 where c.customer_state is not null group by c.customer_state"""
 
 BODIES["kpi_payment_totals"] = f"""
-select payment_type, {money('payment_value')} payment_value from fact_payments group by payment_type"""
+select payment_type, {money('payment_value')} payment_value from fact_payments
+where payment_type is not null group by payment_type"""
 
 _PAY_MONTHLY = f"""(
   select {_PERIOD} purchase_month, payment_type, {money('payment_value')} payment_value
-  from fact_payments where purchase_date is not null group by 1, 2
+  from fact_payments where purchase_date is not null and payment_type is not null group by 1, 2
 )"""
 BODIES["kpi_payment_recent_months"] = f"""
 select * from {_PAY_MONTHLY} pay
@@ -483,5 +543,11 @@ BODIES["test_not_null"] = _union(
 BODIES["test_summary"] = BODIES["test_unique"] + "\nunion all\n" + BODIES["test_not_null"]
 
 
+for _k in ("monthly_revenue", "revenue_by_category", "top_sellers", "sales_by_state", "delivery_by_state", "payment_trends", "review_by_category"):
+    BODIES[f"catalog_kpi_{_k}"] = BODIES[f"kpi_{_k}"]
+BODIES["sink_report_monthly_revenue"] = BODIES["report_monthly_revenue"]
+BODIES["sink_dq_null_profile"] = BODIES["dq_null_profile"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_ctes(body) for name, body in BODIES.items()}

@@ -10,17 +10,45 @@ Only actions without data dependencies between them are passed here.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 from typing import TypeVar
 
+from pyspark import InheritableThread
+
 T = TypeVar("T")
 
 DEFAULT_THREADS = 8
 
 
 def run_all(actions: Sequence[Callable[[], T]], threads: int = DEFAULT_THREADS) -> list[T]:
-    """Run ``actions`` (no dependencies between them); results in input order."""
+    """Run ``actions`` (no dependencies between them); results in input order.
+
+    The threads inherit the caller's Spark properties (scheduler pool, job
+    group).  The first error is raised once the running actions have ended.
+    """
     if threads <= 1 or len(actions) <= 1:
         return [action() for action in actions]
-    with ThreadPoolExecutor(max_workers=min(threads, len(actions))) as pool:
-        return list(pool.map(lambda action: action(), actions))
+    results: list[T | None] = [None] * len(actions)
+    errors: list[BaseException] = []
+    waiting, lock = list(enumerate(actions)), Lock()
+
+    def work() -> None:
+        while True:
+            with lock:
+                if errors or not waiting:
+                    return
+                k, action = waiting.pop(0)
+            try:
+                results[k] = action()
+            except BaseException as error:  # noqa: BLE001 - raised by the caller's thread
+                with lock:
+                    errors.append(error)
+
+    pool = [InheritableThread(target=work) for _ in range(min(threads, len(actions)))]
+    for thread in pool:
+        thread.start()
+    for thread in pool:
+        thread.join()
+    if errors:
+        raise errors[0]
+    return results

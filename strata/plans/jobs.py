@@ -9,35 +9,37 @@ re-run (or a retried stage after a lost executor) replaces its output.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from strata.operators import union_all
+from strata.operators import content_digest, union_all
 from strata.plans import medallion
 from strata.plans.medallion import STAR_TABLES, Lake
 from strata.session import run_dir
 from strata.sources import catalog, csv, lake
 from strata.sources.fixtures import RAW_TABLES
-from strata.sources.schemas import LANDING_FILES
-
-
-def landing_schemas(raw: Mapping[str, DataFrame]):
-    """Declared schemas for landing files produced from ``raw`` (same types back)."""
-    return {name: df.schema for name, df in raw.items()}
+from strata.sources.schemas import LANDING_FILES, RETAIL_SCHEMAS
 
 
 def ingest_tables(
-    spark: SparkSession, raw: Mapping[str, DataFrame], tables: tuple[str, ...] = RAW_TABLES
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame],
+    tables: tuple[str, ...] = RAW_TABLES,
+    schemas: Mapping[str, StructType] | None = None,
 ) -> tuple[str, DataFrame]:
-    """Land ``tables`` as CSV, ingest them to Parquet; returns (raw_dir, registry)."""
+    """Land ``tables`` as CSV, ingest them to Parquet; returns (raw_dir, registry).
+
+    ``schemas``: the declared types, by default those of ``raw`` itself.
+    """
     root = run_dir(spark, "ingest")
     files = [f for f in LANDING_FILES if f.table in tables]
     csv.land_tables({t: raw[t] for t in tables}, f"{root}/landing", files)
-    registry = csv.ingest(
-        spark, f"{root}/landing", f"{root}/raw", landing_schemas(raw), files
-    )
+    declared = schemas or {t: raw[t].schema for t in tables}
+    registry = csv.ingest(spark, f"{root}/landing", f"{root}/raw", declared, files)
     return f"{root}/raw", registry
 
 
@@ -45,27 +47,40 @@ def write_star(
     spark: SparkSession,
     sources: Mapping[str, DataFrame],
     star_dir: str,
-    stage_orders: bool = True,
+    stage_dir: str | None = None,
 ) -> dict[str, str]:
     """Build and write the nine star tables (K2).
 
     ``silver_orders`` feeds five of them.  When the sources are a computed
-    lineage (``stage_orders``) it is written once and read back, so the
-    order enrichment runs once instead of once per table; over written raw
-    tables it is a pruned scan of the orders and is not staged.
+    lineage it is written once to ``stage_dir`` and read back, so the order
+    enrichment runs once instead of once per table; over written raw tables
+    it is a pruned scan of the orders and needs no stage.
     """
     models = Lake(sources)
-    if stage_orders:
-        stage = f"{star_dir}/_stage/silver_orders"
+    if stage_dir:
+        stage = f"{stage_dir}/silver_orders"
         lake.write_table(models.model("silver_orders"), stage)
         models = Lake(sources, pinned={"silver_orders": spark.read.parquet(stage)})
     return lake.write_tables({t: models.model(t) for t in STAR_TABLES}, star_dir)
 
 
-def register_lake(
-    spark: SparkSession, raw: Mapping[str, DataFrame], with_star: bool = True
-) -> str:
-    """Write raw (and star) tables and register them in the catalog (K7–K9).
+@dataclass(frozen=True)
+class Registration:
+    """Raw and star tables of one run, registered in databases of their own."""
+
+    raw_database: str
+    star_database: str
+    raw_locations: Mapping[str, str]
+    star_locations: Mapping[str, str]
+
+    def register(self, spark: SparkSession) -> None:
+        """(Re)register the written folders; no table is written again (K7–K9)."""
+        catalog.register(spark, self.raw_database, self.raw_locations)
+        catalog.register(spark, self.star_database, self.star_locations)
+
+
+def register_lake(spark: SparkSession, raw: Mapping[str, DataFrame]) -> Registration:
+    """Write raw and star tables and register them in the catalog (K7–K9).
 
     The raw tables are written side by side and registered; the star is
     then built from the registered raw tables (as the star job reads raw
@@ -73,82 +88,65 @@ def register_lake(
     during the star writes re-reads raw Parquet, not the upstream sources.
     """
     root = run_dir(spark, "catalog")
+    run = root.rsplit("-", 1)[1]
+    raw_database = catalog.run_database(catalog.RAW_DATABASE, run)
     raw_locations = lake.write_tables(dict(raw), f"{root}/raw")
-    catalog.register(spark, catalog.RAW_DATABASE, raw_locations)
-    if with_star:
-        written = {name: catalog.source(spark, name) for name in raw_locations}
-        star_locations = write_star(spark, written, f"{root}/star", stage_orders=False)
-        catalog.register(spark, catalog.STAR_DATABASE, star_locations)
-    return root
+    catalog.register(spark, raw_database, raw_locations)
+    written = {name: catalog.source(spark, name, raw_database) for name in raw_locations}
+    star_locations = write_star(spark, written, f"{root}/star")
+    done = Registration(
+        raw_database, catalog.run_database(catalog.STAR_DATABASE, run), raw_locations, star_locations
+    )
+    catalog.register(spark, done.star_database, star_locations)
+    return done
 
 
 def star_roundtrip(spark: SparkSession, raw: Mapping[str, DataFrame]) -> DataFrame:
-    """Write the star schema to Parquet and read every table back."""
+    """Write the star schema to Parquet, read every table back, and digest its content."""
     root = run_dir(spark, "star")
-    write_star(spark, raw, f"{root}/star")
+    write_star(spark, raw, f"{root}/star", f"{root}/stage")
     back = lake.read_tables(spark, f"{root}/star", STAR_TABLES)
-    return union_all(
-        [
-            df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
-            for name, df in back.items()
-        ]
-    )
+    return union_all([df.agg(F.lit(name).alias("table_name"), *content_digest(df)) for name, df in back.items()])
 
 
-def medallion_build(spark: SparkSession, raw: Mapping[str, DataFrame], layer: str | None = None):
-    """Materialize the 26 models (or one layer) from the raw source DataFrames."""
-    return medallion.build(spark, raw, f"{run_dir(spark, 'medallion')}/lake", layer=layer)
+def medallion_build(spark: SparkSession, raw: Mapping[str, DataFrame], layers: Sequence[str | None] = (None,)):
+    """Materialize the 26 models, or layer after layer, in a run's own databases; the last inventory."""
+    root = run_dir(spark, "medallion")
+    databases = medallion.run_databases(root.rsplit("-", 1)[1])
+    for layer in layers:
+        built = medallion.build(spark, raw, f"{root}/lake", layer=layer, databases=databases)
+    return built
 
 
 def publish_reports(
     spark: SparkSession,
     reports: Mapping[str, DataFrame],
     out_dir: str | None = None,
-) -> DataFrame:
-    """Report sink (K11): write every report section as its own Parquet table.
+) -> dict[str, str]:
+    """Report sink (K11): write every report section as its own Parquet table; their locations.
 
-    Sections are independent and written side by side; returns
-    (report, row_count) read back from what was written.
+    Sections are independent and written side by side.
     """
-    out_dir = out_dir or f"{run_dir(spark, 'reports')}/reports"
-    locations = lake.write_tables(dict(reports), out_dir)
-    return union_all(
-        [
-            spark.read.parquet(path).agg(
-                F.lit(name).alias("report"), F.count(F.lit(1)).alias("row_count")
-            )
-            for name, path in locations.items()
-        ]
-    )
+    return lake.write_tables(dict(reports), out_dir or f"{run_dir(spark, 'reports')}/reports")
 
 
 def run_from_landing(
     spark: SparkSession,
     landing_dir: str,
     root: str | None = None,
-    schemas=None,
+    schemas: Mapping[str, StructType] = RETAIL_SCHEMAS,
 ) -> DataFrame:
     """The whole lake from a folder of landing CSVs: ingest → register → build.
 
     Ingests every landing file present (declared schemas, default: the
     retail schemas), registers the raw tables as the catalog sources, then
-    builds the bronze, silver and gold layers from those sources.  Returns
-    the model inventory; the data tests and KPIs then read
+    builds the bronze, silver and gold models whose sources are there.
+    Returns the model inventory; the data tests and KPIs then read
     ``Lake.from_catalog(spark)``.
     """
-    from strata.sources.schemas import RETAIL_SCHEMAS
-
     root = root or run_dir(spark, "lake")
-    csv.ingest(spark, landing_dir, f"{root}/raw", schemas or RETAIL_SCHEMAS)
-    present = [t for t in RAW_TABLES if _exists(spark, f"{root}/raw/{t}")]
+    registry = csv.ingest(spark, landing_dir, f"{root}/raw", schemas)
+    present = [r["table_name"] for r in registry.select("table_name").collect()]  # nine rows at most
     catalog.register(spark, catalog.RAW_DATABASE, {t: f"{root}/raw/{t}" for t in present})
     sources = {t: catalog.source(spark, t) for t in present}
     return medallion.build(spark, sources, f"{root}/lake")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-        return True
-    except Exception:  # noqa: BLE001 - absent folder → table was skipped at ingest
-        return False

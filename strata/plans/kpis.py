@@ -15,7 +15,7 @@ integer ratios rounded half-up (``rounded_ratio``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import (
@@ -28,7 +28,7 @@ from strata.functions import (
     thousands,
     to_money_double,
 )
-from strata.operators import enrich_bounded, hot_key_join, latest_per_key_agg, top_k
+from strata.operators import enrich_bounded, top_k
 from strata.plans.medallion import Lake
 from strata.plans.models import REVIEW_COLUMNS, dedupe_review_ids
 
@@ -212,34 +212,45 @@ def payment_trends(lake: Lake) -> DataFrame:
     )
 
 
+#: Parts that an order's items are spread over in the review join.
+ORDER_PARTS = 4
+
+
 def _review_scores_by_product(lake: Lake) -> DataFrame:
     """Σ score and item rows per product for reviewed orders (J6, pre-aggregated).
 
-    The item-grain join on ``order_id`` is the one a hot order would
-    overload: its order-grain side is already partitioned on ``order_id``
-    (review dedupe), so AQE cannot split it.  It is a ``hot_key_join``:
-    items of hot orders meet their single review by broadcast (one review
-    per order, so the broadcast holds at most one row per hot order).  Composed
-    from silver, reviews are first matched to existing orders at order
-    grain (fact_sales keeps only items of existing orders), so items take
-    part in one join only.
+    Items are first counted per (order, product) with partial sums, so an
+    order that repeats a product moves one row; the review's score is then
+    weighted by the count.  The join is on the order and a part of the
+    product's hash: an order with very many products is spread, and both
+    sides are fresh exchanges that AQE can split further.  Composed from
+    silver, an order that occurs ``c`` times in ``silver_orders`` repeats
+    its items and its review ``c`` times each, as in the fact tables.
     """
     if lake.is_materialized("fact_sales") and lake.is_materialized("fact_reviews"):
-        reviews = lake.model("fact_reviews").select("order_id", "review_score")
-        items = lake.model("fact_sales").select("order_id", "product_id")
+        reviews = lake.model("fact_reviews").select("order_id", "review_score", F.lit(1).alias("times"))
+        items = lake.model("fact_sales")
     else:
-        orders = lake.model("silver_orders").select("order_id")
+        orders = lake.model("silver_orders").groupBy("order_id").agg(F.count(F.lit(1)).alias("c"))
         reviews = (
-            lake.model("silver_order_reviews").select("order_id", "review_score").join(orders, "order_id")
+            lake.model("silver_order_reviews")
+            .select("order_id", "review_score")
+            .join(orders, "order_id")
+            .select("order_id", "review_score", (F.col("c") * F.col("c")).alias("times"))
         )
-        items = lake.model("silver_order_items").select("order_id", "product_id")
+        items = lake.model("silver_order_items")
+    counted = items.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("n"))
+    part = F.pmod(F.xxhash64("product_id"), F.lit(ORDER_PARTS)).cast("int")
+    parts = F.explode(F.array(*[F.lit(k) for k in range(ORDER_PARTS)]))
+    rows = F.col("n") * F.col("times")
     return (
-        hot_key_join(items, reviews, "order_id", side_unique=True)
+        counted.withColumn("part", part)
+        .join(reviews.withColumn("part", parts), ["order_id", "part"])
         .groupBy("product_id")
         .agg(
-            F.sum("review_score").alias("s"),
-            F.count(F.lit(1)).alias("n"),
-            F.count("review_score").alias("scored"),
+            F.sum(F.col("review_score") * rows).alias("s"),
+            F.sum(rows).alias("n"),
+            F.sum(F.when(F.col("review_score").isNotNull(), rows).otherwise(0)).alias("scored"),
         )
     )
 
@@ -292,20 +303,28 @@ def monthly_revenue_period(lake: Lake) -> DataFrame:
 
 
 def total_revenue(lake: Lake) -> DataFrame:
-    """Grand total over the months of ``monthly_revenue_period`` (A4)."""
-    return _revenue_by_purchase_date(lake).agg(to_money_double(F.sum("rev")).alias("total_revenue"))
+    """Grand total of all sales, those of orders without a purchase date included (A4)."""
+    return _revenue_by_order_attribute(lake, "purchase_date").agg(
+        to_money_double(F.sum("rev")).alias("total_revenue")
+    )
 
 
 def report_monthly_revenue(lake: Lake) -> DataFrame:
     """Report lines: each month's revenue as ``1,234.56`` text, then the total.
 
     The facts are aggregated once to months; the total is a ``rollup`` over
-    those few month rows, so the sales are scanned a single time.
+    those few month rows, so the sales are scanned a single time.  Revenue
+    without a purchase date has no line but counts in the total.
     """
+    months = (
+        _revenue_by_order_attribute(lake, "purchase_date")
+        .groupBy(_month_of("purchase_date").alias("m"))
+        .agg(F.sum("rev").alias("rev"))
+    )
     lines = (
-        _revenue_by_month(lake)
-        .rollup("m")
+        months.rollup("m")
         .agg(F.sum("rev").alias("rev"), F.grouping("m").alias("is_total"))
+        .where(F.col("m").isNotNull() | (F.col("is_total") == 1))
     )
     return lines.select(
         F.when(F.col("is_total") == 1, F.lit("Total revenue"))
@@ -332,13 +351,13 @@ def category_top10(lake: Lake, k: int = 10) -> DataFrame:
 
 
 def sellers_top10(lake: Lake, k: int = 10) -> DataFrame:
-    """KPI 3 (pandas form): aggregate, take the top ``k``, then enrich."""
-    by_seller = _revenue_by(lake.model("fact_sales"), "seller_id").select(
+    """KPI 3 (pandas form): aggregate, take the top ``k``, then enrich (J8); a NULL seller is no group."""
+    by_seller = _revenue_by(lake.model("fact_sales").where(F.col("seller_id").isNotNull()), "seller_id").select(
         "seller_id", to_money_double("rev").alias("revenue")
     )
     best = top_k(by_seller, k, [F.desc("revenue"), F.asc("seller_id")])
     sellers = lake.model("dim_seller").select("seller_id", "seller_city", "seller_state")
-    return enrich_bounded(best, sellers, "seller_id").select(
+    return enrich_bounded(best, k, sellers, "seller_id").select(
         "seller_id",
         id_prefix("seller_id").alias("seller_label"),
         "seller_city",
@@ -374,29 +393,25 @@ def _payments_by_month(lake: Lake) -> DataFrame:
 
 
 def payment_totals(lake: Lake) -> DataFrame:
-    """Total payment value per type (pandas form of KPI 6)."""
+    """Total payment value per type (pandas form of KPI 6); a NULL type is no group."""
     return (
         _payments_by(lake, ())
+        .where(F.col("payment_type").isNotNull())
         .select("payment_type", to_money_double("rev").alias("payment_value"))
-        .orderBy(F.desc("payment_value"), F.asc_nulls_last("payment_type"))
+        .orderBy(F.desc("payment_value"), "payment_type")
     )
 
 
 def payment_recent_months(lake: Lake, months: int = 6) -> DataFrame:
-    """Month × type values for the last ``months`` distinct months.
+    """Month × type values for the last ``months`` distinct months (A13, J9); a NULL type is no group.
 
-    The month × type aggregate is small (calendar months × payment types),
-    so the recent months are picked with a ``dense_rank`` over it instead of
-    aggregating the payments a second time for a semi-join.
+    The recent months are the top of the distinct months (each task keeps
+    ``months`` of them), and the month × type aggregate is semi-joined to
+    them; its exchange is reused.
     """
-    pay = _payments_by_month(lake)
-    recency = F.dense_rank().over(Window.orderBy(F.desc("purchase_month")))
-    return (
-        pay.withColumn("__recency", recency)
-        .where(F.col("__recency") <= months)
-        .drop("__recency")
-        .orderBy("purchase_month", "payment_type")
-    )
+    pay = _payments_by_month(lake).where(F.col("payment_type").isNotNull())
+    recent = pay.select("purchase_month").distinct().orderBy(F.desc("purchase_month")).limit(months)
+    return pay.join(recent, "purchase_month", "left_semi").orderBy("purchase_month", "payment_type")
 
 
 def review_top15(lake: Lake, k: int = 15) -> DataFrame:
@@ -420,10 +435,22 @@ def review_top15(lake: Lake, k: int = 15) -> DataFrame:
 
 
 def latest_review_per_order(lake: Lake) -> DataFrame:
-    """The window-free form of the per-order review rule."""
-    one_per_review = dedupe_review_ids(lake.model("bronze_order_reviews"))
-    picked = latest_per_key_agg(
-        one_per_review.select(*REVIEW_COLUMNS), ["order_id"], "review_answer_timestamp", ["review_id"]
+    """The window-free form of the per-order review rule.
+
+    The aggregate holds only keys and ordering columns (fixed-width ones, and
+    the review id as the tie-break); the payload of the winners is joined back.
+    """
+    one_per_review = dedupe_review_ids(lake.model("bronze_order_reviews")).select(*REVIEW_COLUMNS)
+    latest = one_per_review.groupBy("order_id").agg(F.max("review_answer_timestamp").alias("last"))
+    at_last = one_per_review.join(
+        latest.withColumnRenamed("order_id", "latest_order"),
+        F.col("order_id").eqNullSafe(F.col("latest_order"))
+        & F.col("review_answer_timestamp").eqNullSafe(F.col("last")),
+    )
+    first = at_last.groupBy("order_id").agg(F.min(F.struct("review_id"))["review_id"].alias("first_id"))
+    picked = one_per_review.join(
+        first.withColumnRenamed("order_id", "picked_order"),
+        F.col("order_id").eqNullSafe(F.col("picked_order")) & F.col("review_id").eqNullSafe(F.col("first_id")),
     )
     return picked.select(*REVIEW_COLUMNS).withColumn(
         "review_score", F.col("review_score").try_cast("int")

@@ -14,13 +14,13 @@ filter runs one layer only, reading upstream layers from the catalog.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import union_all
+from strata.operators import content_digest, union_all
 from strata.plans import models as m
 from strata.parallel import DEFAULT_THREADS, run_all
 
@@ -42,6 +42,7 @@ def _bronze(table: str) -> Model:
 
 
 # Dependency order: every model appears after its inputs.
+# Model, layer and table names are what readers of the lake expect.
 MODELS: tuple[Model, ...] = (
     _bronze("category_translation"),
     _bronze("customers"),
@@ -156,6 +157,20 @@ def table_name(model: Model, databases: Mapping[str, str] | None = None) -> str:
     return f"{db}.{model.alias}"
 
 
+def run_databases(run: str) -> dict[str, str]:
+    """Layer databases of one run, so that concurrent runs do not overwrite each other's tables."""
+    return {layer: f"{layer}__{run}" for layer in LAYERS}
+
+
+def buildable(sources: Collection[str]) -> list[Model]:
+    """The models whose sources are all there, in dependency order."""
+    found: dict[str, Model] = {}
+    for spec in MODELS:
+        if all(ref[len(SOURCE) :] in sources if ref.startswith(SOURCE) else ref in found for ref in spec.inputs):
+            found[spec.name] = spec
+    return list(found.values())
+
+
 def build(
     spark: SparkSession,
     sources: Mapping[str, DataFrame],
@@ -170,21 +185,26 @@ def build(
     table at ``{root}/{layer}/{alias}`` and registered as ``{layer}.{alias}``
     (a full rebuild per run, like a ``table`` materialization).  Layers run
     in order; the models of one layer depend only on earlier layers, so
-    they are written side by side from ``threads`` driver threads.
+    they are written side by side from ``threads`` driver threads.  A model
+    that needs an absent source is left out, and so is what depends on it.
     """
     if layer is not None and layer not in LAYERS:
         raise ValueError(f"unknown layer {layer!r}; expected one of {LAYERS}")
+    # a later layer alone reads the earlier ones from the catalog
+    possible = buildable(sources) if layer in (None, "bronze") else list(MODELS)
     built: list[Model] = []
     for current in LAYERS:
         if layer is not None and current != layer:
             continue
-        specs = [spec for spec in MODELS if spec.layer == current]
+        specs = [spec for spec in possible if spec.layer == current]
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {(databases or {}).get(current, current)}")
         run_all(
             [lambda spec=spec: _write_model(spark, spec, sources, root, databases) for spec in specs],
             threads,
         )
         built += specs
+    if not built:
+        raise ValueError("no model can be built from the sources given")
     return inventory(spark, built, databases)
 
 
@@ -213,15 +233,16 @@ def _write_model(
 def inventory(
     spark: SparkSession, built: list[Model], databases: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """(layer, model, table_name, rows) for materialized models, as one Spark job."""
+    """(layer, model, table_name, row_count, digest) of materialized models, as one Spark job."""
+    frames = [(spec, spark.table(table_name(spec, databases))) for spec in built]
     return union_all(
         [
-            spark.table(table_name(spec, databases)).agg(
+            df.agg(
                 F.lit(spec.layer).alias("layer"),
                 F.lit(spec.name).alias("model"),
                 F.lit(spec.alias).alias("table_name"),
-                F.count(F.lit(1)).alias("row_count"),
+                *content_digest(df),
             )
-            for spec in built
+            for spec, df in frames
         ]
     )

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from strata.plans import charts, jobs, kpis, medallion, quality
 from strata.plans.medallion import Lake
-from strata.session import run_dir
 from strata.sources import catalog
 from strata.sources.fixtures import RAW_TABLES, raw_tables
+from strata.sources.schemas import RETAIL_SCHEMAS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,28 +47,75 @@ def ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{raw_dir}/order_reviews")
 
 
+def _ingest(table: str) -> Query:
+    """One table through CSV landing and the declared retail schema, whole."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw_dir, _ = jobs.ingest_tables(spark, raw_tables(spark, sf_dir), (table,), RETAIL_SCHEMAS)
+        return spark.read.parquet(f"{raw_dir}/{table}")
+
+    run.__name__ = f"ingest_{table}"
+    return run
+
+
 def ingest_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All nine landing files ingested; rows per loaded table."""
-    _, registry = jobs.ingest_tables(spark, raw_tables(spark, sf_dir))
+    """All nine landing files ingested; rows and malformed cells per loaded table."""
+    _, registry = jobs.ingest_tables(spark, raw_tables(spark, sf_dir), schemas=RETAIL_SCHEMAS)
     return registry
 
 
+# One written and registered lake per session and folder, shared by the catalog keys.
+_REGISTERED: dict[tuple[str, str], jobs.Registration] = {}
+
+
+def registered(spark: SparkSession, sf_dir: str) -> jobs.Registration:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _REGISTERED:
+        _REGISTERED[key] = jobs.register_lake(spark, raw_tables(spark, sf_dir))
+    return _REGISTERED[key]
+
+
 def catalog_register(spark: SparkSession, sf_dir: str) -> DataFrame:
-    jobs.register_lake(spark, raw_tables(spark, sf_dir))
-    return catalog.table_counts(spark, catalog.RAW_DATABASE, RAW_TABLES).unionByName(
-        catalog.table_counts(spark, catalog.STAR_DATABASE, medallion.STAR_TABLES)
+    """The written folders registered (again); content of every table, read through the catalog."""
+    done = registered(spark, sf_dir)
+    done.register(spark)
+    return catalog.table_digests(spark, done.raw_database, RAW_TABLES).unionByName(
+        catalog.table_digests(spark, done.star_database, medallion.STAR_TABLES)
     )
 
 
 def catalog_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    jobs.register_lake(spark, raw_tables(spark, sf_dir))
-    return catalog.list_tables(spark, [catalog.RAW_DATABASE, catalog.STAR_DATABASE])
+    done = registered(spark, sf_dir)
+    return catalog.list_tables(spark, [done.raw_database, done.star_database])
 
 
 def catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_tables(spark, sf_dir)
-    jobs.register_lake(spark, {"orders": raw["orders"]}, with_star=False)
-    return catalog.source(spark, "orders")
+    return catalog.source(spark, "orders", registered(spark, sf_dir).raw_database)
+
+
+def catalog_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Content of the nine declared sources, read through the catalog."""
+    return catalog.table_digests(spark, registered(spark, sf_dir).raw_database, RAW_TABLES)
+
+
+def _on_catalog(name: str, fn: Callable[[Lake], DataFrame]) -> Query:
+    """A business question over the registered star tables, as production asks it."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(Lake.from_catalog(spark, {"gold": registered(spark, sf_dir).star_database}, ("gold",)))
+
+    run.__name__ = name
+    return run
+
+
+def _report_section(name: str, fn: Callable[[Lake], DataFrame]) -> Query:
+    """A report section through the Parquet sink, read back."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return spark.read.parquet(jobs.publish_reports(spark, {name: fn(lake(spark, sf_dir))})[name])
+
+    run.__name__ = f"sink_{name}"
+    return run
 
 
 def medallion_build(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,9 +124,7 @@ def medallion_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def medallion_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze, then silver alone: the silver run reads bronze from the catalog."""
-    raw = raw_tables(spark, sf_dir)
-    jobs.medallion_build(spark, raw, layer="bronze")
-    return medallion.build(spark, raw, run_dir(spark, "layer"), layer="silver")
+    return jobs.medallion_build(spark, raw_tables(spark, sf_dir), ("bronze", "silver"))
 
 
 def star_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +136,17 @@ def preview_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake(spark, sf_dir).model("bronze_orders").orderBy(F.asc("order_id")).limit(1000)
 
 
+# The business questions in SQL form.
+SQL_KPIS: dict[str, Callable[[Lake], DataFrame]] = {
+    "monthly_revenue": kpis.monthly_revenue,
+    "revenue_by_category": kpis.revenue_by_category,
+    "top_sellers": kpis.top_sellers,
+    "sales_by_state": kpis.sales_by_state,
+    "delivery_by_state": kpis.delivery_by_state,
+    "payment_trends": kpis.payment_trends,
+    "review_by_category": kpis.review_by_category,
+}
+
 QUERIES: dict[str, Query] = {
     # sources / sinks / catalog
     "ingest_csv": ingest_csv,
@@ -98,6 +154,11 @@ QUERIES: dict[str, Query] = {
     "catalog_register": catalog_register,
     "catalog_list": catalog_list,
     "catalog_scan": catalog_scan,
+    "catalog_sources": catalog_sources,
+    **{f"ingest_{t}": _ingest(t) for t in RAW_TABLES},
+    **{f"catalog_kpi_{k}": _on_catalog(f"catalog_kpi_{k}", fn) for k, fn in SQL_KPIS.items()},
+    "sink_report_monthly_revenue": _report_section("report_monthly_revenue", kpis.report_monthly_revenue),
+    "sink_dq_null_profile": _report_section("dq_null_profile", quality.null_profile),
     "preview_orders": preview_orders,
     "star_roundtrip": star_roundtrip,
     "medallion_build": medallion_build,

@@ -10,9 +10,12 @@ cluster the job is handed the cluster's session.
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import re
 import uuid
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 # Settings that matter at scale: AQE re-plans joins from runtime sizes,
@@ -50,25 +53,44 @@ def shared_root(spark: SparkSession) -> str:
     """Root folder for everything a job writes (lake tables, landing files).
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; it is read
-    from the session.  Only when it is unset (local tests) a private folder
-    is created and installed as the checkpoint directory.
+    from the session.  Where it is unset, only a local session, whose executor
+    is the driver, gets a folder of its own; a cluster must name one.
     """
     root = None
     try:
         root = spark.sparkContext.getCheckpointDir()
-    except Exception:  # noqa: BLE001 - no SparkContext in a Spark Connect session
+    except PySparkException:  # no SparkContext in a Spark Connect session
         pass
+    root = root or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="strata-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:  # noqa: BLE001
-            spark.conf.set("spark.checkpoint.dir", root)
+        context = spark.sparkContext
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        own = context._jvm.java.lang.System.getProperty("java.io.tmpdir")
+        root = f"{own}/strata-{context.applicationId}"
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+_RUN_DIRS: list[tuple[SparkSession, str]] = []
+
+
 def run_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh, never-reused folder below the shared root for one run."""
-    return f"{shared_root(spark)}/strata/{purpose}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never-reused folder below the shared root for one run.
+
+    Results read from it lazily, so it is removed when the driver ends.
+    """
+    path = f"{shared_root(spark)}/strata/{purpose}-{uuid.uuid4().hex[:12]}"
+    if not _RUN_DIRS:
+        atexit.register(_remove_run_dirs)
+    _RUN_DIRS.append((spark, path))
+    return path
+
+
+def _remove_run_dirs() -> None:
+    for spark, path in _RUN_DIRS:
+        try:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        except (Py4JError, OSError, AttributeError):  # the JVM has gone first; the folder stays
+            return

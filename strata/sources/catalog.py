@@ -10,23 +10,37 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import union_all
+from strata.operators import content_digest, union_all
 
 # Database names of the raw and star tables.
 RAW_DATABASE = "olist"
 STAR_DATABASE = "olist_star"
 
 
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def run_database(name: str, run: str) -> str:
+    """The database of one run: concurrent runs do not meet."""
+    return f"{name}__{run}"
+
+
+def logical_name(database: Column) -> Column:
+    """The database name without its run."""
+    return F.substring_index(database, "__", 1)
+
+
 def registration_sql(database: str, locations: Mapping[str, str]) -> list[str]:
     """The statements that (re)register ``{table: location}`` in ``database``."""
     statements = [f"CREATE DATABASE IF NOT EXISTS {database}"]
     for table, location in locations.items():
         statements.append(f"DROP TABLE IF EXISTS {database}.{table}")
         statements.append(
-            f"CREATE TABLE {database}.{table} USING PARQUET LOCATION '{location}'"
+            f"CREATE TABLE {database}.{table} USING PARQUET LOCATION '{_quoted(location)}'"
         )
     return statements
 
@@ -37,25 +51,26 @@ def register(spark: SparkSession, database: str, locations: Mapping[str, str]) -
 
 
 def list_tables(spark: SparkSession, databases: Sequence[str]) -> DataFrame:
-    """``SHOW TABLES IN`` each database, stacked.
+    """``SHOW TABLES IN`` each database, stacked (K10), under the databases' logical names.
 
     ``SHOW TABLES`` also lists the session's temporary views under every
     database; only the registered tables of the database are kept.
     """
     listed = union_all([spark.sql(f"SHOW TABLES IN {db}") for db in databases])
-    return listed.where(~F.col("isTemporary"))
+    return listed.where(~F.col("isTemporary")).withColumn("namespace", logical_name(F.col("namespace")))
 
 
-def table_counts(spark: SparkSession, database: str, tables: Sequence[str]) -> DataFrame:
-    """(database, table_name, rows) of registered tables, read through the catalog."""
+def table_digests(spark: SparkSession, database: str, tables: Sequence[str]) -> DataFrame:
+    """(database_name, table_name, row_count, digest) of registered tables, read through the catalog."""
+    frames = {t: spark.table(f"{database}.{t}") for t in tables}
     return union_all(
         [
-            spark.table(f"{database}.{t}").agg(
-                F.lit(database).alias("database_name"),
+            df.agg(
+                logical_name(F.lit(database)).alias("database_name"),
                 F.lit(t).alias("table_name"),
-                F.count(F.lit(1)).alias("row_count"),
+                *content_digest(df),
             )
-            for t in tables
+            for t, df in frames.items()
         ]
     )
 

@@ -4,55 +4,91 @@ Files are parsed as RFC 4180: fields may be quoted, a quote inside a
 quoted field is doubled, and (for the free-text table) a quoted field may
 span lines.  A file written by Spark is a directory of part files, so even
 the multi-line table is read in parallel, one task per part file.
+
+Columns are bound by the names in the header, whatever their order, and
+every file's header is checked against them.  Cells are read as text and
+cast, so a malformed cell becomes NULL and is counted.  An empty cell, quoted
+or not, is NULL.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
+from strata.operators import union_all
 from strata.parallel import DEFAULT_THREADS, run_all
 from strata.sources.schemas import LANDING_FILES, RETAIL_SCHEMAS, LandingFile
 
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
-
 CSV_OPTIONS = {
     "header": "true",
     "quote": '"',
     "escape": '"',
-    "timestampNTZFormat": TIMESTAMP_FORMAT,
-    "timestampFormat": TIMESTAMP_FORMAT,
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
 }
-
-
-# Landing files are cut at this many records: a multi-line CSV file is read
-# by a single task, so many moderate files keep the ingest parallel.
-LANDING_RECORDS_PER_FILE = 100_000
+TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Land a DataFrame as a headed, RFC 4180 quoted CSV dataset."""
+    """Land a DataFrame as a headed, RFC 4180 quoted CSV dataset, a file per partition."""
     (
         df.write.mode("overwrite")
-        .options(**CSV_OPTIONS)
-        .option("maxRecordsPerFile", LANDING_RECORDS_PER_FILE)
+        .options(**CSV_OPTIONS, timestampNTZFormat=TIMESTAMP_FORMAT, timestampFormat=TIMESTAMP_FORMAT)
         .csv(path)
     )
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool = False) -> DataFrame:
-    """Read a landing CSV with a declared schema (no inference)."""
-    reader = spark.read.schema(schema).options(**CSV_OPTIONS)
-    if multiline:
-        reader = reader.option("multiLine", "true")
-    return reader.csv(path)
+def read_text_cells(spark: SparkSession, path: str, schema: StructType, multiline: bool = False) -> DataFrame:
+    """The declared columns of a landing CSV as text, bound by header name.
+
+    Other columns are left out; a declared one that is missing is an error,
+    as is a file whose header differs from the others'.
+    """
+    options = {**CSV_OPTIONS, "multiLine": str(multiline).lower()}
+    header = spark.read.options(**options).csv(path).columns
+    missing = [c for c in schema.names if c not in header]
+    if missing:
+        raise ValueError(f"{path}: the header lacks {', '.join(missing)}")
+    text = StructType([StructField(c, StringType(), True) for c in header])
+    cells = spark.read.schema(text).options(**options, enforceSchema="false").csv(path)
+    return cells.select(*schema.names)
+
+
+def _typed(field: StructField) -> Column:
+    return F.col(field.name).try_cast(field.dataType)
+
+
+def _malformed(schema: StructType) -> Column:
+    """Malformed cells of a row: text that its declared type does not take."""
+    bad = [(F.col(f.name).isNotNull() & _typed(f).isNull()).cast("long") for f in schema if f.dataType != StringType()]
+    return reduce(Column.__add__, bad, F.lit(0).cast("long"))
 
 
-def _is_missing(err: AnalysisException) -> bool:
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    multiline: bool = False,
+    observation: Observation | None = None,
+) -> DataFrame:
+    """Read a landing CSV with a declared schema (no inference); malformed cells are NULL.
+
+    ``observation`` gets ``malformed``, the count of those cells, when the
+    result is written.
+    """
+    cells = read_text_cells(spark, path, schema, multiline)
+    if observation is not None:
+        cells = cells.observe(observation, F.coalesce(F.sum(_malformed(schema)), F.lit(0)).alias("malformed"))
+    return cells.select(*[_typed(f).alias(f.name) for f in schema])
+
+
+def is_missing(err: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in (err.getCondition() or "") or "Path does not exist" in str(err)
 
 
@@ -84,40 +120,39 @@ def ingest(
     """Convert every landing CSV to a Parquet table ``{raw_dir}/{table}``.
 
     A missing landing directory is an error; a missing file is skipped.
-    Returns the registry of loaded tables (table_name, file_name, rows),
-    counted from the written Parquet.
+    Returns the registry of loaded tables (table_name, file_name, row_count,
+    malformed_cells), with rows counted from the written Parquet.
     """
     try:
         spark.read.format("text").load(landing_dir)
     except AnalysisException as err:
-        if _is_missing(err):
+        if is_missing(err):
             raise FileNotFoundError(f"landing directory not found: {landing_dir}") from err
         raise
-    present: list[tuple[LandingFile, DataFrame]] = []
+    present: list[tuple[LandingFile, DataFrame, Observation]] = []
     for f in files:
+        seen = Observation(f"ingest_{f.table}")
         try:
-            df = read_csv(spark, f"{landing_dir}/{f.file_name}", schemas[f.table], f.multiline)
+            df = read_csv(spark, f"{landing_dir}/{f.file_name}", schemas[f.table], f.multiline, seen)
         except AnalysisException as err:
-            if _is_missing(err):
+            if is_missing(err):
                 continue  # skip an absent file
             raise
-        present.append((f, df))
+        present.append((f, df, seen))
+    if not present:
+        raise FileNotFoundError(f"no landing file found in {landing_dir}")
     run_all(
-        [lambda f=f, df=df: df.write.mode("overwrite").parquet(f"{raw_dir}/{f.table}") for f, df in present],
+        [lambda f=f, df=df: df.write.mode("overwrite").parquet(f"{raw_dir}/{f.table}") for f, df, _ in present],
         threads,
     )
-    loaded = [f for f, _ in present]
-    if not loaded:
-        raise FileNotFoundError(f"no landing file found in {landing_dir}")
-    frames = [
-        spark.read.parquet(f"{raw_dir}/{f.table}").agg(
-            F.lit(f.table).alias("table_name"),
-            F.lit(f.file_name).alias("file_name"),
-            F.count(F.lit(1)).alias("row_count"),
-        )
-        for f in loaded
-    ]
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
+    return union_all(
+        [
+            spark.read.parquet(f"{raw_dir}/{f.table}").agg(
+                F.lit(f.table).alias("table_name"),
+                F.lit(f.file_name).alias("file_name"),
+                F.count(F.lit(1)).alias("row_count"),
+                F.lit(seen.get["malformed"]).cast("long").alias("malformed_cells"),
+            )
+            for f, _, seen in present
+        ]
+    )

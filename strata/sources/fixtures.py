@@ -30,30 +30,18 @@ RAW_TABLES = (
 )
 
 
-# The driver's test tables are read-only: each is opened (files listed,
-# footer schema read) once per session, and every query reuses that
-# DataFrame, as it would a table registered in the catalog.
-_OPENED: dict[str, tuple[SparkSession, DataFrame]] = {}
-
-
-def open_table(spark: SparkSession, path: str) -> DataFrame:
-    hit = _OPENED.get(path)
-    if hit is not None and hit[0] is spark:
-        return hit[1]
-    df = spark.read.parquet(path)
-    _OPENED[path] = (spark, df)
-    return df
-
-
 class TestTables:
     """Lazy readers for the driver tables of one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._opened: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return open_table(self.spark, f"{self.sf_dir}/{name}.parquet")
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._opened[name]
 
 
 def _purchase_ts(orderdate: Column, orderkey: Column) -> Column:
@@ -243,7 +231,3 @@ class RawTables(Mapping[str, DataFrame]):
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     """The nine raw tables of the lake, derived lazily from one test folder."""
     return RawTables(spark, sf_dir)
-
-
-def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ADAPTERS[name](TestTables(spark, sf_dir))

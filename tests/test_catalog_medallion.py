@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ def test_registration_sql_is_idempotent_text():
         "DROP TABLE IF EXISTS db1.t",
         "CREATE TABLE db1.t USING PARQUET LOCATION 'file:/x/t'",
     ]
+    assert catalog.registration_sql("d", {"t": "/it's"})[2].endswith("LOCATION '/it\\'s'")
 
 
 def test_register_twice_and_drop_keeps_files(spark, scratch):
@@ -41,13 +44,15 @@ def test_models_are_in_dependency_order():
 
 
 def test_layer_build_reads_upstream_from_catalog(spark, sf_dir):
-    inv = jobs.medallion_build(spark, raw_tables(spark, sf_dir), layer="bronze")
+    root = jobs.run_dir(spark, "t")
+    own = medallion.run_databases("layers")
+    inv = medallion.build(spark, raw_tables(spark, sf_dir), root, layer="bronze", databases=own)
     assert inv.count() == 9
     # no sources at all: every silver input must come from the bronze tables
-    silver = medallion.build(spark, {}, jobs.run_dir(spark, "t"), layer="silver")
+    silver = medallion.build(spark, {}, root, layer="silver", databases=own)
     rows = {r.model: r.row_count for r in silver.collect()}
     assert set(rows) == {m.name for m in medallion.MODELS if m.layer == "silver"}
-    assert rows["silver_order_reviews"] == spark.table("silver.order_reviews").count()
+    assert rows["silver_order_reviews"] == spark.table("silver__layers.order_reviews").count()
 
 
 def test_layers_only_depend_on_earlier_layers():
@@ -71,20 +76,54 @@ def test_star_roundtrip_counts_match_lazy_models(spark, sf_dir):
 
 
 def test_catalog_lists_all_registered_tables(spark, sf_dir):
-    jobs.register_lake(spark, raw_tables(spark, sf_dir))
-    listed = catalog.list_tables(spark, [catalog.RAW_DATABASE, catalog.STAR_DATABASE])
+    done = jobs.register_lake(spark, raw_tables(spark, sf_dir))
+    other = jobs.register_lake(spark, raw_tables(spark, sf_dir))
+    assert done.raw_database != other.raw_database  # two runs do not meet
+    listed = catalog.list_tables(spark, [done.raw_database, done.star_database])
     names = {(r.namespace, r.tableName) for r in listed.collect()}
-    assert {(catalog.RAW_DATABASE, t) for t in RAW_TABLES} <= names
-    assert {(catalog.STAR_DATABASE, t) for t in medallion.STAR_TABLES} <= names
-    orders = catalog.source(spark, "orders")
+    assert names == {(catalog.RAW_DATABASE, t) for t in RAW_TABLES} | {
+        (catalog.STAR_DATABASE, t) for t in medallion.STAR_TABLES
+    }
+    orders = catalog.source(spark, "orders", done.raw_database)
     assert orders.agg(F.count("*")).first()[0] == raw_tables(spark, sf_dir)["orders"].count()
 
 
+def test_absent_sources_leave_out_their_models():
+    names = {m.name for m in medallion.buildable({"orders", "order_items"})}
+    assert names == {
+        "bronze_orders", "bronze_order_items", "silver_orders", "silver_order_items",
+        "dim_date", "fact_orders", "fact_sales",
+    }
+    assert len(medallion.buildable(set(RAW_TABLES))) == 26
+
+
+def test_partial_landing_builds_what_it_can(spark, scratch):
+    root = Path(scratch.removeprefix("file:"))
+    (root / "landing").mkdir(parents=True)
+    (root / "landing" / "product_category_name_translation.csv").write_text(
+        "product_category_name,product_category_name_english\ncama,bed\n"
+    )
+    built = jobs.run_from_landing(spark, f"{scratch}/landing", scratch).collect()
+    assert [(r.model, r.row_count) for r in built] == [("bronze_category_translation", 1)]
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace
+
+    from strata.session import shared_root
+
+    unset = SimpleNamespace(get=lambda *_: None)
+    cluster = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://head:7077")
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_root(SimpleNamespace(sparkContext=cluster, conf=unset))
+
+
 def test_kpis_over_materialized_gold_equal_lazy_kpis(spark, sf_dir):
     from strata.plans import kpis
 
-    jobs.medallion_build(spark, raw_tables(spark, sf_dir))
-    built = medallion.Lake.from_catalog(spark)
+    own = medallion.run_databases("gold_test")
+    medallion.build(spark, raw_tables(spark, sf_dir), jobs.run_dir(spark, "t"), databases=own)
+    built = medallion.Lake.from_catalog(spark, own)
     lazy = medallion.Lake(raw_tables(spark, sf_dir))
     for fn in (kpis.monthly_revenue, kpis.review_by_category, kpis.delivery_by_state,
                kpis.payment_trends, kpis.payment_totals, kpis.total_revenue, kpis.sales_by_state):
@@ -103,6 +142,7 @@ def test_publish_reports_writes_each_section(spark, sf_dir, scratch):
         "kpi_monthly_revenue": kpis.monthly_revenue(lazy),
         "dq_null_profile": quality.null_profile(lazy),
     }
-    written = {r.report: r.row_count for r in jobs.publish_reports(spark, reports, scratch).collect()}
-    assert written == {name: df.count() for name, df in reports.items()}
+    written = jobs.publish_reports(spark, reports, scratch)
+    for name, df in reports.items():
+        assert sorted(map(str, spark.read.parquet(written[name]).collect())) == sorted(map(str, df.collect()))
     assert spark.read.parquet(f"{scratch}/dq_null_profile").columns[-1] == "pct_text"

@@ -5,17 +5,16 @@ from __future__ import annotations
 import datetime as dt
 from fractions import Fraction
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from strata.functions import rounded_ratio
 from strata.operators import (
+    content_digest,
     enrich_bounded,
-    has_at_most,
     latest_per_key,
-    latest_per_key_agg,
-    lookup_join,
     top_k,
 )
 
@@ -59,12 +58,10 @@ TS = [None, dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 2), dt.datetime(2020,
         max_size=30,
     )
 )
-def test_window_and_aggregate_dedupe_agree(spark, rows):
+def test_window_dedupe_keeps_the_newest(spark, rows):
     data = [(k, TS[t], tb, i) for i, (k, t, tb) in enumerate(rows)]
     df = spark.createDataFrame(data, "k string, ts timestamp_ntz, tb int, i int")
     a = sorted(tuple(r) for r in latest_per_key(df, ["k"], "ts", ["tb", "i"]).collect())
-    b = sorted(tuple(r) for r in latest_per_key_agg(df, ["k"], "ts", ["tb", "i"]).collect())
-    assert a == b
     # reference by plain Python: newest time first, NULL last, then tb, then i
     best = {}
     for k, ts, tb, i in data:
@@ -74,21 +71,42 @@ def test_window_and_aggregate_dedupe_agree(spark, rows):
     assert a == sorted(v for _, v in best.values())
 
 
-def test_lookup_join_checks_its_bound(spark):
-    facts = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "k int, v string")
-    lookup = spark.createDataFrame([(1, "one"), (2, "two")], "k int, name string")
-    assert has_at_most(lookup, 2) and not has_at_most(lookup, 1)
-    small = lookup_join(facts, lookup, "k", "left", max_rows=10)
-    big = lookup_join(facts, lookup, "k", "left", max_rows=1)
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
-    plan_small = small._jdf.queryExecution().logical().toString()
-    plan_big = big._jdf.queryExecution().logical().toString()
-    assert "broadcast" in plan_small.lower() and "broadcast" not in plan_big.lower()
-
-
 def test_enrich_bounded_keeps_every_bounded_row(spark):
     sales = spark.createDataFrame([(1, 10.0), (2, 30.0), (3, 20.0), (9, 50.0)], "k int, v double")
     dim = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, name string")
     best = top_k(sales, 2, [F.desc("v"), F.asc("k")])
-    got = sorted(map(tuple, enrich_bounded(best, dim, "k").select("k", "name", "v").collect()))
+    got = sorted(map(tuple, enrich_bounded(best, 2, dim, "k").select("k", "name", "v").collect()))
     assert got == [(2, "b", 30.0), (9, None, 50.0)]
+
+
+def test_enrichment_takes_a_bounded_number_of_rows(spark):
+    dim = spark.range(5).withColumnRenamed("id", "k")
+    assert enrich_bounded(dim, 3, dim, "k").count() == 3
+    for k in (0, 10_001):
+        with pytest.raises(ValueError):
+            enrich_bounded(dim, k, dim, "k")
+
+
+def test_content_digest_sees_values_and_not_order(spark):
+    rows = [(1, "a", 1.5), (2, None, None), (3, "c", 0.1)]
+    make = lambda data: spark.createDataFrame(data, "x int, y string, z double")
+    digest = lambda df: tuple(df.agg(*content_digest(df)).first())
+    first = digest(make(rows))
+    assert first == digest(make(rows[::-1]).repartition(3)) == digest(make(rows).select("z", "y", "x"))
+    assert first != digest(make([*rows[:2], (3, "c", 0.2)])) and first[0] == 3
+    assert digest(make(rows[:0])) == (0, "0")
+
+
+def test_threads_inherit_properties_and_raise(spark):
+    from strata.parallel import run_all
+
+    context = spark.sparkContext
+    context.setLocalProperty("strata.test", "here")
+    try:
+        seen = run_all([lambda: context.getLocalProperty("strata.test")] * 3, threads=2)
+    finally:
+        context.setLocalProperty("strata.test", None)
+    assert seen == ["here"] * 3
+    assert run_all([lambda k=k: k for k in range(20)], threads=4) == list(range(20))
+    with pytest.raises(ZeroDivisionError):
+        run_all([lambda: 1 // 0, lambda: 2], threads=2)

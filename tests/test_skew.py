@@ -13,7 +13,6 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators import find_hot_keys, hot_key_join
 from strata.plans import kpis
 from strata.plans.medallion import Lake
 
@@ -124,15 +123,7 @@ def test_hot_review_id_dedupe_is_exact(spark, sources, expected_reviews):
     assert sorted(map(tuple, got.values.tolist())) == sorted(map(tuple, exp.values.tolist()))
 
 
-def test_hot_order_is_found_and_bounded(spark, sources):
-    items = Lake(sources).model("silver_order_items")
-    assert find_hot_keys(items, "order_id", N_ITEMS // 4) == [HOT_ORDER]
-    assert find_hot_keys(items, "order_id", N_ITEMS) == []
-    assert find_hot_keys(items, "order_id", 1, max_hot_keys=10) is None  # too many: plain join
-
-
-@pytest.mark.parametrize("hot_rows", ["100", None])
-def test_review_kpi_with_hot_order_matches_brute_force(spark, sources, expected_reviews, hot_rows):
+def _category_scores(sources, expected_reviews):
     items = sources["order_items"].toPandas()[["order_id", "product_id"]]
     rev = expected_reviews[["order_id", "review_score"]].astype({"review_score": int})
     prod = sources["products"].toPandas()[["product_id", "product_category_name"]]
@@ -143,39 +134,74 @@ def test_review_kpi_with_hot_order_matches_brute_force(spark, sources, expected_
     expected = {
         (None if c == "<null>" else c): (_half_up(g["review_score"].sum() / len(g), 2), len(g)) for c, g in grouped
     }
-    settings = {"spark.strata.hotKeyRows": hot_rows} if hot_rows else {}
-    with session_conf(spark, settings):
-        got = kpis.review_by_category(Lake(sources)).collect()
-    assert {r["category"]: (r["avg_review_score"], r["review_item_rows"]) for r in got} == expected
+    return expected
 
 
-def test_hot_rows_are_joined_by_broadcast(spark, sources):
-    lake = Lake(sources)
-    with session_conf(spark, {"spark.strata.hotKeyRows": "100"}):
-        df = kpis._review_scores_by_product(lake)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "Union" in plan and "BroadcastHashJoin" in plan
+def test_review_kpi_with_hot_order_matches_brute_force(spark, sources, expected_reviews):
+    got = kpis.review_by_category(Lake(sources)).collect()
+    assert {r["category"]: (r["avg_review_score"], r["review_item_rows"]) for r in got} == _category_scores(
+        sources, expected_reviews
+    )
 
 
-def _sorted(rows):
-    return sorted(rows, key=lambda r: tuple((x is None, 0 if x is None else x) for x in r))
+def _categories(sources):
+    named = Lake(sources).model("dim_product")
+    return named.select("product_id", F.col("product_category_name_english").alias("c")).collect()
 
 
-def test_hot_key_left_join_equals_plain_join(spark):
-    big = spark.range(2000).select(
-        F.when(F.col("id") % 2 == 0, F.lit(1)).when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id") % 50)
-        .cast("long").alias("k"),
-        F.col("id").alias("v"),
-    )
-    side = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    split = hot_key_join(big, side, "k", "left", hot_rows=500)
-    plain = big.join(side, "k", "left")
-    assert split.columns == plain.columns
-    assert _sorted(split.collect()) == _sorted(plain.collect())
-    inner = hot_key_join(big, side, "k", "inner", hot_rows=500)
-    assert _sorted(inner.collect()) == _sorted(big.join(side, "k").collect())
-    unique = hot_key_join(big, side, "k", "left", hot_rows=500, side_unique=True)
-    assert _sorted(unique.collect()) == _sorted(plain.collect())
+def test_review_kpi_with_many_hot_orders(spark, sources, expected_reviews):
+    """More than 10,000 orders of 30 items each: no cap on the number of large orders."""
+    n = 12_000
+    k = F.col("id")
+    many = {
+        **sources,
+        "orders": spark.range(n).select(
+            k.alias("order_id"),
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in sources["orders"].schema if f.name != "order_id"],
+        ),
+        "order_items": spark.range(n * 30).select(
+            (k % n).alias("order_id"),
+            (k / n).cast("int").alias("order_item_id"),
+            (k % 20).alias("product_id"),
+            F.lit(1).cast("long").alias("seller_id"),
+            F.lit(None).cast("timestamp_ntz").alias("shipping_limit_date"),
+            F.lit(1.0).alias("price"),
+            F.lit(1.0).alias("freight_value"),
+        ),
+    }
+    reviews = expected_reviews[["order_id", "review_score"]]
+    score = {int(o): int(s) for o, s in reviews.values.tolist()}
+    category = {r["product_id"]: r["c"] for r in _categories(sources)}
+    sums: dict = {}
+    for order in score:
+        for j in range(30):
+            c = category[(order + j * n) % 20]
+            s, m = sums.get(c, (0, 0))
+            sums[c] = (s + score[order], m + 1)
+    got = kpis.review_by_category(Lake(many)).collect()
+    assert {r["category"]: (r["avg_review_score"], r["review_item_rows"]) for r in got} == {
+        c: (_half_up(s / m, 2), m) for c, (s, m) in sums.items()
+    }
+
+
+def test_review_kpi_counts_repeated_orders_as_the_facts_do(spark, sources):
+    twice = {**sources, "orders": sources["orders"].union(sources["orders"].where("order_id < 5"))}
+    lazy = Lake(twice)
+    facts = {t: lazy.model(t) for t in ("fact_sales", "fact_reviews", "dim_product")}
+    want = sorted(map(str, kpis.review_by_category(Lake({}, pinned=facts)).collect()))
+    assert sorted(map(str, kpis.review_by_category(Lake(twice)).collect())) == want
+
+
+def test_review_join_is_one_plan_without_jobs(spark, sources):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("define-reviews", "")
+    try:
+        df = kpis._review_scores_by_product(Lake(sources))
+        assert tracker.getJobIdsForGroup("define-reviews") == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    assert "Union" not in plan and "SortMergeJoin" in plan or "HashJoin" in plan
 
 
 def test_skewed_item_join_is_split_by_aqe(spark, sources):

@@ -140,10 +140,10 @@ def test_null_category_group_vs_missing_label(spark):
 
 
 def test_null_keys_count_as_duplicates(spark):
-    from strata.operators import duplicate_count
+    from strata.operators import distinct_key_count
 
     df = spark.createDataFrame([(None,), (None,), ("a",), ("a",), ("b",)], "k string")
-    assert duplicate_count(df, ["k"]).first().duplicates == 2
+    assert df.agg(distinct_key_count(["k"]).alias("n")).first().n == 3  # of five rows
 
 
 def test_null_purchase_time_drops_from_dated_kpis(spark):
@@ -156,7 +156,9 @@ def test_null_purchase_time_drops_from_dated_kpis(spark):
     assert lake.model("dim_date").count() == 1
     monthly = kpis.monthly_revenue(lake).collect()
     assert [(r.year, r.month, r.monthly_revenue) for r in monthly] == [(2018, 1, 10.0)]
-    assert kpis.total_revenue(lake).first().total_revenue == 10.0
+    assert kpis.total_revenue(lake).first().total_revenue == 17.0  # undated revenue counts in the total
+    lines = {r.label: r.revenue_brl for r in kpis.report_monthly_revenue(lake).collect()}
+    assert lines == {"2018-01": "10.00", "Total revenue": "17.00"}
 
 
 def test_review_without_order_survives_with_null_dates(spark):
@@ -214,6 +216,54 @@ def test_missing_landing_file_is_skipped_missing_dir_fails(spark, scratch):
         csv.ingest(spark, f"{scratch}/nowhere", f"{scratch}/raw2", RETAIL_SCHEMAS, files)
 
 
+def test_csv_columns_are_bound_by_header(spark, scratch):
+    d = local(scratch)
+    (d / "pay").mkdir(parents=True)
+    (d / "pay" / "a.csv").write_text(
+        "payment_value,extra,payment_type,order_id,payment_installments,payment_sequential\n"
+        "12.5,x,card,o1,3,1\noops,x,  padded  ,o2,,2\n"
+    )
+    schema = RETAIL_SCHEMAS["order_payments"]
+    rows = [tuple(r) for r in csv.read_csv(spark, f"{scratch}/pay", schema).orderBy("order_id").collect()]
+    assert rows == [("o1", 1, "card", 3, 12.5), ("o2", 2, "  padded  ", None, None)]
+    files = [LandingFile("pay", "order_payments")]
+    reg = csv.ingest(spark, scratch, f"{scratch}/raw3", RETAIL_SCHEMAS, files).first()
+    assert (reg.row_count, reg.malformed_cells) == (2, 1)  # "oops"; an empty cell is no malformed one
+    (d / "pay" / "b.csv").write_text("order_id,payment_type\no3,card\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        csv.read_csv(spark, f"{scratch}/pay", schema).collect()
+    with pytest.raises(ValueError, match="customer_id"):
+        csv.read_csv(spark, f"{scratch}/pay", RETAIL_SCHEMAS["orders"])
+
+
+def test_landing_keeps_text_and_microseconds(spark, scratch):
+    rows = [(" pad ", T(2018, 1, 5, 10).replace(microsecond=123456), "a\nb"), ("x ", None, 'q"x"'), (None, T(2018, 1, 5), ",")]
+    df = spark.createDataFrame(rows, "a string, t timestamp_ntz, b string")
+    csv.write_csv(df, f"{scratch}/text")
+    back = csv.read_csv(spark, f"{scratch}/text", df.schema, multiline=True)
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+
+
+def test_null_groups_drop_from_report_forms(spark):
+    lake = _star_lake(
+        spark,
+        items=[_item("o1", 1, "p1", 10.0), _item("o1", 2, "p1", 99.0)],
+        orders=[_order("o1", T(2018, 1, 5, 10))],
+    )
+    sales = lake.model("fact_sales").withColumn(
+        "seller_id", F.when(F.col("price") < 50, F.col("seller_id"))
+    )
+    pay = spark.createDataFrame(
+        [("o1", 20180105, T(2018, 1, 5).date(), None, 5.0), ("o1", 20180105, T(2018, 1, 5).date(), "card", 7.0)],
+        "order_id string, date_key int, purchase_date date, payment_type string, payment_value double",
+    )
+    sellers = spark.createDataFrame([("s1", "x", "SP")], "seller_id string, seller_city string, seller_state string")
+    built = Lake({}, pinned={"fact_sales": sales, "fact_payments": pay, "dim_seller": sellers})
+    assert [r.seller_id for r in kpis.sellers_top10(built).collect()] == ["s1"]
+    assert [(r.payment_type, r.payment_value) for r in kpis.payment_totals(built).collect()] == [("card", 7.0)]
+    assert [tuple(r) for r in kpis.payment_recent_months(built).collect()] == [("2018-01", "card", 7.0)]
+
+
 def test_key_tests_ignore_null_for_unique_and_count_it_for_not_null(spark):
     customers = frame(
         spark,
