@@ -1,7 +1,7 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
 A bounded sample of the allowed labelled documents (parameter ``examples``)
-gives terms that separate the labels, their inverse document frequencies, and
+gives the terms that mark toxic ones, their inverse document frequencies, and
 the examples' vectors.  The index is inverted, in blocks of examples, with the
 largest weight per term and block: blocks are scored in order of their upper
 bound until no block can hold a nearer example, so the neighbours are exact.
@@ -25,10 +25,14 @@ from strata.llm.scratch import Scratch, received, sent
 
 EXAMPLES = 20_000
 TERMS = 5_000
-LEAST_Z = 5.0
+LEAST_Z = 4.5
 LEAST_DF = 4
+#: A term counts when it is so many times as frequent among toxic examples as among the others.
+LEAST_LIFT = 4.0
 NEIGHBOURS = 15
 BLOCK = 64
+#: Blocks that are scored before the bound is applied to the others.
+FIRST_BLOCKS = 4
 TOXIC_AT = 0.7
 BINS = 20
 
@@ -89,25 +93,34 @@ class BlockMaxIndex:
         query = self.vector(terms, np.array([counts[t] for t in terms.tolist()]))
         bound = query @ self.most[terms]
         order = np.argsort(-bound, kind="stable")
-        best_rows, best = np.empty(0, np.int64), np.empty(0)
-        for b in order.tolist():
-            if bound[b] <= 0 or (len(best) >= k and bound[b] < best[k - 1] - 1e-12):
-                break
-            scores = np.zeros(self.block)
-            lo, hi = b * self.block, (b + 1) * self.block
-            for t, q in zip(terms.tolist(), query.tolist()):
-                if self.most[t, b]:
-                    s, e = self.start[t], self.start[t + 1]
-                    i, j = s + np.searchsorted(self.rows[s:e], (lo, hi))
-                    scores[self.rows[i:j] - lo] += q * self.vals[i:j]
-            found = np.flatnonzero(scores > 0) + lo
-            if own is not None:
-                found = found[self.ids[found] != own]
-            rows = np.concatenate([best_rows, found])
-            cosines = np.concatenate([best, scores[found - lo]])
+        first = order[:FIRST_BLOCKS]
+        rows, cosines = self.best(terms, query, first, k, own)
+        # only blocks whose bound reaches the k-th best so far can hold a nearer example
+        least = cosines[k - 1] - 1e-12 if len(cosines) >= k else 0.0
+        more = order[FIRST_BLOCKS:]
+        more = more[(bound[more] > 0) & (bound[more] >= least)]
+        if len(more):
+            late_rows, late = self.best(terms, query, more, k, own)
+            rows, cosines = np.concatenate([rows, late_rows]), np.concatenate([cosines, late])
             keep = np.lexsort((self.ids[rows], -np.round(cosines, 12)))[:k]
-            best_rows, best = rows[keep], cosines[keep]
-        return best_rows, best
+            rows, cosines = rows[keep], cosines[keep]
+        return rows, cosines
+
+    def best(self, terms: np.ndarray, query: np.ndarray, blocks: np.ndarray, k: int, own: int | None):
+        """The ``k`` nearest examples of some blocks."""
+        wanted = np.zeros(self.blocks, bool)
+        wanted[blocks] = True
+        spans = [(self.start[t], self.start[t + 1]) for t in terms.tolist()]
+        rows = np.concatenate([self.rows[a:b] for a, b in spans])
+        parts = np.concatenate([q * self.vals[a:b] for q, (a, b) in zip(query.tolist(), spans)])
+        here = wanted[rows // self.block]
+        found, at = np.unique(rows[here], return_inverse=True)
+        scores = np.bincount(at, parts[here], len(found))
+        if own is not None:
+            other = self.ids[found] != own
+            found, scores = found[other], scores[other]
+        keep = np.lexsort((self.ids[found], -np.round(scores, 12)))[:k]
+        return found[keep], scores[keep]
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray) -> float:
         w = 1 / (1.05 - np.minimum(cosines, 1.0))
@@ -166,6 +179,7 @@ class Model:
     def __init__(self, numbers: dict[str, int], index: BlockMaxIndex, prior: float):
         self.numbers, self.index, self.prior = numbers, index, prior
         self.curve, self.blank = None, prior
+        self.answers: dict = {}
 
     def raw(self, counts: Counter, own: int | None = None) -> tuple[float | None, np.ndarray, np.ndarray]:
         none = np.empty(0, np.int64), np.empty(0)
@@ -176,6 +190,15 @@ class Model:
             return (None, *none)
         return self.index.vote(rows, cosines), rows, cosines
 
+    def answer(self, counts: Counter) -> tuple[float | None, np.ndarray, np.ndarray]:
+        """``raw``, remembered: many texts have the same few terms."""
+        key = tuple(sorted(counts.items()))
+        if key not in self.answers:
+            if len(self.answers) >= 50_000:
+                self.answers.clear()
+            self.answers[key] = self.raw(counts)
+        return self.answers[key]
+
     def score(self, raw: float | None) -> float:
         return self.blank if raw is None else float(self.curve[min(int(raw * BINS), BINS - 1)])
 
@@ -212,13 +235,13 @@ def train(
         return None
     p1, p0 = F.col("n1") / max(1, n1), F.col("n0") / max(1, n0)
     both = (F.col("n1") + F.col("n0")) / (n0 + n1)
-    z = F.abs(p1 - p0) / F.sqrt(both * (1 - both) * (1 / max(1, n0) + 1 / max(1, n1)) + 1e-12)
+    z = (p1 - p0) / F.sqrt(both * (1 - both) * (1 / max(1, n0) + 1 / max(1, n1)) + 1e-12)
     picked = (
         sample.select("text", "toxic")
         .mapInArrow(_term_counts, "term string, n0 long, n1 long")
         .groupBy("term")
         .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-        .where(F.col("n0") + F.col("n1") >= LEAST_DF)
+        .where((F.col("n0") + F.col("n1") >= LEAST_DF) & (p1 >= p0 * LEAST_LIFT))
         .select("term", (F.col("n0") + F.col("n1")).alias("df"), z.alias("z"))
         .where(F.col("z") >= LEAST_Z)
         .orderBy(F.desc("z"), "term")
@@ -298,7 +321,7 @@ def toxicity_scores(
         for batch in batches:
             scores, evidence, similarity = [], [], []
             for text in batch.column(2).to_pylist():
-                raw, rows, cosines = m.raw(index.count(text or "")) if m else (None, [], [])
+                raw, rows, cosines = m.answer(index.count(text or "")) if m else (None, [], [])
                 scores.append(m.score(raw) if m else 0.5)
                 evidence.append(m.index.ids[rows].tolist() if m and len(rows) else [])
                 similarity.append([float(c) for c in cosines])

@@ -91,7 +91,7 @@ def test_block_max_search_is_exact():
 
 def test_toxicity_learns_from_allowed_rows_only(spark, room):
     rng = random.Random(9)
-    words = [f"plain{k}" for k in range(300)]
+    words = ["".join(chr(97 + int(c)) for c in str(k)) + "ly" for k in range(300)]
     rows, labels = [], []
     for i in range(900):
         t = [rng.choice(words) for _ in range(rng.randint(5, 60))]
