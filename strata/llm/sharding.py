@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from strata.llm.scratch import Scratch
 
 SHARDS = 16
-ROUNDS = 8
+#: Most rounds; they end when nothing moves.  A group that fills several shards takes a round for each.
+ROUNDS = 24
 SALTS = 64
 ADMISSION_BUCKETS = 1024
 RANK_ROWS = 10_000
@@ -47,18 +48,24 @@ def _lookup(values: list[int], key: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), key.cast("int") + 1)
 
 
-def _propagate(cells: DataFrame, quotas: list[int], scratch: Scratch, rounds: int) -> tuple[DataFrame, list[int]]:
-    """Cells ``(gid, start, salt, n, total, shard)`` after the moves, and the rows that each shard holds of them."""
+def _propagate(
+    cells: DataFrame, held_before: list[int], quotas: list[int], scratch: Scratch, rounds: int, phase: str, whole: bool
+) -> tuple[DataFrame, list[int]]:
+    """Cells ``(gid, start, salt, n, shard)`` after the moves, and the rows that each shard holds with them.
+
+    ``whole``: the cells of a group are admitted together, else one by one.
+    """
 
     def loads(state: DataFrame) -> list[int]:
         held = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
-        return [held.get(s, 0) for s in range(len(quotas))]  # one row a shard
+        return [held_before[s] + held.get(s, 0) for s in range(len(quotas))]  # one row a shard
 
-    state = scratch.table(cells.withColumn("shard", F.col("start")), "cells-0")
+    state = scratch.table(cells.withColumn("shard", F.col("start")), f"{phase}-cells-0")
     load = loads(state)
+    closed: set[int] = set()  # shards that could not take all that asked for them
     for k in range(rounds):
         room = [max(0, q - x) for q, x in zip(quotas, load)]
-        open_shards = [s for s, x in enumerate(room) if x]
+        open_shards = [s for s, x in enumerate(room) if x and s not in closed]
         if not open_shards:
             break
         votes = state.groupBy("gid", "shard").agg(F.sum("n").alias("votes"))
@@ -67,34 +74,38 @@ def _propagate(cells: DataFrame, quotas: list[int], scratch: Scratch, rounds: in
             .groupBy("gid")
             .agg(F.max(F.struct("votes", (-F.col("shard")).alias("s"))).alias("x"))
             .select("gid", F.col("x.votes").alias("to_votes"), (-F.col("x.s")).alias("to")),
-            f"best-{k}",
+            f"{phase}-best-{k}",
         )
-        held = scratch.table(votes, f"votes-{k}")
+        held = scratch.table(votes, f"{phase}-votes-{k}")
         # a cell moves only where more of its copies are (or as many, in a smaller shard): moves never turn back
         wish = (F.col("to_votes") > F.col("votes")) | ((F.col("to_votes") == F.col("votes")) & (F.col("to") < F.col("shard")))
-        large = F.col("total") * 8 > F.lit(min(quotas))
-        turn = F.pmod(F.when(large, F.xxhash64("gid", "start", "salt")).otherwise(F.xxhash64("gid")), F.lit(ADMISSION_BUCKETS))
+        turn = F.pmod(F.xxhash64("gid") if whole else F.xxhash64("gid", "start", "salt"), F.lit(ADMISSION_BUCKETS))
         asked = scratch.table(
             state.join(held, ["gid", "shard"])
             .join(best, "gid")
-            .select("gid", "start", "salt", "n", "total", "shard", F.when(wish, F.col("to")).alias("to"), turn.alias("turn")),
-            f"asked-{k}",
+            .select("gid", "start", "salt", "n", "shard", F.when(wish, F.col("to")).alias("to"), turn.alias("turn")),
+            f"{phase}-asked-{k}",
         )
         wanted = asked.where("to is not null").groupBy("to", "turn").agg(F.sum("n").alias("n"))
         upto = F.sum("n").over(Window.partitionBy("to").orderBy("turn"))
-        admitted = wanted.select("to", "turn", upto.alias("upto")).where(F.col("upto") <= _lookup(room, F.col("to")))
+        ranked = scratch.table(
+            wanted.select("to", "turn", upto.alias("upto"), (upto <= _lookup(room, F.col("to"))).alias("go")), f"{phase}-ranked-{k}"
+        )
+        asked_for = ranked.groupBy("to").agg(F.bool_and("go").alias("all")).collect()  # a row a shard
+        if not asked_for:
+            break
+        closed |= {r["to"] for r in asked_for if not r["all"]}
+        admitted = ranked.where("go").select("to", "turn", "go")
         moved = scratch.table(
             asked.join(
-                F.broadcast(admitted.select("to", "turn", F.lit(True).alias("go"))),  # shards x ADMISSION_BUCKETS rows at most
+                F.broadcast(admitted),  # shards x ADMISSION_BUCKETS rows at most
                 ["to", "turn"],
                 "left",
-            ).select("gid", "start", "salt", "n", "total", F.when(F.col("go"), F.col("to")).otherwise(F.col("shard")).alias("shard")),
-            f"cells-{k + 1}",
+            ).select("gid", "start", "salt", "n", F.when(F.col("go"), F.col("to")).otherwise(F.col("shard")).alias("shard")),
+            f"{phase}-cells-{k + 1}",
         )
-        scratch.drop(f"cells-{k}", f"best-{k}", f"votes-{k}", f"asked-{k}")
-        state, before, load = moved, load, loads(moved)
-        if load == before:
-            break
+        scratch.drop(f"{phase}-cells-{k}", f"{phase}-best-{k}", f"{phase}-votes-{k}", f"{phase}-asked-{k}", f"{phase}-ranked-{k}")
+        state, load = moved, loads(moved)
     return state, load
 
 
@@ -137,7 +148,12 @@ def balanced_shards(
     totals = scratch.table(
         cells.groupBy("gid").agg(F.sum("n").alias("total")).where("total > 1"), "totals"
     )
-    state, load = _propagate(cells.join(totals, "gid"), quotas, scratch, rounds)
+    linked_cells = cells.join(totals, "gid")
+    large = F.col("total") * 2 > min(quotas)  # more than half a shard: cut where it must be
+    none = [0] * shards
+    small, load = _propagate(linked_cells.where(~large).drop("total"), none, quotas, scratch, rounds, "small", True)
+    rest, load = _propagate(linked_cells.where(large).drop("total"), load, quotas, scratch, rounds, "large", False)
+    state = small.unionByName(rest)
     placed = rows.join(state.select("gid", "start", "salt", "shard"), ["gid", "start", "salt"], "left").drop(
         "gid", "start", "salt"
     )
