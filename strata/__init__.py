@@ -7,10 +7,10 @@ Sub-packages
                Parquet lake paths, catalog registration.
 ``functions``  column expressions (dates, money, exact rounding, labels).
 ``operators``  reusable relational building blocks (latest-row dedupe,
-               size-checked lookup joins, duplicate/null profiling, top-k).
+               bounded enrichment, content digests, duplicate/null profiling, top-k).
 ``plans``      the models of each layer, the medallion runner, KPIs, charts,
                quality reports and the query registry.
-``streaming``  intentionally empty: the pipeline is a daily batch.
+``llm``        training-data operators; optional, nothing else imports it.
 """
 
 __all__ = ["__version__"]
