@@ -36,21 +36,23 @@ _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
 _DIGITS = bytes(range(48, 58))
 _MARKS = bytes(b for b in range(33, 127) if not (48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122))
-_PLAIN = re.compile(rb"[A-Za-z\x80-\xff]+[.,;:!?]?")
+_STOPS = b".,;:!?"
+_PLAIN = re.compile(rb"[Aa]+[.,;:!?]?")
+#: Letters (and all bytes of other scripts) to a, capitals to A, digits to 0.
+_SHAPE = bytes(
+    ord("a") if 97 <= b <= 122 or b >= 128 else ord("A") if 65 <= b <= 90 else ord("0") if 48 <= b <= 57 else b for b in range(256)
+)
 
 
 class Shapes(dict):
-    """Word to (plain, hashed shape); forgets when it holds ``most`` words."""
+    """Word shape to (plain, hash); forgets when it holds ``most`` shapes."""
 
-    most = 500_000
+    most = 100_000
 
-    def __missing__(self, word: bytes) -> tuple[bool, int]:
+    def __missing__(self, shape: bytes) -> tuple[bool, int]:
         if len(self) >= self.most:
             self.clear()
-        shape = re.sub(rb"[a-z\x80-\xff]+", b"a", word)
-        shape = re.sub(rb"[A-Z]+", b"A", re.sub(rb"[0-9]+", b"0", shape))
-        shape = re.sub(rb"([^aA0])\1+", rb"\1\1", shape)
-        value = self[word] = (_PLAIN.fullmatch(word) is not None, xxhash.xxh3_64_intdigest(shape[:24]) % DIM)
+        value = self[shape] = (_PLAIN.fullmatch(shape) is not None, xxhash.xxh3_64_intdigest(shape[:24]) % DIM)
         return value
 
 
@@ -58,29 +60,43 @@ def _share(part: int, whole: int) -> float:
     return part / whole if whole else 0.0
 
 
+def _shapes(text: bytes) -> list[bytes]:
+    """The shapes of the words: kinds of characters, runs of letters, capitals and digits as one."""
+    text = text.translate(_SHAPE)
+    for kind in (b"a", b"A", b"0"):
+        while kind * 2 in text:
+            text = text.replace(kind * 2, kind)
+    return text.split()
+
+
 def profile(text: bytes, shapes: Shapes) -> tuple[dict[str, float], Counter]:
     """Ratios of a text and the counts of its hashed word shapes."""
     cut = lambda drop: len(text) - len(text.translate(None, drop))
-    words = text.split()
-    lowered = [w.lower().strip(b".,;:!?") for w in words]
-    counts = Counter(lowered)
-    seen = [shapes[w] for w in words]
+    found = Counter(_shapes(text))
+    n = sum(found.values())
+    words = text.lower().translate(None, _STOPS).split()
+    counts = Counter(words)
     lines = text.split(b"\n")
     upper, lower = cut(_UPPER), cut(_LOWER)
-    n = len(words)
+    hashed: Counter = Counter()
+    plain = 0
+    for shape, c in found.items():
+        is_plain, h = shapes[shape]
+        plain += c * is_plain
+        hashed[h] += c
     return {
         "words": n,
         "marks": _share(cut(_MARKS), len(text)),
         "digits": _share(cut(_DIGITS), len(text)),
         "upper": _share(upper, upper + lower),
-        "distinct": _share(len(counts), n),
+        "distinct": _share(len(counts), len(words)),
         "top": _share(max(counts.values(), default=0), n),
-        "again": _share(sum(map(eq, lowered, lowered[1:])), n),
-        "plain": _share(sum(p for p, _ in seen), n),
+        "again": _share(sum(map(eq, words, words[1:])), n),
+        "plain": _share(plain, n),
         "pipes": _share(text.count(b"|"), n),
         "length": _share(len(text), n),
         "lines": _share(len(set(lines)), len(lines)),
-    }, Counter(h for _, h in seen)
+    }, hashed
 
 
 #: (ratio, good below or above, bad beyond): a labeller votes bad past the second bound, good within the first.

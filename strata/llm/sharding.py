@@ -20,7 +20,7 @@ SHARDS = 16
 ROUNDS = 24
 SALTS = 64
 ADMISSION_BUCKETS = 1024
-RANK_ROWS = 10_000
+RANK_ROWS = 2_000
 
 
 def _ranked(df: DataFrame, by: list[str], n: int, alias: str) -> DataFrame:
