@@ -62,11 +62,12 @@ def contamination(
     windows = scratch.table(item_windows(items, window, item_col, item_text_col), "windows")
     n = windows.count()
     if n == 0:
-        none = docs.limit(0).select(
+        kind = items.schema[item_col].dataType.simpleString()
+        return docs.limit(0).select(
             F.col(id_col).alias("doc"),
             F.array().cast("array<int>").alias("hits"),
+            F.array().cast(f"array<{kind}>").alias("items"),
         )
-        return none.crossJoin(windows.limit(0).select(F.array("item").alias("items")))
     blocks = max(1, -(-n // BLOCK_WINDOWS))
     windows = windows.withColumn("block", F.pmod(F.xxhash64("words"), F.lit(blocks)))
     text = docs.select(F.col(id_col).alias("doc"), words(text_col).alias("w"))

@@ -24,11 +24,11 @@ from strata.llm.components import components
 from strata.llm.scratch import Scratch, received, sent
 
 THRESHOLD = 0.93
-TREES = 6
-#: Spill margin, in units of the norm of the difference of two vectors at the threshold.
-SPILL = 0.11
+TREES = 4
+#: Spill margin: standard deviations of the projected difference of two vectors at the threshold.
+SPILL = 0.45
 #: Classes a leaf should hold, and the most that are compared in one task.
-LEAF = 400
+LEAF = 600
 MAX_LEAF = 2_000
 #: Bound of the sample that the splits are fitted on (of all labels together).
 SAMPLE = 20_000
@@ -65,8 +65,9 @@ def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Tree:
     """Splits of one tree: per label and dimension a nested ``(direction seed, threshold, low, high)`` or a leaf number."""
 
-    def __init__(self, seed: int, margin: float):
-        self.seed, self.margin, self.roots, self.leaves = seed, margin, {}, 0
+    def __init__(self, seed: int, reach: float):
+        """``reach``: the spill margin times the square root of the dimension."""
+        self.seed, self.reach, self.roots, self.leaves = seed, reach, {}, 0
 
     def direction(self, node_seed: int, dim: int) -> np.ndarray:
         d = np.random.default_rng([self.seed, node_seed]).standard_normal(dim)
@@ -78,8 +79,8 @@ class Tree:
     def _split(self, vectors: np.ndarray, expected: float, leaf: int, node_seed: int):
         if expected > leaf and len(vectors) >= MIN_SAMPLE_NODE:
             along = vectors @ self.direction(node_seed, vectors.shape[1])
-            middle = float(np.median(along))
-            low, high = along <= middle + self.margin, along > middle - self.margin
+            middle, margin = float(np.median(along)), self.reach / np.sqrt(vectors.shape[1])
+            low, high = along <= middle + margin, along > middle - margin
             # a dense node, nearly all of it within the margin, stays whole
             if max(low.sum(), high.sum()) < 0.9 * len(vectors):
                 return (
@@ -105,19 +106,20 @@ class Tree:
                 continue
             node_seed, middle, low, high = node
             along = vectors[rows] @ self.direction(node_seed, vectors.shape[1])
-            stack.append((low, rows[along <= middle + self.margin]))
-            stack.append((high, rows[along > middle - self.margin]))
+            margin = self.reach / np.sqrt(vectors.shape[1])
+            stack.append((low, rows[along <= middle + margin]))
+            stack.append((high, rows[along > middle - margin]))
         return [sorted(x) for x in out]
 
 
 def _fit(sample: list, counts: dict, trees: int, leaf: int, threshold: float, spill: float) -> list[Tree]:
-    margin = spill * float(np.sqrt(2 - 2 * threshold))
+    reach = spill * float(np.sqrt(2 - 2 * threshold))
     by_root: dict = {}
     for label, dim, unit in sample:
         by_root.setdefault((label, dim), []).append(np.frombuffer(unit))
     forest = []
     for t in range(trees):
-        tree = Tree(t, margin)
+        tree = Tree(t, reach)
         for root in sorted(by_root):
             tree.fit(root, np.stack(by_root[root]), counts[root], leaf)
         forest.append(tree)
