@@ -8,12 +8,12 @@
 3. Similar classes are grouped: an equal min-hash, in blocks of bounded size.
    A group's classes are compared with each other as one matrix product of
    their token incidences, which returns spanning edges and no pairs.
-4. The token-group matrix tells which groups hold a token.  A class probes it
-   with its rarest tokens, as many as any partner must share one of; groups
-   without a member of a fitting size, and groups whose met members are all
-   connected with the class already, are passed over.  In the others the
-   overlap with the group's token union bounds that with any member; only
-   where it reaches the bound is the group opened and compared exactly.
+4. The token-group matrix tells which groups hold a token among the rarest of
+   a class, as many as any partner must share one of.  Groups that meet there
+   are paired, unless no sizes fit or all that met are connected already.  The
+   classes of the smaller group of a pair query the other: the overlap with its token
+   union bounds that with any member, and only a query that reaches the bound
+   opens the group and is compared exactly.
 """
 
 from __future__ import annotations
@@ -287,26 +287,34 @@ def _cross_links(grouped: DataFrame, inner: DataFrame, scratch: Scratch, percent
         F.min("n").alias("n_lo"), F.max("n").alias("n_hi"), F.min("comp").alias("c_lo"), F.max("comp").alias("c_hi")
     )
     matrix = scratch.table(matrix, "matrix")
-    several = matrix.groupBy("tok").agg(F.max("grp").alias("top"), F.count("*").alias("k")).where("k > 1")
-    several = scratch.table(several.select("tok", "top"), "several")
-    entries = matrix.join(several.select("tok"), "tok").withColumnRenamed("grp", "other")
-    asks = probes.join(several, "tok").where("grp < top")  # each pair of groups once
-    pairs = (
-        asks.join(entries, "tok")
-        .where((F.col("grp") < F.col("other")) & (F.col("n_hi") * 100 >= F.col("n") * percent) & (F.col("n_lo") * percent <= F.col("n") * 100))
-        .where((F.col("c_lo") != F.col("comp")) | (F.col("c_hi") != F.col("comp")))  # else they are connected already
-        .select("sig", "other")
-        .distinct()
+    # groups that hold a token in common, each pair once; what one of them has met is summed up, not its classes
+    left = matrix.select("tok", "grp", *[F.col(c).alias(f"{c}_q") for c in ("n_lo", "n_hi", "c_lo", "c_hi")])
+    right = matrix.withColumnRenamed("grp", "other")
+    sizes = (F.col("n_hi") * 100 >= F.col("n_lo_q") * percent) & (F.col("n_hi_q") * 100 >= F.col("n_lo") * percent)
+    connected = (F.least("c_lo", "c_lo_q") == F.greatest("c_hi", "c_hi_q"))
+    pairs = scratch.table(
+        left.join(right, "tok").where((F.col("grp") < F.col("other")) & sizes & ~connected).select("grp", "other").distinct(),
+        "pairs",
     )
-    pairs = scratch.table(pairs, "pairs")
     scratch.drop("probes", "matrix")
-    asked = pairs.groupBy("other").agg(F.count("*").alias("q"))
+    held = scratch.table(grouped.groupBy("grp").agg(F.count("*").alias("q")), "held")
+    both = pairs.join(held, "grp").join(held.select(F.col("grp").alias("other"), F.col("q").alias("q_other")), "other")
+    fewer = F.col("q") <= F.col("q_other")  # the smaller group queries the larger one
+    pairs = scratch.table(
+        both.select(
+            F.when(fewer, F.col("grp")).otherwise(F.col("other")).alias("grp"),
+            F.when(fewer, F.col("other")).otherwise(F.col("grp")).alias("other"),
+            F.least("q", "q_other").alias("q"),
+        ),
+        "directed",
+    )
+    asked = pairs.groupBy("other").agg(F.sum("q").alias("q"))
     asked = scratch.table(asked.select("other", F.ceil(F.col("q") / BLOCK).cast("int").alias("parts")), "asked")
-    body = grouped.select("sig", "n", "toks")
     queries = (
-        pairs.join(asked, "other")
+        pairs.select("grp", "other")
+        .join(asked, "other")
+        .join(grouped.select("grp", "sig", "n", "toks"), "grp")
         .withColumn("part", F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int"))
-        .join(body, "sig")
         .select("other", "part", F.lit(0).alias("side"), "sig", "n", "toks")
     )
     members = (
