@@ -12,7 +12,7 @@ DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long
 def doc_rows() -> list[tuple]:
     """Nulls in any column, empty and long texts, ties, copies, and columns that clash with internal names."""
     rng = random.Random(7)
-    words = [f"w{k}" for k in range(400)]
+    words = ["".join(chr(97 + int(c)) for c in str(k)) + "ly" for k in range(400)]
     prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
     base = prose(120)
     near = base.split()
