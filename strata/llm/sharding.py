@@ -1,23 +1,30 @@
 """Shards of equal row counts that keep equal texts together.
 
-Documents with equal texts are linked.  Balanced label propagation moves them,
-round by round, towards the shards where most of their copies are, as far as
-the quotas of the shards allow.  Copies that start in one shard and share a
-salt are one cell, since nothing tells them apart; joins and sums are over
-cells, so a group that holds a third of all rows is many cells.  Unlinked
-documents then fill every shard to its quota exactly.
+Documents with equal texts are linked.  Large groups are planned first, one by
+one.  Balanced label propagation then moves the small ones, round by round, to
+the shards where most of their copies are, as far as the quotas of the shards
+allow; a group holds room only where it is admitted.  Small groups that found
+no room there go in a line into the room left in any shard, so only a group at
+the end of a shard is cut.  Copies that start in one shard and share a salt are
+one cell, since nothing tells them apart; joins and sums are over cells, so a
+group that holds a third of all rows is many cells.  Unlinked documents then
+fill every shard to its quota exactly.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.scratch import Scratch
 
 SHARDS = 16
-#: Most rounds; they end when nothing moves.  A group that fills several shards takes a round for each.
+#: Most rounds; they end when no group asks.  Every round but the last closes a shard or admits all that ask.
 ROUNDS = 24
+#: Groups of more than a shard's rows by this are planned one by one.
+LARGE = 32
 SALTS = 64
 ADMISSION_BUCKETS = 1024
 RANK_ROWS = 2_000
@@ -48,65 +55,88 @@ def _lookup(values: list[int], key: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), key.cast("int") + 1)
 
 
-def _propagate(
-    cells: DataFrame, held_before: list[int], quotas: list[int], scratch: Scratch, rounds: int, phase: str, whole: bool
-) -> tuple[DataFrame, list[int]]:
-    """Cells ``(gid, start, salt, n, shard)`` after the moves, and the rows that each shard holds with them.
+def _plan_groups(groups: list[tuple[str, int, list[int]]], room: list[int]) -> tuple[dict[str, int], list[tuple[str, list[tuple[int, int]]]]]:
+    """Groups ``(gid, rows, copies per shard)`` put into shards, largest first; takes their rows off ``room``.
 
-    ``whole``: the cells of a group are admitted together, else one by one.
+    A group goes to the shard with most of its copies among those that hold it
+    whole.  Where none does, it fills the emptiest and the rest goes on.
+    Returns the shards of whole groups, and the ``(rows, shard)`` pieces of the others.
     """
-
-    def loads(state: DataFrame) -> list[int]:
-        held = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
-        return [held_before[s] + held.get(s, 0) for s in range(len(quotas))]  # one row a shard
-
-    state = scratch.table(cells.withColumn("shard", F.col("start")), f"{phase}-cells-0")
-    load = loads(state)
+    whole: dict[str, int] = {}
+    cut: list[tuple[str, list[tuple[int, int]]]] = []
+    for gid, total, votes in sorted(groups, key=lambda g: (-g[1], g[0])):
+        pieces, rest = [], total
+        while rest:
+            fits = [s for s, x in enumerate(room) if x >= rest]
+            if fits:
+                s = max(fits, key=lambda s: (votes[s], -s))
+            else:
+                s = max(range(len(room)), key=lambda s: (room[s], votes[s], -s))
+            take = min(rest, room[s])
+            room[s] -= take
+            rest -= take
+            pieces.append((take, s))
+        if len(pieces) == 1:
+            whole[gid] = pieces[0][1]
+        else:
+            cut.append((gid, pieces))
+    return whole, cut
+
+
+def _propagate(groups: DataFrame, room: list[int], scratch: Scratch, rounds: int) -> DataFrame:
+    """``groups`` ``(gid, total, votes)`` with their ``shard``, null where no shard with copies could take them.
+
+    A group holds room only once it is admitted, as a whole; takes the admitted rows off ``room``.
+    """
+    state = scratch.table(groups.withColumn("shard", F.lit(None).cast("int")), "small-0")
     closed: set[int] = set()  # shards that could not take all that asked for them
     for k in range(rounds):
-        room = [max(0, q - x) for q, x in zip(quotas, load)]
         open_shards = [s for s, x in enumerate(room) if x and s not in closed]
         if not open_shards:
             break
-        votes = state.groupBy("gid", "shard").agg(F.sum("n").alias("votes"))
-        best = scratch.table(
-            votes.where(F.col("shard").isin(open_shards))
-            .groupBy("gid")
-            .agg(F.max(F.struct("votes", (-F.col("shard")).alias("s"))).alias("x"))
-            .select("gid", F.col("x.votes").alias("to_votes"), (-F.col("x.s")).alias("to")),
-            f"{phase}-best-{k}",
-        )
-        held = scratch.table(votes, f"{phase}-votes-{k}")
-        # a cell moves only where more of its copies are (or as many, in a smaller shard): moves never turn back
-        wish = (F.col("to_votes") > F.col("votes")) | ((F.col("to_votes") == F.col("votes")) & (F.col("to") < F.col("shard")))
-        turn = F.pmod(F.xxhash64("gid") if whole else F.xxhash64("gid", "start", "salt"), F.lit(ADMISSION_BUCKETS))
-        asked = scratch.table(
-            state.join(held, ["gid", "shard"])
-            .join(best, "gid")
-            .select("gid", "start", "salt", "n", "shard", F.when(wish, F.col("to")).alias("to"), turn.alias("turn")),
-            f"{phase}-asked-{k}",
-        )
-        wanted = asked.where("to is not null").groupBy("to", "turn").agg(F.sum("n").alias("n"))
-        upto = F.sum("n").over(Window.partitionBy("to").orderBy("turn"))
-        ranked = scratch.table(
-            wanted.select("to", "turn", upto.alias("upto"), (upto <= _lookup(room, F.col("to"))).alias("go")), f"{phase}-ranked-{k}"
+        most = F.array_max(F.array(*[F.struct(F.col("votes")[s].alias("v"), F.lit(-s).alias("s")) for s in open_shards]))
+        turn = F.pmod(F.xxhash64("gid", F.lit(k)), F.lit(ADMISSION_BUCKETS))
+        asked = (
+            state.withColumn("_m", most)
+            .withColumn("to", F.when(F.col("shard").isNull() & (F.col("_m.v") > 0), -F.col("_m.s")))
+            .withColumn("turn", turn)
+            .drop("_m")
         )
-        asked_for = ranked.groupBy("to").agg(F.bool_and("go").alias("all")).collect()  # a row a shard
-        if not asked_for:
+        wanted = asked.where("to is not null").groupBy("to", "turn").agg(F.sum("total").alias("n")).collect()  # shards x ADMISSION_BUCKETS rows at most
+        if not wanted:
             break
-        closed |= {r["to"] for r in asked_for if not r["all"]}
-        admitted = ranked.where("go").select("to", "turn", "go")
-        moved = scratch.table(
-            asked.join(
-                F.broadcast(admitted),  # shards x ADMISSION_BUCKETS rows at most
-                ["to", "turn"],
-                "left",
-            ).select("gid", "start", "salt", "n", F.when(F.col("go"), F.col("to")).otherwise(F.col("shard")).alias("shard")),
-            f"{phase}-cells-{k + 1}",
-        )
-        scratch.drop(f"{phase}-cells-{k}", f"{phase}-best-{k}", f"{phase}-votes-{k}", f"{phase}-asked-{k}", f"{phase}-ranked-{k}")
-        state, load = moved, loads(moved)
-    return state, load
+        ends, full = [0] * len(room), set()  # the first turn that a shard does not admit
+        for r in sorted(wanted, key=lambda r: (r["to"], r["turn"])):
+            s = r["to"]
+            if s in full:
+                continue
+            if r["n"] > room[s]:
+                full.add(s)
+                continue
+            room[s] -= r["n"]
+            ends[s] = r["turn"] + 1
+        closed |= full
+        go = F.col("to").isNotNull() & (F.col("turn") < _lookup(ends, F.coalesce("to", F.lit(0))))
+        state = scratch.table(asked.withColumn("shard", F.when(go, F.col("to")).otherwise(F.col("shard"))).drop("to", "turn"), f"small-{k + 1}")
+        scratch.drop(f"small-{k}")
+    return state
+
+
+def _offsets(groups: DataFrame, n: int) -> DataFrame:
+    """``(gid, first)``: running sums of ``total`` over the groups, ``n`` rows in all."""
+    put = groups.withColumn("_b", F.pmod(F.xxhash64("gid"), F.lit(max(1, -(-n // RANK_ROWS)))))
+    sums = put.groupBy("_b").agg(F.sum("total").alias("_n"))
+    firsts = sums.select("_b", (F.sum("_n").over(Window.orderBy("_b")) - F.col("_n")).alias("_first"))
+    upto = F.sum("total").over(Window.partitionBy("_b").orderBy("gid"))
+    return (
+        put.withColumn("_k", upto - F.col("total")).join(firsts, "_b").select("gid", (F.col("_first") + F.col("_k")).alias("first"))
+    )
+
+
+def _listed(scratch: Scratch, rows: list[dict], schema: str) -> DataFrame:
+    """A short list as a table; ``gid`` is hex in the list."""
+    listed = F.from_json(F.lit(json.dumps(rows)), f"array<struct<gid:string,{schema}>>")
+    return scratch.spark.range(1).select(F.inline(listed)).withColumn("gid", F.unhex("gid"))
 
 
 def balanced_shards(
@@ -123,7 +153,8 @@ def balanced_shards(
 
     Law ``rows``: the counts of the shards differ by one at most.  Rows of
     equal texts share a shard unless the group is larger than the room in a
-    shard; then the rest goes on to the next.  Size is the UTF-8 bytes of the
+    shard; then the rest goes on to the next.  Of the groups of a shard's rows
+    by ``LARGE`` or less, fewer than ``shards`` are cut.  Size is the UTF-8 bytes of the
     text plus 1.  Null text equals the empty text.  Null ids and repeated rows
     are rows like others.  Empty table: empty result.
     """
@@ -145,26 +176,59 @@ def balanced_shards(
     n = rows.count()
     quotas = [n // shards + (s < n % shards) for s in range(shards)]
     cells = scratch.table(rows.groupBy("gid", "start", "salt").agg(F.count("*").alias("n")), "all-cells")
-    totals = scratch.table(
-        cells.groupBy("gid").agg(F.sum("n").alias("total")).where("total > 1"), "totals"
+    copies = [F.sum(F.when(F.col("start") == s, F.col("n")).otherwise(0)) for s in range(shards)]
+    groups = scratch.table(
+        cells.groupBy("gid").agg(F.sum("n").alias("total"), F.array(*copies).alias("votes")).where("total > 1"), "groups"
     )
-    linked_cells = cells.join(totals, "gid")
-    large = F.col("total") * 2 > min(quotas)  # more than half a shard: cut where it must be
-    none = [0] * shards
-    small, load = _propagate(linked_cells.where(~large).drop("total"), none, quotas, scratch, rounds, "small", True)
-    rest, load = _propagate(linked_cells.where(large).drop("total"), load, quotas, scratch, rounds, "large", False)
-    state = small.unionByName(rest)
-    placed = rows.join(state.select("gid", "start", "salt", "shard"), ["gid", "start", "salt"], "left").drop(
-        "gid", "start", "salt"
+    room = list(quotas)
+    large = F.col("total") * LARGE > min(quotas)  # 2 x LARGE x shards groups at most
+    listed = groups.where(large).select(F.hex("gid").alias("gid"), "total", "votes").collect()
+    whole, cut = _plan_groups([(r["gid"], r["total"], list(r["votes"])) for r in listed], room)
+    small = _propagate(groups.where(~large), room, scratch, rounds)
+    left = small.where("shard is null")
+    n_left = left.agg(F.sum("total")).first()[0] or 0
+    # groups that are cut, then small groups that no shard with copies took, in a line; (end, shard) pieces of it
+    starts, pieces, at = [], [], 0
+    for gid, parts in cut:
+        starts.append({"gid": gid, "first": at})
+        for take, s in parts:
+            at += take
+            pieces.append((at, s))
+    line = _offsets(left, n_left).withColumn("first", F.col("first") + at)
+    for s, x in enumerate(room):
+        take = min(x, n_left)
+        if take:
+            at, n_left, room[s] = at + take, n_left - take, x - take
+            pieces.append((at, s))
+
+    def piece(of: Column) -> Column:
+        return sum((F.when(of >= F.lit(e), 1).otherwise(0) for e, _ in pieces), F.lit(0))
+
+    def piece_shard(of: Column) -> Column:
+        return _lookup([s for _, s in pieces] or [0], piece(of)).cast("int")
+
+    places = scratch.table(
+        small.where("shard is not null")
+        .select("gid", "shard", F.lit(None).cast("long").alias("first"))
+        .unionByName(_listed(scratch, [{"gid": g, "shard": s} for g, s in whole.items()], "shard:int").withColumn("first", F.lit(None).cast("long")))
+        .unionByName(line.unionByName(_listed(scratch, starts, "first:bigint")).withColumn("shard", F.lit(None).cast("int"))),
+        "places",
     )
-    placed = scratch.table(placed, "placed")
-    # linked rows beyond a shard's quota (only where nearly every row is linked) become free too
-    linked = _ranked(placed.where("shard is not null"), ["shard"], max(load), "slot")
-    fits = F.col("slot") < _lookup(quotas, F.col("shard"))
-    own = linked.where(fits)
-    over = linked.where(~fits).drop("slot")
-    kept = [min(q, x) for q, x in zip(quotas, load)]
-    free = _ranked(placed.where("shard is null").unionByName(over).drop("shard"), [], n, "_f")
+    settled = cells.join(places.where("shard is not null").drop("first"), "gid").withColumn("first", F.lit(None).cast("long"))
+    upto = F.sum("n").over(Window.partitionBy("gid").orderBy("start", "salt"))
+    in_line = cells.join(places.where("shard is null").drop("shard"), "gid").withColumn("first", F.col("first") + upto - F.col("n"))
+    one = piece(F.col("first")) == piece(F.col("first") + F.col("n") - 1)
+    in_line = in_line.withColumn("shard", F.when(one, piece_shard(F.col("first"))))
+    state = settled.unionByName(in_line).select("gid", "start", "salt", "shard", "first")
+    placed = scratch.table(rows.join(state, ["gid", "start", "salt"], "left"), "placed")
+    # cells across the end of a piece, a few: row by row
+    nth = F.row_number().over(Window.partitionBy("gid", "start", "salt").orderBy("r", "doc_id")) - 1
+    across = placed.where("shard is null and first is not null").withColumn("shard", piece_shard(F.col("first") + nth))
+    kept = [q - x for q, x in zip(quotas, room)]
+    linked = placed.where("shard is not null").unionByName(across).drop("gid", "start", "salt", "first")
+    own = _ranked(scratch.table(linked, "linked"), ["shard"], max(kept), "slot")
+    unlinked = placed.where("shard is null and first is null").drop("gid", "start", "salt", "first", "shard")
+    free = _ranked(unlinked, [], n, "_f")
     ends, total = [], 0
     for q, x in zip(quotas, kept):
         total += q - x

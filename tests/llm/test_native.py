@@ -168,3 +168,28 @@ def test_shards_of_odd_rows(docs, doc_list, no_docs, room, spark):
     same = spark.createDataFrame([(k, "same") for k in range(100)], "doc_id long, text string")
     _check_shards(sharding.balanced_shards(same, type(room)(spark, "test")).collect(), 100)
     assert sharding.balanced_shards(no_docs, type(room)(spark, "test")).collect() == []
+
+
+@pytest.mark.parametrize(("percent", "size"), [(70, 2), (90, 8), (100, 2)])
+def test_shards_keep_groups_when_most_rows_are_linked(spark, room, percent, size):
+    n = 16_000
+    rows = [(k, f"g {k // size}" if k < n * percent // 100 else f"own {k}") for k in range(n)]
+    got = sharding.balanced_shards(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), room).collect()
+    _check_shards(got, n)
+    text, where = dict(rows), {}
+    for r in got:
+        where.setdefault(text[r["doc_id"]], set()).add(r["shard"])
+    assert sum(len(s) > 1 for s in where.values()) < 16
+
+
+def test_shards_keep_large_groups_whole_or_in_few(spark, room):
+    sizes = [3000, 400] + [300] * 10 + [100] * 12 + [90] * 4  # 7,960 of 8,000 rows, 500 a shard
+    rows = [(i, f"group {g}") for i, g in enumerate(g for g, x in enumerate(sizes) for _ in range(x))]
+    rows += [(len(rows) + k, f"own {k}") for k in range(8000 - len(rows))]
+    got = sharding.balanced_shards(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), room).collect()
+    _check_shards(got, 8000)
+    text, where = dict(rows), {}
+    for r in got:
+        where.setdefault(text[r["doc_id"]], set()).add(r["shard"])
+    assert len(where["group 0"]) == 6
+    assert sum(len(s) > 1 for t, s in where.items() if t != "group 0") < 16
