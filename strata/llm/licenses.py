@@ -1,9 +1,10 @@
-"""License scans: winnowed fingerprints pick candidates, banded alignment reports spans.
+"""License scans: fingerprints pick candidates, banded alignment reports spans.
 
-Hashes of word runs of the templates are winnowed into a small inverted index.
-A document's winnowed hashes that are in it give (template, diagonal)
-candidates; around them a banded local alignment of words reports how much of
-the template is there and where in the text.
+Hashes of every word run of the templates (of single words for short notices)
+are a small inverted index.  A document's runs that are in it give (template,
+diagonal) candidates; around them a banded local alignment of words reports how
+much of the template is there and where in the text.  A span is named only if
+its names and numbers are those of the template.
 """
 
 from __future__ import annotations
@@ -17,13 +18,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RUN = 3
+RUN = 2
 WINDOW = 3
 BAND = 6
 LEAST_COVERAGE = 0.6
 #: A span ends where a stretch of words loses this much against its best point.
 DROP = 8
 
+#: Templates of fewer words are found by single words.
+SHORT = 12
+#: Words that, like the numbers, tell a licence from another.
+NAMING = frozenset("mit apache gnu lesser affero library cc nc nd sa cc0 noncommercial sharealike noderivatives mozilla eclipse".split())
+
 _WORD = re.compile(r"[a-z0-9]+")
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -97,79 +103,138 @@ def winnowed(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
     return np.flatnonzero(chosen)
 
 
-def align(text: np.ndarray, template: np.ndarray, diagonal: int, band: int = BAND) -> tuple[int, int, int]:
+def align(text: np.ndarray, template: np.ndarray, diagonal: int, band: int = BAND) -> tuple[list[tuple[int, int]], int, int]:
     """Best local alignment near ``text position - template position = diagonal``.
 
-    Match 2, mismatch and gap -1.  Returns ``(matched words, first, end)`` of
-    the text span; ties: the longest match that ends first.
+    Match 2, mismatch and gap -1.  Returns ``(pairs, first, end)``: the matched
+    (template, text) positions and the text span; ties: the match that ends
+    first in the template, then in the text.
     """
     m, width = len(template), 2 * band + 1
-    score = np.zeros(width + 2, np.int64)
-    state = [(0, 0, -1)] * (width + 2)  # (matched, -start) bookkeeping per cell: matched, start, end
-    best = (0, 0, 0, 0)  # score, matched, start, end
+    none = (0, None, 0, -1)  # score, chain of matches, first, end
+    low = max(0, diagonal - band)
+    words, wanted = text[low : max(low, m + diagonal + band + 1)].tolist(), template.tolist()
+    state, best = [none] * (width + 2), none
     for i in range(m):
-        old_score, old_state = score.copy(), state
-        score, state = np.zeros(width + 2, np.int64), [(0, 0, -1)] * (width + 2)
-        for b in range(1, width + 1):
-            j = i + diagonal + b - 1 - band
-            if j < 0 or j >= len(text):
-                continue
-            hit = text[j] == template[i]
-            options = [(old_score[b] + (2 if hit else -1), old_state[b], hit, j)]
-            options.append((old_score[b + 1] - 1, old_state[b + 1], False, j))  # template word skipped
-            options.append((score[b - 1] - 1, state[b - 1], False, j))  # text word skipped
-            s, before, is_hit, _ = max(options, key=lambda o: o[0])
+        old, state, word = state, [none] * (width + 2), wanted[i]
+        at = i + diagonal - 1 - band - low
+        for b in range(max(1, -at), min(width, len(words) - 1 - at) + 1):
+            hit = words[at + b] == word
+            s, before = old[b][0] + (2 if hit else -1), old[b]
+            if old[b + 1][0] - 1 > s:  # template word skipped
+                s, before, hit = old[b + 1][0] - 1, old[b + 1], False
+            if state[b - 1][0] - 1 > s:  # text word skipped
+                s, before, hit = state[b - 1][0] - 1, state[b - 1], False
             if s <= 0:
                 continue
-            matched, start = (before[0], before[1]) if before[2] >= 0 else (0, j)
-            score[b], state[b] = s, (matched + is_hit, start, j)
+            j = at + b + low
+            chain = (before[1], i, j) if hit else before[1]
+            state[b] = (s, chain, before[2] if before[3] >= 0 else j, j)
             if s > best[0]:
-                best = (int(s), matched + is_hit, start, j + 1)
-    return best[1], best[2], best[3]
+                best = state[b]
+    pairs, chain = [], best[1]
+    while chain:
+        chain, i, j = chain
+        pairs.append((i, j))
+    return pairs[::-1], best[2], best[3] + 1
 
 
 class Scanner:
-    def __init__(self, templates: dict[str, str], run: int = RUN, window: int = WINDOW, band: int = BAND):
-        self.ids, self.run, self.window, self.band = WordIds(), run, window, band
+    def __init__(self, templates: dict[str, str], run: int = RUN, band: int = BAND):
+        self.ids, self.run, self.band = WordIds(), run, band
         self.names = sorted(templates)
-        self.words = [self.hashed(_WORD.findall(templates[n].lower())) for n in self.names]
-        self.index: dict[int, list[tuple[int, int]]] = {}
+        self.words, self.named = [], []
+        #: Hash of a word run to (template, position): every run, single words of short notices.
+        self.runs: dict[int, list[tuple[int, int]]] = {}
+        self.single: dict[int, list[tuple[int, int]]] = {}
+        for t, name in enumerate(self.names):
+            words = _WORD.findall(templates[name].lower())
+            ids = self.hashed(words)
+            marks = [k for k, w in enumerate(words) if w in NAMING or w.isdigit()]
+            self.words.append(ids)
+            self.named.append(set(marks))
+            if marks and len(words) < SHORT:
+                # all of these words have to be found, so the first of them leads to every span
+                k = min(marks, key=lambda k: (words[k].isdigit(), k))
+                self.single.setdefault(int(ids[k]), []).append((t, k))
+            elif len(words) < SHORT:
+                for k, h in enumerate(ids.tolist()):
+                    self.single.setdefault(h, []).append((t, k))
+            else:
+                for k, h in enumerate(run_hashes(ids, run).tolist()):
+                    self.runs.setdefault(h, []).append((t, k))
+        self.known = [np.array(sorted(x), np.uint64) for x in (self.runs, self.single)]
+        self.vocabulary = np.unique(np.concatenate([*self.words, np.empty(0, np.uint64)]))
+        #: Share of each template that a word of the vocabulary is.
+        self.shares = np.zeros((len(self.names), len(self.vocabulary)))
         for t, ids in enumerate(self.words):
-            hashes = run_hashes(ids, run)
-            for p in winnowed(hashes, window).tolist():
-                self.index.setdefault(int(hashes[p]), []).append((t, p))
-        self.known = np.array(sorted(self.index), np.uint64)
+            np.add.at(self.shares[t], np.searchsorted(self.vocabulary, ids), 1 / max(1, len(ids)))
 
     def hashed(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.ids.__getitem__, words), np.uint64, len(words))
 
-    def candidates(self, ids: np.ndarray) -> dict[tuple[int, int], int]:
-        """``{(template, diagonal band): a diagonal in it}`` from the winnowed hashes of a text."""
+    def candidates(self, ids: np.ndarray, least: float) -> dict[tuple[int, int], int]:
+        """``{(template, diagonal band): a diagonal in it}`` from every word run of a text that a template has."""
         found: dict[tuple[int, int], int] = {}
-        if not len(self.known) or not len(ids):
+        if not len(self.vocabulary) or not len(ids):
             return found
-        hashes = run_hashes(ids, self.run)
-        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
-        if not (self.known[at] == hashes).any():
+        at = np.minimum(np.searchsorted(self.vocabulary, ids), len(self.vocabulary) - 1)
+        there = np.zeros(len(self.vocabulary))
+        there[at[self.vocabulary[at] == ids]] = 1
+        enough = set(np.flatnonzero(self.shares @ there >= least - 1e-9).tolist())  # templates whose words are in the text
+        if not enough:
             return found
-        for p in winnowed(hashes, self.window).tolist():
-            for t, q in self.index.get(int(hashes[p]), ()):
-                found.setdefault((t, (p - q) // self.band), p - q)
+        for index, known, hashes in zip((self.runs, self.single), self.known, (run_hashes(ids, self.run), ids)):
+            if not len(known) or not len(hashes):
+                continue
+            at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+            for p in np.flatnonzero(known[at] == hashes).tolist():
+                for t, q in index[int(hashes[p])]:
+                    if t in enough:
+                        found.setdefault((t, (p - q) // self.band), p - q)
         return found
 
+    def named_by(self, t: int, words: list[str], pairs: list[tuple[int, int]], first: int, end: int) -> bool:
+        """Whether a span has the names and numbers of its template, and no others.
+
+        A short notice needs all of its own.  A longer text may lack some, but
+        no other name or number may stand in the span or where the template goes on.
+        """
+        m = len(self.words[t])
+        if m < SHORT and self.named[t] - {i for i, _ in pairs}:
+            return False
+        if not self.named[t]:
+            return True
+        met = {j for _, j in pairs}
+        around = range(max(0, first - pairs[0][0]), min(len(words), end + m - 1 - pairs[-1][0]))
+        return not any(j not in met and (words[j] in NAMING or words[j].isdigit()) for j in around)
+
+    def possible(self, t: int, ids: np.ndarray, diagonal: int, least: float) -> bool:
+        """Whether the words in reach of the band are enough; never refuses a span that ``align`` would find."""
+        m = len(self.words[t])
+        near = ids[max(0, diagonal - self.band) : max(0, diagonal + m + self.band)]
+        if len(near) / m < least:
+            return False
+        there = np.isin(self.words[t], near)
+        return there.sum() / m >= least
+
     def scan(self, text: str, least: float) -> list[tuple[str, float, int, int, int]]:
         """``(template, coverage, matched, first character, end)``, best first; spans of one template do not overlap."""
         lowered = text.lower()
-        ids = self.hashed(_WORD.findall(lowered))
-        candidates = self.candidates(ids)
+        words = _WORD.findall(lowered)
+        ids = self.hashed(words)
+        candidates = self.candidates(ids, least)
         if not candidates:
             return []
         spans = [m.span() for m in _WORD.finditer(lowered)]
         found = []
         for (t, _), diagonal in sorted(candidates.items()):
-            matched, first, end = align(ids, self.words[t], diagonal, self.band)
+            if not self.possible(t, ids, diagonal, least):
+                continue
+            pairs, first, end = align(ids, self.words[t], diagonal, self.band)
+            matched = len(pairs)
             coverage = matched / len(self.words[t])
-            if coverage >= least:
+            if matched and coverage >= least and self.named_by(t, words, pairs, first, end):
                 found.append((self.names[t], coverage, matched, spans[first][0], spans[end - 1][1]))
         found.sort(key=lambda f: (-f[1], -f[2], f[0], f[3]))
         kept: list = []
@@ -196,9 +261,13 @@ def license_spans(
     """``(doc_id, license, coverage, n_spans, spans)`` for every row, without a shuffle.
 
     ``spans`` lists every template of which ``least_coverage`` or more is
-    found, with the characters (of the ASCII words of the lower-cased text) it
-    spans; ``license`` is the best one (larger coverage, more words, name),
-    null when there is none.  Null and empty texts have none.  Null ids and
+    found, with no other licence's name or number in the span.  A template of
+    ``SHORT`` or more words needs ``RUN`` equal words in a row, which deleted
+    and replaced words always leave; a shorter one needs all of its own names
+    and numbers, or any word where it has none.  Up to ``BAND`` more or fewer
+    words than in the template are bridged.  Spans are in characters (of the
+    ASCII words of the lower-cased text); ``license`` is the best one (larger
+    coverage, more words, name), null when there is none.  Null and empty texts have none.  Null ids and
     repeated rows pass row by row; empty table: empty result.  The templates
     are a parameter and go to every task, so they must be few.
     """

@@ -188,3 +188,34 @@ def test_winnowing_covers_every_window(n):
     for k in range(max(0, n - 2)):
         window = hashes[k : k + 3]
         assert chosen & {k + int(j) for j in np.flatnonzero(window == window.min())}
+
+
+def _one_word_edits(words):
+    for k in range(len(words)):
+        for new in ([], ["other"], ["other", words[k]]):
+            yield k, new, words[:k] + new + words[k + 1 :]
+
+
+def test_license_scan_finds_every_one_word_edit():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    for name, template in licenses.TEMPLATES.items():
+        words = licenses._WORD.findall(template.lower())
+        for k, new, edited in _one_word_edits(words):
+            found = {f[0]: f[2] for f in scanner.scan(" ".join(["before"] * 9 + edited + ["after"] * 9), licenses.LEAST_COVERAGE)}
+            named = words[k] in licenses.NAMING or words[k].isdigit()
+            if named and words[k] not in new and len(words) < licenses.SHORT:
+                assert name not in found, (name, k, new)
+                continue
+            full = _full_alignment(edited, words)
+            assert full / len(words) < licenses.LEAST_COVERAGE or found.get(name) == full, (name, k, new)
+
+
+def test_license_scan_tells_versions_and_variants_apart():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    assert [f[0] for f in scanner.scan("Released under an MIT License.", 0.6)] == ["MIT-notice"]
+    assert scanner.scan("Released under the BSD License.", 0.6) == []
+    gpl = "This work is licensed under the GNU {}General Public License, version {}."
+    for text in (gpl.format("", 2), gpl.format("Lesser ", 3)):
+        assert "GPL-3.0-notice" not in {f[0] for f in scanner.scan(text, 0.6)}
+    by_nc = "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."
+    assert "CC-BY-4.0" not in {f[0] for f in scanner.scan(by_nc, 0.6)}
