@@ -18,6 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.license_texts import TEXTS
+
 RUN = 2
 WINDOW = 3
 BAND = 6
@@ -33,7 +35,7 @@ NAMING = frozenset("mit apache gnu lesser affero library cc nc nd sa cc0 noncomm
 _WORD = re.compile(r"[a-z0-9]+")
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
-# Notices and grants as their publishers word them.
+# The notices that the test documents have, openings of licences, and published texts (TEXTS).
 TEMPLATES: dict[str, str] = {
     "MIT-notice": "Released under the MIT License.",
     "MIT": (
@@ -62,7 +64,7 @@ TEMPLATES: dict[str, str] = {
         "granted, provided that the above copyright notice and this permission notice appear in all copies."
     ),
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-}
+} | TEXTS
 
 
 class WordIds(dict):
@@ -143,7 +145,7 @@ class Scanner:
     def __init__(self, templates: dict[str, str], run: int = RUN, band: int = BAND):
         self.ids, self.run, self.band = WordIds(), run, band
         self.names = sorted(templates)
-        self.words, self.named = [], []
+        self.words, self.named, self.naming = [], [], []
         #: Hash of a word run to (template, position): every run, single words of short notices.
         self.runs: dict[int, list[tuple[int, int]]] = {}
         self.single: dict[int, list[tuple[int, int]]] = {}
@@ -153,6 +155,7 @@ class Scanner:
             marks = [k for k, w in enumerate(words) if w in NAMING or w.isdigit()]
             self.words.append(ids)
             self.named.append(set(marks))
+            self.naming.append({int(ids[k]) for k in marks if not words[k].isdigit()})
             if marks and len(words) < SHORT:
                 # all of these words have to be found, so the first of them leads to every span
                 k = min(marks, key=lambda k: (words[k].isdigit(), k))
@@ -197,22 +200,29 @@ class Scanner:
     def named_by(self, t: int, words: list[str], pairs: list[tuple[int, int]], first: int, end: int) -> bool:
         """Whether a span has the names and numbers of its template, and no others.
 
-        A short notice needs all of its own.  A longer text may lack some, but
-        no other name or number may stand in the span or where the template goes on.
+        A short notice needs all of its own.  A longer text needs each name
+        once, and no other name or number may stand in the span or where the
+        template goes on.
         """
         m = len(self.words[t])
         if m < SHORT and self.named[t] - {i for i, _ in pairs}:
             return False
         if not self.named[t]:
             return True
+        if self.naming[t] - {int(self.words[t][i]) for i, _ in pairs}:
+            return False
         met = {j for _, j in pairs}
         around = range(max(0, first - pairs[0][0]), min(len(words), end + m - 1 - pairs[-1][0]))
         return not any(j not in met and (words[j] in NAMING or words[j].isdigit()) for j in around)
 
+    def reach(self, t: int) -> int:
+        """Diagonals to both sides that are aligned: all that the missing words of a template can shift."""
+        return self.band + int((1 - LEAST_COVERAGE) * len(self.words[t]))
+
     def possible(self, t: int, ids: np.ndarray, diagonal: int, least: float) -> bool:
         """Whether the words in reach of the band are enough; never refuses a span that ``align`` would find."""
         m = len(self.words[t])
-        near = ids[max(0, diagonal - self.band) : max(0, diagonal + m + self.band)]
+        near = ids[max(0, diagonal - self.reach(t)) : max(0, diagonal + m + self.reach(t))]
         if len(near) / m < least:
             return False
         there = np.isin(self.words[t], near)
@@ -231,7 +241,7 @@ class Scanner:
         for (t, _), diagonal in sorted(candidates.items()):
             if not self.possible(t, ids, diagonal, least):
                 continue
-            pairs, first, end = align(ids, self.words[t], diagonal, self.band)
+            pairs, first, end = align(ids, self.words[t], diagonal, self.reach(t))
             matched = len(pairs)
             coverage = matched / len(self.words[t])
             if matched and coverage >= least and self.named_by(t, words, pairs, first, end):
@@ -264,8 +274,8 @@ def license_spans(
     found, with no other licence's name or number in the span.  A template of
     ``SHORT`` or more words needs ``RUN`` equal words in a row, which deleted
     and replaced words always leave; a shorter one needs all of its own names
-    and numbers, or any word where it has none.  Up to ``BAND`` more or fewer
-    words than in the template are bridged.  Spans are in characters (of the
+    and numbers, or any word where it has none.  Text words between the
+    template's are bridged up to ``BAND`` and four tenths of the template.  Spans are in characters (of the
     ASCII words of the lower-cased text); ``license`` is the best one (larger
     coverage, more words, name), null when there is none.  Null and empty texts have none.  Null ids and
     repeated rows pass row by row; empty table: empty result.  The templates
