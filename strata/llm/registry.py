@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.llm import (
     decontam,
     embed_dedup,
+    html_text,
     jaccard_join,
     licenses,
     line_dedup,
     mixing,
+    periodic_runs,
     quality,
     sharding,
+    token_alignment,
     token_count,
     toxicity,
 )
@@ -69,6 +72,18 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_spans(_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.runs_digest(periodic_runs.with_planted_periods(_table(spark, sf_dir, "documents")))
+
+
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.page_texts(_table(spark, sf_dir, "pages"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment_digest(_table(spark, sf_dir, "documents"), Scratch(spark, "alignment"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_token_counts": op2_token_counts,
@@ -80,6 +95,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_licenses": op10_licenses,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_html_text": op12_html_text,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
