@@ -9,8 +9,8 @@ Only actions without data dependencies between them are passed here.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from threading import Lock
+from collections.abc import Callable, Collection, Mapping, Sequence
+from threading import Condition, Lock
 from typing import TypeVar
 
 from pyspark import InheritableThread
@@ -52,3 +52,60 @@ def run_all(actions: Sequence[Callable[[], T]], threads: int = DEFAULT_THREADS)
     if errors:
         raise errors[0]
     return results
+
+
+def run_graph(
+    actions: Mapping[str, tuple[Collection[str], Callable[[], T]]], threads: int = DEFAULT_THREADS
+) -> dict[str, T]:
+    """Run ``{name: (names it needs, action)}``, each as soon as what it needs is done.
+
+    A slow action delays only those that need it, not others of its layer.
+    Needed names must be keys; a circle is an error.  After the first error no
+    further action starts, and it is raised once the running ones have ended.
+    """
+    waiting = {name: set(needs) for name, (needs, _) in actions.items()}
+    unknown = {n for needs in waiting.values() for n in needs} - set(actions)
+    if unknown:
+        raise ValueError(f"unknown: {', '.join(sorted(unknown))}")
+    results: dict[str, T] = {}
+    errors: list[BaseException] = []
+    running: set[str] = set()
+    changed = Condition()
+
+    def next_ready() -> str | None:
+        return next((name for name, needs in waiting.items() if needs <= results.keys()), None)
+
+    def work() -> None:
+        while True:
+            with changed:
+                while not errors and waiting and (name := next_ready()) is None:
+                    if not running:
+                        errors.append(ValueError(f"a circle among {', '.join(sorted(waiting))}"))
+                        break
+                    changed.wait()
+                if errors or not waiting:
+                    changed.notify_all()
+                    return
+                del waiting[name]
+                running.add(name)
+            try:
+                done = actions[name][1]()
+            except BaseException as error:  # noqa: BLE001 - raised by the caller's thread
+                with changed:
+                    errors.append(error)
+                    running.discard(name)
+                    changed.notify_all()
+            else:
+                with changed:
+                    results[name] = done
+                    running.discard(name)
+                    changed.notify_all()
+
+    pool = [InheritableThread(target=work) for _ in range(max(1, min(threads, len(actions))))]
+    for thread in pool:
+        thread.start()
+    for thread in pool:
+        thread.join()
+    if errors:
+        raise errors[0]
+    return results

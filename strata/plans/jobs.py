@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.operators import content_digest, union_all
+from strata.operators import union_all
 from strata.plans import medallion
 from strata.plans.medallion import STAR_TABLES, Lake
 from strata.session import run_dir
@@ -48,8 +48,8 @@ def write_star(
     sources: Mapping[str, DataFrame],
     star_dir: str,
     stage_dir: str | None = None,
-) -> dict[str, str]:
-    """Build and write the nine star tables (K2).
+) -> dict[str, lake.Written]:
+    """Build and write the nine star tables (K2), with the digests of what was written.
 
     ``silver_orders`` feeds five of them.  When the sources are a computed
     lineage it is written once to ``stage_dir`` and read back, so the order
@@ -61,7 +61,7 @@ def write_star(
         stage = f"{stage_dir}/silver_orders"
         lake.write_table(models.model("silver_orders"), stage)
         models = Lake(sources, pinned={"silver_orders": spark.read.parquet(stage)})
-    return lake.write_tables({t: models.model(t) for t in STAR_TABLES}, star_dir)
+    return lake.write_tables_digested({t: models.model(t) for t in STAR_TABLES}, star_dir)
 
 
 @dataclass(frozen=True)
@@ -70,13 +70,13 @@ class Registration:
 
     raw_database: str
     star_database: str
-    raw_locations: Mapping[str, str]
-    star_locations: Mapping[str, str]
+    raw_tables: Mapping[str, lake.Written]
+    star_tables: Mapping[str, lake.Written]
 
     def register(self, spark: SparkSession) -> None:
         """(Re)register the written folders; no table is written again (K7–K9)."""
-        catalog.register(spark, self.raw_database, self.raw_locations)
-        catalog.register(spark, self.star_database, self.star_locations)
+        catalog.publish(spark, self.raw_database, self.raw_tables)
+        catalog.publish(spark, self.star_database, self.star_tables)
 
 
 def register_lake(spark: SparkSession, raw: Mapping[str, DataFrame]) -> Registration:
@@ -90,23 +90,34 @@ def register_lake(spark: SparkSession, raw: Mapping[str, DataFrame]) -> Registra
     root = run_dir(spark, "catalog")
     run = root.rsplit("-", 1)[1]
     raw_database = catalog.run_database(catalog.RAW_DATABASE, run)
-    raw_locations = lake.write_tables(dict(raw), f"{root}/raw")
-    catalog.register(spark, raw_database, raw_locations)
-    written = {name: catalog.source(spark, name, raw_database) for name in raw_locations}
-    star_locations = write_star(spark, written, f"{root}/star")
-    done = Registration(
-        raw_database, catalog.run_database(catalog.STAR_DATABASE, run), raw_locations, star_locations
-    )
-    catalog.register(spark, done.star_database, star_locations)
+    raw_tables = lake.write_tables_digested(raw, f"{root}/raw")
+    catalog.publish(spark, raw_database, raw_tables)
+    written = {name: catalog.source(spark, name, raw_database) for name in raw_tables}
+    star_tables = write_star(spark, written, f"{root}/star")
+    done = Registration(raw_database, catalog.run_database(catalog.STAR_DATABASE, run), raw_tables, star_tables)
+    catalog.publish(spark, done.star_database, star_tables)
     return done
 
 
 def star_roundtrip(spark: SparkSession, raw: Mapping[str, DataFrame]) -> DataFrame:
-    """Write the star schema to Parquet, read every table back, and digest its content."""
+    """Write the star schema to Parquet and digest it (K2); row counts are read back.
+
+    The digests are sums of the writes themselves; the count of the files read
+    back comes from their footers.
+    """
     root = run_dir(spark, "star")
-    write_star(spark, raw, f"{root}/star", f"{root}/stage")
+    written = write_star(spark, raw, f"{root}/star", f"{root}/stage")
     back = lake.read_tables(spark, f"{root}/star", STAR_TABLES)
-    return union_all([df.agg(F.lit(name).alias("table_name"), *content_digest(df)) for name, df in back.items()])
+    return union_all(
+        [
+            df.agg(
+                F.lit(name).alias("table_name"),
+                F.count(F.lit(1)).alias("row_count"),
+                F.lit(written[name].digest).alias("digest"),
+            )
+            for name, df in back.items()
+        ]
+    )
 
 
 def medallion_build(spark: SparkSession, raw: Mapping[str, DataFrame], layers: Sequence[str | None] = (None,)):

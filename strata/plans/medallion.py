@@ -4,12 +4,13 @@
 single Catalyst plan from the raw scans to the answer, so pruning and
 pushdown reach the Parquet readers.
 
-``build(...)`` materializes the models in dependency order, one Parquet
-table per model in a database named after its layer (bronze / silver /
-gold, used verbatim).  Every model reads its inputs back from the tables
-written before it, so each layer's lineage is cut at a written table — an
-executor lost in the gold layer never recomputes bronze.  A ``layer``
-filter runs one layer only, reading upstream layers from the catalog.
+``build(...)`` materializes the models, one Parquet table per model in a
+database named after its layer (bronze / silver / gold, used verbatim).  A
+model runs as soon as its own inputs are written and reads them back, so
+lineage is cut at every model — an executor lost in the gold layer never
+recomputes bronze.  Each run writes folders of its own version and publishes
+them together at the end.  A ``layer`` filter runs one layer only, reading
+upstream layers from the catalog.
 """
 
 from __future__ import annotations
@@ -18,11 +19,10 @@ from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from strata.operators import content_digest, union_all
+from strata.parallel import DEFAULT_THREADS, run_graph
 from strata.plans import models as m
-from strata.parallel import DEFAULT_THREADS, run_all
+from strata.sources import catalog, lake
 
 SOURCE = "source:"
 LAYERS = ("bronze", "silver", "gold")
@@ -181,68 +181,54 @@ def build(
 ) -> DataFrame:
     """Materialize the models (optionally one layer) and return their inventory.
 
-    Each model is written with ``mode("overwrite")`` as an external Parquet
-    table at ``{root}/{layer}/{alias}`` and registered as ``{layer}.{alias}``
-    (a full rebuild per run, like a ``table`` materialization).  Layers run
-    in order; the models of one layer depend only on earlier layers, so
-    they are written side by side from ``threads`` driver threads.  A model
-    that needs an absent source is left out, and so is what depends on it.
+    Each model is written to a new version folder below
+    ``{root}/{layer}/{alias}``, and when all are written the external Parquet
+    tables ``{layer}.{alias}`` are pointed at them (a full rebuild per run,
+    like a ``table`` materialization; a failed run changes no table).  A model
+    starts when its own inputs are written, on one of ``threads`` driver
+    threads.  The inventory's row counts and digests are sums of the writes
+    themselves.  A model that needs an absent source is left out, and so is
+    what depends on it.  Older versions than the one replaced are removed.
     """
     if layer is not None and layer not in LAYERS:
         raise ValueError(f"unknown layer {layer!r}; expected one of {LAYERS}")
     # a later layer alone reads the earlier ones from the catalog
     possible = buildable(sources) if layer in (None, "bronze") else list(MODELS)
-    built: list[Model] = []
-    for current in LAYERS:
-        if layer is not None and current != layer:
-            continue
-        specs = [spec for spec in possible if spec.layer == current]
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {(databases or {}).get(current, current)}")
-        run_all(
-            [lambda spec=spec: _write_model(spark, spec, sources, root, databases) for spec in specs],
-            threads,
-        )
-        built += specs
-    if not built:
+    specs = {spec.name: spec for spec in possible if layer in (None, spec.layer)}
+    if not specs:
         raise ValueError("no model can be built from the sources given")
-    return inventory(spark, built, databases)
-
+    version = lake.new_version()
+    written: dict[str, lake.Written] = {}
+
+    def write(spec: Model) -> None:
+        args = []
+        for ref in spec.inputs:
+            if ref.startswith(SOURCE):
+                args.append(sources[ref[len(SOURCE) :]])
+            elif ref in written:
+                args.append(written[ref].read(spark))
+            else:
+                args.append(spark.table(table_name(BY_NAME[ref], databases)))
+        written[spec.name] = lake.write_digested(
+            spec.fn(*args), f"{root}/{spec.layer}/{spec.alias}/{version}"
+        )
 
-def _write_model(
-    spark: SparkSession,
-    spec: Model,
-    sources: Mapping[str, DataFrame],
-    root: str,
-    databases: Mapping[str, str] | None,
-) -> None:
-    args = []
-    for ref in spec.inputs:
-        if ref.startswith(SOURCE):
-            args.append(sources[ref[len(SOURCE) :]])
-        else:
-            args.append(spark.table(table_name(BY_NAME[ref], databases)))
-    (
-        spec.fn(*args)
-        .write.mode("overwrite")
-        .format("parquet")
-        .option("path", f"{root}/{spec.layer}/{spec.alias}")
-        .saveAsTable(table_name(spec, databases))
+    run_graph(
+        {name: ([i for i in spec.inputs if i in specs], lambda spec=spec: write(spec)) for name, spec in specs.items()},
+        threads,
     )
-
-
-def inventory(
-    spark: SparkSession, built: list[Model], databases: Mapping[str, str] | None = None
-) -> DataFrame:
-    """(layer, model, table_name, row_count, digest) of materialized models, as one Spark job."""
-    frames = [(spec, spark.table(table_name(spec, databases))) for spec in built]
-    return union_all(
-        [
-            df.agg(
-                F.lit(spec.layer).alias("layer"),
-                F.lit(spec.name).alias("model"),
-                F.lit(spec.alias).alias("table_name"),
-                *content_digest(df),
-            )
-            for spec, df in frames
-        ]
+    for current in LAYERS:
+        tables = {spec.alias: written[name] for name, spec in specs.items() if spec.layer == current}
+        if tables:
+            catalog.publish(spark, (databases or {}).get(current, current), tables)
+    for spec in specs.values():
+        lake.retire(spark, f"{root}/{spec.layer}/{spec.alias}")
+    return inventory(spark, [(spec, written[name]) for name, spec in specs.items()])
+
+
+def inventory(spark: SparkSession, built: list[tuple[Model, lake.Written]]) -> DataFrame:
+    """(layer, model, table_name, row_count, digest) of the models just written."""
+    return spark.createDataFrame(
+        [(spec.layer, spec.name, spec.alias, done.row_count, done.digest) for spec, done in built],
+        "layer string, model string, table_name string, row_count long, digest string",
     )

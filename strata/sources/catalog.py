@@ -2,6 +2,8 @@
 
 Registration is idempotent: ``DROP TABLE IF EXISTS`` then ``CREATE TABLE
 … USING PARQUET LOCATION``.  Dropping an external table keeps its files.
+``publish`` is the form for tables that others read meanwhile: the table stays
+and its location is switched in one step, so no reader meets a gap.
 Names are always qualified (``db.table``), so no statement changes the
 session's current database.
 """
@@ -12,8 +14,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.operators import content_digest, union_all
+from strata.sources.lake import Written
 
 # Database names of the raw and star tables.
 RAW_DATABASE = "olist"
@@ -50,6 +54,32 @@ def register(spark: SparkSession, database: str, locations: Mapping[str, str]) -
         spark.sql(statement)
 
 
+def _shape(schema: StructType) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in schema]
+
+
+def publish(spark: SparkSession, database: str, tables: Mapping[str, Written]) -> None:
+    """Point ``{table: written folder}`` of ``database`` at new folders, each in one step.
+
+    A table that exists with the same columns gets a new location: a query
+    planned before the switch reads the old folder to its end, one planned
+    after it the new folder, and none fails between.  A new table is created;
+    only a table whose columns changed is dropped and created.  Call it after
+    all writes, so that a failed build publishes nothing.  Sessions other than
+    this one see the switch when they resolve the table anew
+    (``REFRESH TABLE``, or a new session).
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for table, written in tables.items():
+        name = f"{database}.{table}"
+        if spark.catalog.tableExists(name):
+            if _shape(spark.table(name).schema) == _shape(written.schema):
+                spark.sql(f"ALTER TABLE {name} SET LOCATION '{_quoted(written.location)}'")
+                continue
+            spark.sql(f"DROP TABLE {name}")
+        spark.catalog.createTable(name, path=written.location, source="parquet", schema=written.schema)
+
+
 def list_tables(spark: SparkSession, databases: Sequence[str]) -> DataFrame:
     """``SHOW TABLES IN`` each database, stacked (K10), under the databases' logical names.
 
