@@ -2,8 +2,8 @@
 
 Files are parsed as RFC 4180: fields may be quoted, a quote inside a
 quoted field is doubled, and (for the free-text table) a quoted field may
-span lines.  A file written by Spark is a directory of part files, so even
-the multi-line table is read in parallel, one task per part file.
+span lines.  Record borders of that table are found by quote parity
+(``strata.sources.records``), so one file is read by many tasks.
 
 Columns are bound by the names in the header, whatever their order, and
 every file's header is checked against them.  Cells are read as text and
@@ -23,6 +23,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.operators import union_all
 from strata.parallel import DEFAULT_THREADS, run_all
+from strata.sources import records
 from strata.sources.schemas import LANDING_FILES, RETAIL_SCHEMAS, LandingFile
 
 CSV_OPTIONS = {
@@ -32,6 +33,7 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+CELL_OPTIONS = {k: v for k, v in CSV_OPTIONS.items() if k != "header"}
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
@@ -56,6 +58,9 @@ def read_text_cells(spark: SparkSession, path: str, schema: StructType, multilin
     if missing:
         raise ValueError(f"{path}: the header lacks {', '.join(missing)}")
     text = StructType([StructField(c, StringType(), True) for c in header])
+    if multiline:
+        cells = records.parsed(records.records(spark, path), text, header, CELL_OPTIONS)
+        return cells.select(*schema.names)
     cells = spark.read.schema(text).options(**options, enforceSchema="false").csv(path)
     return cells.select(*schema.names)
 
