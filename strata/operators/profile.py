@@ -8,7 +8,7 @@ collapsed on the map side before the shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +28,43 @@ def distinct_key_count(columns: Sequence[str]) -> Column:
     return F.count_distinct(F.struct(*[F.col(c) for c in columns]))
 
 
+def _key_hashes(tag: int, columns: Sequence[str]) -> list[Column]:
+    """128 bits of a key tuple; NULL is a value of its own, unlike any other."""
+    parts = [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
+    return [F.xxhash64(F.lit(f"{tag}-{half}"), *parts).alias(f"h{half}") for half in (1, 2)]
+
+
+def duplicate_counts(
+    checks: Sequence[tuple[DataFrame, Mapping[int, Sequence[str]]]],
+) -> DataFrame:
+    """``(tag, rows, duplicates)`` of key tuples ``{tag: columns}`` over several tables at once.
+
+    Every key becomes a tag and 128 bits of hash, and all keys of all tables
+    meet in one exchange: counted per tag and hash on the map side first, so a
+    key that holds a third of the rows arrives as a row a task.  A repeated NULL
+    key is a duplicate.  Two of ``n`` different keys share their 128 bits with
+    a chance of about ``n**2 / 2**129``.  A tag whose table is empty has no row.
+    """
+    tagged = union_all(
+        [
+            df.select(
+                F.inline(
+                    F.array(
+                        *[F.struct(F.lit(tag).alias("tag"), *_key_hashes(tag, cols)) for tag, cols in keys.items()]
+                    )
+                )
+            )
+            for df, keys in checks
+        ]
+    )
+    return (
+        tagged.groupBy("tag", "h1", "h2")
+        .count()
+        .groupBy("tag")
+        .agg(F.sum("count").alias("rows"), (F.sum("count") - F.count(F.lit(1))).alias("duplicates"))
+    )
+
+
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: ``__rows`` and ``<col>`` = NULL count for each column."""
     return df.agg(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import percent_text, rounded_ratio
-from strata.operators import distinct_key_count, null_counts, union_all
+from strata.operators import distinct_key_count, duplicate_counts, null_counts, union_all
 from strata.plans.medallion import Lake
 from strata.plans.models import GEO_COLUMNS
 
@@ -95,29 +95,30 @@ def table_inventory(lake: Lake) -> DataFrame:
 def duplicate_keys(lake: Lake) -> DataFrame:
     """Duplicate counts per key, NULL keys counted like values.
 
-    The checks of one table share a single aggregation (one scan); the
-    result row is unpivoted into one row per check.
+    One scan a table; the keys of all checks are counted in one exchange of
+    tagged hashes.  A check of an empty table reports no duplicates.
     """
-    frames = []
     tables = list(dict.fromkeys(t for t, _, _, _ in DUPLICATE_CHECKS))
-    for table in tables:
-        checks = [(i, cols, label, action) for i, (t, cols, label, action) in enumerate(DUPLICATE_CHECKS) if t == table]
-        df = _raw(lake, table)
-        counts = df.agg(
-            *[(F.count(F.lit(1)) - distinct_key_count(list(cols))).alias(f"c{i}") for i, cols, _, _ in checks]
-        )
-        rows = counts.unpivot([], [f"c{i}" for i, _, _, _ in checks], "check", "duplicates")
-        label = F.create_map(*[x for i, _, lbl, _ in checks for x in (F.lit(f"c{i}"), F.lit(lbl))])
-        action = F.create_map(*[x for i, _, _, act in checks for x in (F.lit(f"c{i}"), F.lit(act))])
-        frames.append(
-            rows.select(
+    counts = duplicate_counts(
+        [
+            (_raw(lake, table), {i: cols for i, (t, cols, _, _) in enumerate(DUPLICATE_CHECKS) if t == table})
+            for table in tables
+        ]
+    )
+    numbers = range(len(DUPLICATE_CHECKS))
+    found = counts.agg(*[F.max(F.when(F.col("tag") == i, F.col("duplicates"))).alias(f"c{i}") for i in numbers])
+    rows = F.array(
+        *[
+            F.struct(
                 F.lit(table).alias("table_name"),
-                label[F.col("check")].alias("key_name"),
-                "duplicates",
-                action[F.col("check")].alias("action"),
+                F.lit(label).alias("key_name"),
+                F.coalesce(f"c{i}", F.lit(0)).cast("long").alias("duplicates"),
+                F.lit(action).alias("action"),
             )
-        )
-    return union_all(frames)
+            for i, (table, _, label, action) in enumerate(DUPLICATE_CHECKS)
+        ]
+    )
+    return found.select(F.inline(rows))
 
 
 def dedupe_effect(lake: Lake) -> DataFrame:

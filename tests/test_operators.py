@@ -110,3 +110,29 @@ def test_threads_inherit_properties_and_raise(spark):
     assert run_all([lambda k=k: k for k in range(20)], threads=4) == list(range(20))
     with pytest.raises(ZeroDivisionError):
         run_all([lambda: 1 // 0, lambda: 2], threads=2)
+
+
+def test_duplicate_counts_against_counting_rows(spark):
+    from collections import Counter
+
+    from strata.operators import duplicate_counts
+
+    rows = [("a", None, 1), (None, "a", 1), ("a", None, 2), (None, None, 3), (None, None, None), ("", "a", 3), ("a", "b", 1)]
+    rows += [("hot", "hot", k % 7) for k in range(500)]
+    one = spark.createDataFrame(rows, "k string, l string, n int").repartition(3)
+    other = spark.range(10).selectExpr("id % 4 as k")
+    keys = {1: ("k", "l"), 2: ("l", "k"), 3: ("k",), 4: ("k", "l", "n")}
+    got = duplicate_counts([(one, keys), (other, {9: ("k",)}), (one.where("false"), {7: ("k",)})])
+    at = {"k": 0, "l": 1, "n": 2}
+    want = {t: len(rows) - len(Counter(tuple(r[at[c]] for c in cols) for r in rows)) for t, cols in keys.items()}
+    assert {r["tag"]: (r["rows"], r["duplicates"]) for r in got.collect()} == {
+        **{t: (len(rows), n) for t, n in want.items()},
+        9: (10, 6),
+    }
+
+
+def test_duplicate_keys_expand_no_rows(spark, sf_dir):
+    from strata.plans.queries import QUERIES
+
+    plan = QUERIES["dq_duplicate_keys"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and plan.count("hashpartitioning(tag") >= 1
