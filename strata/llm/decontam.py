@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.scratch import Scratch
+from strata.llm.scratch import Scratch, fresh
 
 WINDOW = 13
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -52,12 +52,13 @@ def contamination(
     item_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """``(doc, hits, items)`` of the documents in which a window occurs.
+    """``(doc, text_key, hits, items)`` of the documents in which a window occurs.
 
     ``hits`` holds the distinct positions of the words inside any occurrence,
     ``items`` the distinct items whose windows occur.  Items without words or
     with a null id have no windows; empty tables give an empty result.
-    Documents that repeat an id are joined by position.
+    A document is its id and the hash ``text_key`` of its text, so rows that
+    repeat an id with other texts have results of their own.
     """
     windows = scratch.table(item_windows(items, window, item_col, item_text_col), "windows")
     n = windows.count()
@@ -65,12 +66,13 @@ def contamination(
         kind = items.schema[item_col].dataType.simpleString()
         return docs.limit(0).select(
             F.col(id_col).alias("doc"),
+            F.xxhash64(text_col).alias("text_key"),
             F.array().cast("array<int>").alias("hits"),
             F.array().cast(f"array<{kind}>").alias("items"),
         )
     blocks = max(1, -(-n // BLOCK_WINDOWS))
     windows = windows.withColumn("block", F.pmod(F.xxhash64("words"), F.lit(blocks)))
-    text = docs.select(F.col(id_col).alias("doc"), words(text_col).alias("w"))
+    text = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("text_key"), words(text_col).alias("w"))
     each = text.select(F.explode("w").alias("token"))
     found = []
     for block in range(blocks):
@@ -92,17 +94,17 @@ def contamination(
         anchors = scratch.table(anchors, f"anchors-{block}")  # BLOCK_WINDOWS rows at most, about
         at = F.col("pos") - F.col("offset")
         found.append(
-            text.select("doc", "w", F.posexplode("w").alias("pos", "token"))
+            text.select("doc", "text_key", "w", F.posexplode("w").alias("pos", "token"))
             .join(F.broadcast(anchors), "token")
             .where((at >= 0) & (at + F.col("len") <= F.size("w")))
             .where(F.array_join(F.slice("w", at + 1, F.col("len")), " ") == F.col("run"))
-            .select("doc", "item", at.alias("at"), "len")
+            .select("doc", "text_key", "item", at.alias("at"), "len")
         )
     occurrences = reduce(DataFrame.union, found)
     runs = F.transform(
         F.collect_set(F.struct("at", "len")), lambda x: F.sequence(x["at"], x["at"] + x["len"] - 1)
     )
-    return occurrences.groupBy("doc").agg(
+    return occurrences.groupBy("doc", "text_key").agg(
         F.array_distinct(F.flatten(runs)).alias("hits"), F.collect_set("item").alias("items")
     )
 
@@ -111,19 +113,21 @@ def contamination_digest(docs: DataFrame, items: DataFrame, scratch: Scratch) ->
     """Per document: words, hit words, items found, their digest, and the verdict.
 
     Contaminated: a hit, and at least one word in twenty hit.  A null text has
-    no words and no hits.  Rows that repeat an id get that id's result.
+    no words and no hits.  Rows that repeat an id get the result of their own text.
     """
     found = contamination(docs, items, scratch)
-    counted = docs.select(F.col("doc_id"), F.size(words("text")).cast("long").alias("n_words"))
+    counted = docs.select("doc_id", F.xxhash64("text").alias("key"), F.size(words("text")).cast("long").alias("n_words"))
     names = F.sort_array(F.transform("items", lambda x: x.cast("string")))
     listed = found.select(
         "doc",
+        "text_key",
         F.size("hits").cast("long").alias("h"),
         F.size("items").cast("long").alias("k"),
         F.array_join(names, ",").alias("names"),
     )
     n_hit = F.coalesce("h", F.lit(0).cast("long"))
-    return counted.join(listed, F.col("doc_id").eqNullSafe(F.col("doc")), "left").select(
+    same = F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("key") == F.col("text_key"))
+    return counted.join(listed, same, "left").select(
         "doc_id",
         "n_words",
         n_hit.alias("n_hit"),
@@ -137,9 +141,12 @@ def clean(docs: DataFrame, items: DataFrame, scratch: Scratch, **options) -> Dat
     """The rows of ``docs`` that are not contaminated, with their own columns."""
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     found = scratch.table(contamination(docs, items, scratch, **options), "found")
-    listed = found.select(F.col("doc").alias("_doc"), F.size("hits").alias("_hits"))
+    doc, key, hits = (fresh(docs, name) for name in ("_doc", "_key", "_hits"))
+    listed = found.select(F.col("doc").alias(doc), F.col("text_key").alias(key), F.size("hits").alias(hits))
     return docs.join(
         listed,
-        F.col(id_col).eqNullSafe(F.col("_doc")) & (F.col("_hits") * 20 >= F.size(words(text_col))),
+        F.col(id_col).eqNullSafe(F.col(doc))
+        & (F.xxhash64(text_col) == F.col(key))
+        & (F.col(hits) * 20 >= F.size(words(text_col))),
         "left_anti",
     )

@@ -38,21 +38,23 @@ _CLASS = "vec_id long, label string, key binary, unit binary, dim int"
 
 
 def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Unit vectors of usable rows; ``key`` is the hash of the exact components."""
+    """A row a row; usable vectors with their unit vector and a ``key``, the hash of the exact components."""
     for batch in batches:
         ids, labels, keys, units, dims = [], [], [], [], []
         for i, vec, label in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            if i is None or label is None or vec is None or not vec or any(x is None for x in vec):
-                continue
-            v = np.array(vec, np.float64)
+            ids.append(i)
+            labels.append(label)
+            usable = not (i is None or label is None or not vec or any(x is None for x in vec))
+            v = np.array(vec if usable else [0.0], np.float64)
             top = np.abs(v).max()
             if not np.isfinite(top) or top == 0:
+                keys.append(None)
+                units.append(None)
+                dims.append(None)
                 continue
             v = v + 0.0  # no negative zeros
             scaled = v / top
             unit = scaled / np.sqrt(scaled @ scaled)
-            ids.append(i)
-            labels.append(label)
             keys.append(xxhash.xxh3_128_digest(v.tobytes()))
             units.append(unit.tobytes())
             dims.append(len(v))
@@ -252,7 +254,8 @@ def embedding_links(
     ``threshold`` or more.  Vectors that are null, empty or zero, or hold null
     or non-finite components, and rows with a null label link with nothing; so
     do rows with a null id, whose component is null.  Rows that repeat an id
-    with the same vector are copies that link with each other.  The sample
+    are vectors each: equal ones link as copies, others by their own cosines,
+    and each row has its own result.  The sample
     that fits the splits is bounded by ``sample`` rows; every row is indexed.
     """
     rows = vectors.select(
@@ -261,8 +264,13 @@ def embedding_links(
     units = rows.mapInArrow(_unit_rows, _CLASS)
     group = ["label", "key", "dim"]
     plain = scratch.table(units, "units")
+    # a class of equal vectors is a node of its own, numbered as it is written: ids may repeat in several classes
     classes = scratch.table(
-        plain.groupBy(*group).agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"), F.min("unit").alias("unit")), "classes"
+        plain.where("key IS NOT NULL")
+        .groupBy(*group)
+        .agg(F.min("vec_id").alias("least_id"), F.count("*").alias("copies"), F.min("unit").alias("unit"))
+        .withColumn("id", F.monotonically_increasing_id()),
+        "classes",
     )
     spark = vectors.sparkSession
     # labels are the roots of the trees; only those of more than a leaf are split, so only they are counted and sampled
@@ -315,21 +323,21 @@ def embedding_links(
     )
     links = parts.groupBy("id").agg(F.sum("links").alias("links"))
     comps = components(parts.select(F.col("id").alias("a"), F.col("root").alias("b")), scratch)
-    named = scratch.table(
+    joined = scratch.table(
         classes.join(links, "id", "left")
         .join(comps, classes["id"] == comps["node"], "left")
         .select(
             *group,
+            "least_id",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "id").alias("component_id"),
+            F.coalesce("component", "id").alias("root"),
         ),
-        "named",
+        "joined",
     )
-    usable = plain.select("vec_id", *group).join(named, group).select("vec_id", "n_links", "component_id")
-    usable = scratch.table(usable.distinct(), "usable")  # a repeated id has one result
-    return rows.select("vec_id").join(usable, "vec_id", "left").select(
-        "vec_id",
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
-        F.coalesce("component_id", "vec_id").alias("component_id"),
-        (F.col("vec_id") == F.coalesce("component_id", "vec_id")).alias("kept"),
+    least = joined.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    named = scratch.table(joined.join(least, "root").select(*group, "n_links", "component_id"), "named")
+    linked = plain.where("key IS NOT NULL").join(named, group).select("vec_id", "n_links", "component_id")
+    alone = plain.where("key IS NULL").select(
+        "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
     )
+    return linked.unionByName(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))

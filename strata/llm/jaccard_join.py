@@ -23,11 +23,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.components import components
-from strata.llm.scratch import Scratch
+from strata.llm.scratch import Scratch, fresh
 from strata.llm.shingles import SHINGLE, WordHashes, shingle_set
 
 PERCENT = 80
@@ -393,10 +393,38 @@ def jaccard_components(
 
 
 def one_of_each_group(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component, with their own columns."""
-    id_col = options.get("id_col", "doc_id")
-    found = jaccard_components(docs, scratch, **options)
-    gone = scratch.table(
-        found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone"
+    """One row of every group of linked texts, that of the smallest id, with its own columns.
+
+    Rows, not ids, are grouped: a row is named by a hash of its id and text, so
+    a text of its own stays although its id repeats elsewhere, and of rows that
+    repeat a group's smallest id one stays (the least hash).  Rows equal in id
+    and text are one group like other copies.  Should two different rows share
+    a hash, neither is removed.  Texts without shingles are linked with
+    nothing and stay, repeated ones too.
+    """
+    id_col, text_col = options.pop("id_col", "doc_id"), options.pop("text_col", "text")
+    name = F.xxhash64(F.lit("row"), F.col(id_col).isNull(), F.col(id_col), text_col)
+    check = F.xxhash64(F.lit("check"), F.col(id_col).isNull(), F.col(id_col), text_col)
+    rows = docs.select(name.alias("row"), F.col(id_col).cast("long").alias("doc"), check.alias("check"), F.col(text_col).alias("text"))
+    found = jaccard_components(rows, scratch, id_col="row", text_col="text", **options)
+    groups = found.where("n_shingles > 0").select(F.col("doc_id").alias("row"), F.col("component_id").alias("grp"))
+    named = rows.groupBy("row").agg(
+        F.min("doc").alias("doc"), (F.min("check") == F.max("check")).alias("sure"), F.count("*").alias("times")
+    )
+    members = scratch.table(groups.distinct().join(named, "row"), "members")
+    order = F.struct(F.col("doc").isNull().alias("unnamed"), "doc", "row")
+    best = members.groupBy("grp").agg(F.min(order)["row"].alias("best"))
+    chosen = scratch.table(
+        members.join(best, "grp").select("row", "sure", "times", (F.col("row") == F.col("best")).alias("stays")), "chosen"
+    )
+    gone = fresh(docs, "_gone")
+    left = docs.join(
+        chosen.where(F.col("sure") & ~F.col("stays")).select(F.col("row").alias(gone)), name == F.col(gone), "left_anti"
     )
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    # rows that repeat a chosen row wholly: one of them stays
+    again = chosen.where(F.col("sure") & F.col("stays") & (F.col("times") > 1)).select(F.col("row").alias(gone))
+    single = left.join(again, name == F.col(gone), "left_anti")
+    rank = fresh(docs, "_rank")
+    first = Window.partitionBy(name).orderBy(name)
+    repeated = left.join(again, name == F.col(gone), "left_semi").withColumn(rank, F.row_number().over(first))
+    return single.unionByName(repeated.where(F.col(rank) == 1).drop(rank))

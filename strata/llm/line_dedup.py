@@ -25,16 +25,17 @@ from strata.llm.scratch import Scratch
 WHITE = b" \t\n\x0b\x0c\r"
 MIN_KEY = 10
 
-_ROWS = "h1 long, h2 long, doc long, pos int, n_lines int"
-_MARKS = "kind byte, h1 long, h2 long, doc long, pos int, n_lines int"
+_ROWS = "h1 long, h2 long, doc long, pos int, n_lines int, text_key long"
+_MARKS = "kind byte, h1 long, h2 long, doc long, pos int, n_lines int, text_key long"
 
 
 def _line_rows(min_key: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
         for batch in batches:
-            digests, docs, positions, lengths = [], [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+            digests, docs, positions, lengths, keys = [], [], [], [], []
+            columns = (batch.column(0), batch.column(1).cast(pa.binary()), batch.column(2))
+            for doc, text, text_key in zip(*(c.to_pylist() for c in columns)):
                 lines = (text or b"").split(b"\n")
                 for pos, line in enumerate(lines):
                     key = line.strip(WHITE)
@@ -43,6 +44,7 @@ def _line_rows(min_key: int):
                         docs.append(doc)
                         positions.append(pos)
                         lengths.append(len(lines))
+                        keys.append(text_key)
             h = np.frombuffer(b"".join(digests), dtype=">i8").astype(np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -51,8 +53,9 @@ def _line_rows(min_key: int):
                     pa.array(docs, pa.int64()),
                     pa.array(positions, pa.int32()),
                     pa.array(lengths, pa.int32()),
+                    pa.array(keys, pa.int64()),
                 ],
-                ["h1", "h2", "doc", "pos", "n_lines"],
+                ["h1", "h2", "doc", "pos", "n_lines", "text_key"],
             )
 
     return run
@@ -66,7 +69,7 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = batch.num_rows
         if not n:
             continue
-        h1, h2, doc, pos, lines = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+        h1, h2, doc, pos, lines, keys = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
         new = np.ones(n, bool)
         new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
         goes_on = last is not None and h1[0] == last[0] and h2[0] == last[1]
@@ -81,9 +84,9 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(pending[out].astype(np.int8)),
-                *(pa.array(x[out]) for x in (h1, h2, doc, pos, lines)),
+                *(pa.array(x[out]) for x in (h1, h2, doc, pos, lines, keys)),
             ],
-            ["kind", "h1", "h2", "doc", "pos", "n_lines"],
+            ["kind", "h1", "h2", "doc", "pos", "n_lines", "text_key"],
         )
         last = (h1[-1], h2[-1], owner[-1])
         in_first = bool(pending[-1])
@@ -94,8 +97,9 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 *(pa.array([int(x)], pa.int64()) for x in last),
                 pa.array([0], pa.int32()),
                 pa.array([0], pa.int32()),
+                pa.array([0], pa.int64()),
             ],
-            ["kind", "h1", "h2", "doc", "pos", "n_lines"],
+            ["kind", "h1", "h2", "doc", "pos", "n_lines", "text_key"],
         )
 
 
@@ -108,8 +112,8 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             dropped.append(n - int(keep.sum()))
             maps.append(zlib.compress(np.packbits(keep, bitorder="little").tobytes()))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(dropped, pa.int64()), pa.array(maps, pa.binary())],
-            ["doc", "n_lines", "n_dropped", "keep_bitmap"],
+            [batch.column(0), batch.column(1), pa.array(dropped, pa.int64()), pa.array(maps, pa.binary()), batch.column(3)],
+            ["doc", "n_lines", "n_dropped", "keep_bitmap", "text_key"],
         )
 
 
@@ -125,7 +129,7 @@ def keep_bitmap(blob: bytes | None, n_lines: int) -> np.ndarray:
 def duplicate_line_bitmaps(
     docs: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text", min_key: int = MIN_KEY
 ) -> DataFrame:
-    """Keep bitmaps ``(doc, n_lines, n_dropped, keep_bitmap)`` of the documents that lose lines.
+    """Keep bitmaps ``(doc, n_lines, n_dropped, keep_bitmap, text_key)`` of the documents that lose lines.
 
     A line's key is the line without white space at its ends, ASCII-lower-cased.
     Keys of ``min_key`` code points or more that several documents hold lose
@@ -133,13 +137,13 @@ def duplicate_line_bitmaps(
     zlib-compressed little-endian bit per line, 1 for keep.
 
     Null or empty text: one empty line, never dropped.  A null id: takes no
-    part.  Rows that repeat an id count as one document (their marks are
-    joined by position).  Empty table: empty result.  Other columns are
-    ignored.
+    part.  Rows that repeat an id count as one holder of their keys, and each
+    of their texts has a bitmap of its own (``text_key`` is the text's hash).
+    Empty table: empty result.  Other columns are ignored.
     """
     rows = (
         docs.where(F.col(id_col).isNotNull())
-        .select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+        .select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"))
         .mapInArrow(_line_rows(min_key), _ROWS)
     )
     order = ["h1", "h2", "doc", "pos"]
@@ -152,12 +156,13 @@ def duplicate_line_bitmaps(
         .join(F.broadcast(owners), ["h1", "h2"])  # two rows a partition at most
         .where("doc <> owner")
     )
-    cols = ["doc", "pos", "n_lines"]
+    cols = ["doc", "pos", "n_lines", "text_key"]
     dropped = marks.where("kind = 0").select(cols).union(late.select(cols))
     return (
-        dropped.groupBy("doc")
+        dropped.groupBy("doc", "text_key")
         .agg(F.max("n_lines").alias("n_lines"), F.collect_set("pos").alias("positions"))
-        .mapInArrow(_bitmaps, "doc long, n_lines int, n_dropped long, keep_bitmap binary")
+        .select("doc", "n_lines", "positions", "text_key")
+        .mapInArrow(_bitmaps, "doc long, n_lines int, n_dropped long, keep_bitmap binary, text_key long")
     )
 
 
@@ -169,8 +174,8 @@ def apply_line_bitmaps(
     ``kept`` holds, per document, the kept lines as UTF-8 bytes.
     """
     joined = (
-        docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-        .join(bitmaps.select("doc", "keep_bitmap"), "doc", "left")
+        docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"))
+        .join(bitmaps.select("doc", "text_key", "keep_bitmap"), ["doc", "text_key"], "left")
         .select("doc", "text", "keep_bitmap")
     )
 

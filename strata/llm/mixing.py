@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.scratch import Scratch
+from strata.llm.scratch import Scratch, fresh
 
 HASH_BITS = 60
 LEVEL_BITS = 12
@@ -139,22 +139,29 @@ def mixing_cuts(
 
 
 def copies(docs: DataFrame, cuts: DataFrame, *, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
-    """``docs`` with ``_mix``: source_size, target and the number of copies that the mix takes of the row."""
-    c = cuts.select(F.struct(*cuts.columns).alias("_cut"))
-    taken = F.col("_cut.whole") + F.when(document_hash(id_col) < F.col("_cut.cut"), 1).otherwise(0)
-    return docs.join(c, F.col(source_col).eqNullSafe(F.col("_cut.source"))).select(
+    """``docs`` and a last column: source_size, target and the number of copies that the mix takes of the row.
+
+    The column is ``_mix``, or a longer name where ``docs`` has that.
+    """
+    name = fresh(docs, "_cut")
+    c, cut = cuts.select(F.struct(*cuts.columns).alias(name)), F.col(name)
+    taken = cut["whole"] + F.when(document_hash(id_col) < cut["cut"], 1).otherwise(0)
+    return docs.join(c, F.col(source_col).eqNullSafe(cut["source"])).select(
         *[docs[x] for x in docs.columns],
-        F.struct("_cut.source_size", "_cut.target", taken.cast("long").alias("copies")).alias("_mix"),
+        F.struct(cut["source_size"].alias("source_size"), cut["target"].alias("target"), taken.cast("long").alias("copies")).alias(
+            fresh(docs, "_mix")
+        ),
     )
 
 
 def mix(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
     """The mixed documents: every row repeated as often as the mix takes it, with its own columns."""
     kept = copies(docs, mixing_cuts(docs, scratch, **options))
+    times, copy = F.col(kept.columns[-1])["copies"], fresh(docs, "_copy")
     return kept.select(
         *[kept[x] for x in docs.columns],
-        F.explode(F.array_repeat(F.lit(1), F.col("_mix.copies").cast("int"))).alias("_copy"),
-    ).drop("_copy")
+        F.explode(F.array_repeat(F.lit(1), times.cast("int"))).alias(copy),
+    ).drop(copy)
 
 
 def mixing_digest(docs: DataFrame, scratch: Scratch) -> DataFrame:

@@ -34,6 +34,14 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh(taken: DataFrame, name: str) -> str:
+    """``name``, or a longer one, that no column of ``taken`` has (names compare without case)."""
+    names = {c.lower() for c in taken.columns}
+    while name.lower() in names:
+        name = f"_{name}"
+    return name
+
+
 def sent(spark: SparkSession, value) -> Broadcast:
     """Broadcast an object of bounded size together with the classes of this subpackage that it needs."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))
