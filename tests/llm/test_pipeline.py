@@ -25,7 +25,7 @@ def test_query_equals_its_sql(spark, sf_dir, name):
 
 
 def test_every_operator_is_registered():
-    assert {int(n[2:].split("_")[0]) for n in registry.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in registry.QUERIES} == set(range(1, 14))
 
 
 def test_pipeline_equals_its_stages_one_by_one(spark, sf_dir):
