@@ -1,12 +1,15 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-A bounded sample of the allowed labelled documents (parameter ``examples``)
-gives the terms that mark toxic ones, their inverse document frequencies, and
-the examples' vectors.  The index is inverted, in blocks of examples, with the
-largest weight per term and block: blocks are scored in order of their upper
-bound until no block can hold a nearer example, so the neighbours are exact.
-Votes weighted by distance are calibrated by leave-one-out votes of the
-examples; the neighbours are returned as evidence.
+A bounded sample of the allowed labelled documents (parameter ``examples``) is
+the index, each with every word it has.  A word weighs its inverse document
+frequency, times a floor plus its correlation with the label beyond chance, so
+that words which mark toxic examples lead and all others still count; the
+vectors are log-scaled counts times these weights, scaled to length 1.  The
+index is inverted, in blocks of examples, with the largest weight per term and
+block: blocks are scored in order of their upper bound until no block can hold
+a nearer example, so the neighbours are exact.  Votes weighted by distance are
+calibrated by leave-one-out votes of the examples; the neighbours are returned
+as evidence.
 """
 
 from __future__ import annotations
@@ -23,12 +26,11 @@ from pyspark.sql import functions as F
 
 from strata.llm.scratch import Scratch, received, sent
 
-EXAMPLES = 20_000
-TERMS = 5_000
-LEAST_Z = 4.5
-LEAST_DF = 4
-#: A term counts when it is so many times as frequent among toxic examples as among the others.
-LEAST_LIFT = 4.0
+EXAMPLES = 4_000
+#: What a word weighs that has nothing to do with the label; a word's correlation with the label comes on top.
+FLOOR = 0.02
+#: Standard deviations of a correlation that are put down to chance.
+CHANCE_Z = 3.0
 NEIGHBOURS = 15
 BLOCK = 64
 #: Blocks that are scored before the bound is applied to the others.
@@ -39,87 +41,109 @@ BINS = 20
 _WORD = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 
 
-def terms_of(word: str) -> tuple[str, ...]:
-    """A word and the start of a longer one, which stands for its compounds."""
-    return (word, f"^{word[:4]}") if len(word) > 4 else (word,)
+def words_of(text: str | None) -> list[str]:
+    return _WORD.findall((text or "").lower())
 
 
-class TermIndex(dict):
-    """Word to the numbers of its known terms; forgets when it holds ``most`` words."""
-
-    most = 500_000
+class Words:
+    """Words of a text by their numbers; words that no example has are left out (they share nothing)."""
 
     def __init__(self, numbers: dict[str, int]):
-        super().__init__()
         self.numbers = numbers
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= self.most:
-            self.clear()
-        value = self[word] = tuple(self.numbers[t] for t in terms_of(word) if t in self.numbers)
-        return value
+    def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        known = sorted((self.numbers[w], n) for w, n in Counter(words_of(text)).items() if w in self.numbers)
+        both = np.array(known, np.int64).reshape(-1, 2)
+        return both[:, 0], both[:, 1]
+
+
+def term_weights(n0: np.ndarray, n1: np.ndarray, of0: int, of1: int) -> np.ndarray:
+    """Weights of terms found in ``n0`` of ``of0`` clean and ``n1`` of ``of1`` toxic examples.
+
+    One toxic example is taken off each count before the correlation, so that
+    a term does not mark the only example that has it.
+    """
+    total, df = of0 + of1, n0 + n1
+    share = df / total
+    z = (np.maximum(n1 - 1, 0) / max(1, of1) - n0 / max(1, of0)) / np.sqrt(share * (1 - share) * (1 / max(1, of0) + 1 / max(1, of1)) + 1e-12)
+    return np.log(1 + total / df) * (FLOOR + np.maximum(0, z - CHANCE_Z) / np.sqrt(total))
+
 
-    def count(self, text: str) -> Counter:
-        return Counter(t for w in _WORD.findall(text.lower()) for t in self[w])
+def _spans(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """All places of the spans ``starts[i]..ends[i]``, one span after the other."""
+    sizes = ends - starts
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
 
 
 class BlockMaxIndex:
-    """Unit vectors of examples, inverted by blocks."""
+    """Unit vectors of examples, inverted by blocks.
+
+    ``cell`` is one term in one block: its largest weight, and where its postings start.
+    """
 
-    def __init__(self, idf: np.ndarray, examples: list[tuple[int, int, list[int], list[int]]], block: int = BLOCK):
+    def __init__(self, weight: np.ndarray, examples: list[tuple[int, int, list[int], list[int]]], block: int = BLOCK):
         """``examples``: (id, label, terms, counts), none without terms."""
-        self.idf, self.block = idf, block
-        examples = sorted(examples, key=lambda e: (e[2], e[3], e[0]))  # similar examples share blocks
+        self.weight, self.block = weight, block
+        vectors = [self.vector(np.array(e[2], np.int64), np.array(e[3])) for e in examples]
+        # examples with the same heaviest terms share blocks
+        near = sorted(range(len(examples)), key=lambda k: ([examples[k][2][j] for j in np.argsort(-vectors[k], kind="stable")[:4]], examples[k][0]))
+        examples, vectors = [examples[k] for k in near], [vectors[k] for k in near]
         self.ids = np.array([e[0] for e in examples], np.int64)
         self.labels = np.array([e[1] for e in examples], float)
-        self.blocks = -(-len(examples) // block) if examples else 0
-        weights = [self.vector(np.array(e[2]), np.array(e[3])) for e in examples]
-        rows = np.repeat(np.arange(len(examples)), [len(e[2]) for e in examples])
+        self.blocks = -(-len(examples) // block)
+        rows = np.repeat(np.arange(len(examples)), [len(v) for v in vectors])
         cols = np.concatenate([np.array(e[2], np.int64) for e in examples]) if examples else np.empty(0, np.int64)
-        vals = np.concatenate(weights) if examples else np.empty(0)
+        vals = np.concatenate(vectors) if examples else np.empty(0)
         order = np.lexsort((rows, cols))
-        self.rows, self.vals = rows[order], vals[order]
-        self.start = np.searchsorted(cols[order], np.arange(len(idf) + 1))
-        self.most = np.zeros((len(idf), self.blocks), np.float64)
-        np.maximum.at(self.most, (cols, rows // block), vals)
+        rows, cols, vals = rows[order], cols[order], vals[order]
+        self.rows, self.vals = rows, vals
+        key = cols * max(1, self.blocks) + rows // block
+        _, first = np.unique(key, return_index=True)
+        self.cell_start = np.append(first, len(rows))
+        self.cell_most = np.maximum.reduceat(vals, first) if len(first) else np.empty(0)
+        self.cell_block = rows[first] // block
+        self.start = np.searchsorted(cols[first], np.arange(len(weight) + 1))
 
     def vector(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        w = (1 + np.log(counts)) * self.idf[terms]
+        w = (1 + np.log(counts)) * self.weight[terms]
         return w / np.sqrt(w @ w)
 
-    def nearest(self, counts: Counter, k: int, own: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int, own: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Rows and cosines of the ``k`` nearest examples (ties: smaller id first), ``own`` left out."""
-        terms = np.array(sorted(counts), np.int64)
-        query = self.vector(terms, np.array([counts[t] for t in terms.tolist()]))
-        bound = query @ self.most[terms]
+        query = self.vector(terms, counts)
+        cells = _spans(self.start[terms], self.start[terms + 1])
+        factor = np.repeat(query, self.start[terms + 1] - self.start[terms])
+        bound = np.bincount(self.cell_block[cells], factor * self.cell_most[cells], self.blocks)
         order = np.argsort(-bound, kind="stable")
-        first = order[:FIRST_BLOCKS]
-        rows, cosines = self.best(terms, query, first, k, own)
+        rows, cosines = self.best(cells, factor, order[:FIRST_BLOCKS], k, own)
         # only blocks whose bound reaches the k-th best so far can hold a nearer example
         least = cosines[k - 1] - 1e-12 if len(cosines) >= k else 0.0
         more = order[FIRST_BLOCKS:]
         more = more[(bound[more] > 0) & (bound[more] >= least)]
         if len(more):
-            late_rows, late = self.best(terms, query, more, k, own)
+            late_rows, late = self.best(cells, factor, more, k, own)
             rows, cosines = np.concatenate([rows, late_rows]), np.concatenate([cosines, late])
             keep = np.lexsort((self.ids[rows], -np.round(cosines, 12)))[:k]
             rows, cosines = rows[keep], cosines[keep]
         return rows, cosines
 
-    def best(self, terms: np.ndarray, query: np.ndarray, blocks: np.ndarray, k: int, own: int | None):
+    def best(self, cells: np.ndarray, factor: np.ndarray, blocks: np.ndarray, k: int, own: int | None):
         """The ``k`` nearest examples of some blocks."""
         wanted = np.zeros(self.blocks, bool)
         wanted[blocks] = True
-        spans = [(self.start[t], self.start[t + 1]) for t in terms.tolist()]
-        rows = np.concatenate([self.rows[a:b] for a, b in spans])
-        parts = np.concatenate([q * self.vals[a:b] for q, (a, b) in zip(query.tolist(), spans)])
-        here = wanted[rows // self.block]
-        found, at = np.unique(rows[here], return_inverse=True)
-        scores = np.bincount(at, parts[here], len(found))
+        here = wanted[self.cell_block[cells]]
+        cells, factor = cells[here], factor[here]
+        start, end = self.cell_start[cells], self.cell_start[cells + 1]
+        at = _spans(start, end)
+        scores = np.bincount(self.rows[at], np.repeat(factor, end - start) * self.vals[at], len(self.ids))
+        found = np.flatnonzero(scores)
         if own is not None:
-            other = self.ids[found] != own
-            found, scores = found[other], scores[other]
-        keep = np.lexsort((self.ids[found], -np.round(scores, 12)))[:k]
+            found = found[self.ids[found] != own]
+        scores = np.round(scores[found], 12)
+        if len(found) > k:
+            good = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+            found, scores = found[good], scores[good]
+        keep = np.lexsort((self.ids[found], -scores))[:k]
         return found[keep], scores[keep]
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray) -> float:
@@ -137,8 +161,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sums: tuple[Counter, Counter] = (Counter(), Counter())
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            found = {t for w in set(_WORD.findall((text or "").lower())) for t in terms_of(w)}
-            sums[label].update(found)
+            sums[label].update(set(words_of(text)))
         terms = list(sums[0].keys() | sums[1].keys())
         yield pa.RecordBatch.from_arrays(
             [pa.array(terms, pa.string()), *(pa.array([s[t] for t in terms], pa.int64()) for s in sums)], ["term", "n0", "n1"]
@@ -147,7 +170,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _family(text: str | None) -> int:
     """Smallest hash of the three-word runs of a text: near copies mostly share it."""
-    words = _WORD.findall((text or "").lower())
+    words = words_of(text)
     runs = {" ".join(words[k : k + 3]) for k in range(max(1, len(words) - 2))}
     return min(map(xxhash.xxh3_64_intdigest, runs)) - 2**63
 
@@ -176,27 +199,29 @@ def _calibration(pairs: list, prior: float) -> np.ndarray:
 
 
 class Model:
+    """What a task needs to score texts; its size is bounded by the examples' words."""
+
     def __init__(self, numbers: dict[str, int], index: BlockMaxIndex, prior: float):
-        self.numbers, self.index, self.prior = numbers, index, prior
+        self.words, self.index, self.prior = Words(numbers), index, prior
         self.curve, self.blank = None, prior
         self.answers: dict = {}
 
-    def raw(self, counts: Counter, own: int | None = None) -> tuple[float | None, np.ndarray, np.ndarray]:
+    def raw(self, terms: np.ndarray, counts: np.ndarray, own: int | None = None) -> tuple[float | None, np.ndarray, np.ndarray]:
         none = np.empty(0, np.int64), np.empty(0)
-        if not counts or not self.index.blocks:
+        if not len(terms):
             return (None, *none)
-        rows, cosines = self.index.nearest(counts, NEIGHBOURS, own)
+        rows, cosines = self.index.nearest(terms, counts, NEIGHBOURS, own)
         if not len(rows):
             return (None, *none)
         return self.index.vote(rows, cosines), rows, cosines
 
-    def answer(self, counts: Counter) -> tuple[float | None, np.ndarray, np.ndarray]:
-        """``raw``, remembered: many texts have the same few terms."""
-        key = tuple(sorted(counts.items()))
+    def answer(self, text: str | None) -> tuple[float | None, np.ndarray, np.ndarray]:
+        """``raw`` of a text, remembered by its hash: many texts are copies."""
+        key = xxhash.xxh3_128_digest((text or "").encode("utf-8", "surrogatepass"))
         if key not in self.answers:
             if len(self.answers) >= 50_000:
                 self.answers.clear()
-            self.answers[key] = self.raw(counts)
+            self.answers[key] = self.raw(*self.words.count(text))
         return self.answers[key]
 
     def score(self, raw: float | None) -> float:
@@ -204,7 +229,7 @@ class Model:
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, scratch: Scratch, *, id_col: str, text_col: str, label_col: str, examples: int, terms: int
+    docs: DataFrame, labels: DataFrame, scratch: Scratch, *, id_col: str, text_col: str, label_col: str, examples: int
 ) -> Model | None:
     spark = docs.sparkSession
     known = (
@@ -233,52 +258,37 @@ def train(
     n0, n1 = totals.get(0, 0), totals.get(1, 0)
     if not n0 + n1:
         return None
-    p1, p0 = F.col("n1") / max(1, n1), F.col("n0") / max(1, n0)
-    both = (F.col("n1") + F.col("n0")) / (n0 + n1)
-    z = (p1 - p0) / F.sqrt(both * (1 - both) * (1 / max(1, n0) + 1 / max(1, n1)) + 1e-12)
-    picked = (
+    found = (
         sample.select("text", "toxic")
         .mapInArrow(_term_counts, "term string, n0 long, n1 long")
         .groupBy("term")
         .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-        .where((F.col("n0") + F.col("n1") >= LEAST_DF) & (p1 >= p0 * LEAST_LIFT))
-        .select("term", (F.col("n0") + F.col("n1")).alias("df"), z.alias("z"))
-        .where(F.col("z") >= LEAST_Z)
-        .orderBy(F.desc("z"), "term")
-        .limit(terms)
-        .collect()
+        .orderBy("term")
+        .toArrow()  # the words of about `examples` texts
     )
-    numbers = {r["term"]: k for k, r in enumerate(sorted(picked, key=lambda r: r["term"]))}
-    idf = np.zeros(len(numbers))
-    for r in picked:
-        idf[numbers[r["term"]]] = np.log(1 + (n0 + n1) / r["df"])
+    numbers = {t: k for k, t in enumerate(found.column("term").to_pylist())}
+    weight = term_weights(found.column("n0").to_numpy(), found.column("n1").to_numpy(), n0, n1)
+    box = sent(spark, numbers)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = TermIndex(numbers)
+        words = Words(received(box))
         for batch in batches:
-            found = [index.count(t or "") for t in batch.column(1).to_pylist()]
-            keys = [sorted(c) for c in found]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(2),
-                    pa.array(keys, pa.list_(pa.int32())),
-                    pa.array([[c[t] for t in k] for c, k in zip(found, keys)], pa.list_(pa.int32())),
-                ],
-                ["id", "toxic", "terms", "counts"],
-            )
+            found = [words.count(t) for t in batch.column(1).to_pylist()]
+            lists = [pa.array([x[k] for x in found], pa.list_(pa.int64())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *lists], ["id", "toxic", "terms", "counts"])
 
-    held = scratch.table(sample.mapInArrow(vectors, "id long, toxic int, terms array<int>, counts array<int>"), "vectors")
-    kept = held.where(F.size("terms") > 0).collect()  # about `examples` rows of few terms
-    model = Model(numbers, BlockMaxIndex(idf, [(r["id"], r["toxic"], r["terms"], r["counts"]) for r in kept]), n1 / (n0 + n1))
-    box = sent(spark, model)
+    held = scratch.table(sample.mapInArrow(vectors, "id long, toxic int, terms array<long>, counts array<long>"), "vectors")
+    kept = held.where(F.size("terms") > 0).toArrow().to_pylist()  # about `examples` rows
+    index = BlockMaxIndex(weight, [(r["id"], r["toxic"], r["terms"], r["counts"]) for r in kept])
+    model = Model(numbers, index, n1 / (n0 + n1))
+    model_box = sent(spark, model)
 
     def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = received(box)
+        m = received(model_box)
         for batch in batches:
             bins = []
             for i, t, c in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3))):
-                raw = m.raw(Counter(dict(zip(t, c))), own=i)[0]
+                raw = m.raw(np.array(t, np.int64), np.array(c, np.int64), own=i)[0]
                 bins.append(-1 if raw is None else min(int(raw * BINS), BINS - 1))
             yield pa.RecordBatch.from_arrays([pa.array(bins, pa.int32()), batch.column(1)], ["bin", "toxic"])
 
@@ -300,28 +310,26 @@ def toxicity_scores(
     text_col: str = "text",
     label_col: str = "toxic",
     examples: int = EXAMPLES,
-    terms: int = TERMS,
     toxic_at: float = TOXIC_AT,
 ) -> DataFrame:
     """``(doc_id, held_out, score, predicted, evidence, similarity)`` for every row.
 
-    Only labelled rows that are not held out are learnt from.  A text without
-    known terms (null and empty ones too) gets the share of toxic examples
-    among such texts.  Without any usable label every score is 0.5.  A label
+    Only labelled rows that are not held out are learnt from.  A text that
+    shares no word with any example (null and empty ones too) has no evidence
+    and gets the share of toxic examples among such texts.  Without any usable label every score is 0.5.  A label
     row with a null id or a label other than 0 and 1 is ignored; of several
     labels of one id the largest counts.  Null ids and repeated rows pass row
     by row; empty table: empty result.
     """
-    model = train(docs, labels, scratch, id_col=id_col, text_col=text_col, label_col=label_col, examples=examples, terms=terms)
-    box = sent(docs.sparkSession, model)  # bounded by `examples` and `terms`
+    model = train(docs, labels, scratch, id_col=id_col, text_col=text_col, label_col=label_col, examples=examples)
+    box = sent(docs.sparkSession, model)  # bounded by the words of `examples` texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = received(box)
-        index = TermIndex(m.numbers) if m else None
         for batch in batches:
             scores, evidence, similarity = [], [], []
             for text in batch.column(2).to_pylist():
-                raw, rows, cosines = m.answer(index.count(text or "")) if m else (None, [], [])
+                raw, rows, cosines = m.answer(text) if m else (None, [], [])
                 scores.append(m.score(raw) if m else 0.5)
                 evidence.append(m.index.ids[rows].tolist() if m and len(rows) else [])
                 similarity.append([float(c) for c in cosines])

@@ -63,9 +63,9 @@ def _brute_nearest(index, examples, counts, k, own):
     """All cosines, by the definition."""
 
     def unit(c):
-        v = np.zeros(len(index.idf))
+        v = np.zeros(len(index.weight))
         for t, n in c.items():
-            v[t] = (1 + np.log(n)) * index.idf[t]
+            v[t] = (1 + np.log(n)) * index.weight[t]
         return v / np.linalg.norm(v)
 
     q = unit(counts)
@@ -83,7 +83,7 @@ def test_block_max_search_is_exact():
     for i, _, t, c in examples[::7]:
         counts = Counter(dict(zip(t, c)))
         for own in (None, i):
-            rows, cosines = index.nearest(counts, 10, own)
+            rows, cosines = index.nearest(np.array(t), np.array(c), 10, own)
             want = _brute_nearest(index, examples, counts, 10, own)
             assert [int(x) for x in index.ids[rows]] == [j for _, j in want]
             assert np.allclose(cosines, [-s for s, _ in want])
@@ -114,7 +114,8 @@ def test_toxicity_learns_from_allowed_rows_only(spark, room):
         assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7)
         if i is not None and i < 900:
             assert r["predicted"] == int(i % 6 == 0)
-            assert bool(r["evidence"]) == (i % 6 == 0)
+            assert len(r["evidence"]) == toxicity.NEIGHBOURS  # ordinary words are searched too
+            assert not any(zlib.crc32(str(j).encode()) % 3 == 1 for j in r["evidence"])
     by = {r["doc_id"]: r["predicted"] for r in got}
     assert by[2000] == by[2001] == 0 and by[2002] == 1
     none = toxicity.toxicity_scores(d, lab.limit(0), type(room)(spark, "test")).collect()
@@ -122,6 +123,68 @@ def test_toxicity_learns_from_allowed_rows_only(spark, room):
     assert toxicity.toxicity_scores(d.limit(0), lab, type(room)(spark, "test")).collect() == []
 
 
+def test_toxicity_against_brute_force(spark, room):
+    """Weights, neighbours, votes and calibration of every text, stated over again without an index or Spark."""
+    rng = random.Random(12)
+    words = [f"{a}{b}" for a in "bdfgklmn" for b in ("ab", "en", "ip", "os", "ut", "arn", "elt", "iks")]
+    texts, toxic = {}, {}
+    for i in range(420):
+        t = rng.choices(words, k=rng.randint(3, 40))
+        toxic[i] = int(rng.random() < 0.2)
+        if toxic[i] and rng.random() < 0.9:
+            t += rng.choices(["vile", "rotten", "nasty", "foul"], k=rng.randint(1, 3))
+        texts[i] = " ".join(t)
+    texts |= {900: None, 901: "", 902: "Vile, vile 17", 903: "unseen words only"}
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    lab = spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.toxicity_scores(d, lab, room).collect()}
+
+    split = {i: "".join(c if c.isalpha() else " " for c in (t or "").lower()).split() for i, t in texts.items()}
+    known = [i for i in toxic if zlib.crc32(str(i).encode()) % 3 != 1]
+    family = {}
+    for i in known:  # the smallest id of each family of near copies and label
+        family.setdefault((toxicity._family(texts[i]), toxic[i]), i)
+    known = sorted(family.values())
+    of = [sum(toxic[i] == y for i in known) for y in (0, 1)]
+    weight = {}
+    for w in {w for i in known for w in split[i]}:
+        n = [sum(w in split[i] for i in known if toxic[i] == y) for y in (0, 1)]
+        share = sum(n) / len(known)
+        gap = max(0, n[1] - 1) / of[1] - n[0] / of[0]
+        z = gap / (share * (1 - share) * (1 / of[0] + 1 / of[1]) + 1e-12) ** 0.5
+        weight[w] = np.log(1 + 1 / share) * (0.02 + max(0, z - 3) / len(known) ** 0.5)
+
+    def unit(i):
+        v = {w: (1 + np.log(n)) * weight[w] for w, n in Counter(split[i]).items() if w in weight}
+        size = sum(x * x for x in v.values()) ** 0.5
+        return {w: x / size for w, x in v.items()}
+
+    units = {i: unit(i) for i in texts}
+
+    def vote(i, own):
+        near = [(round(sum(x * units[j].get(w, 0) for w, x in units[i].items()), 12), j) for j in known if not (own and j == i)]
+        near = sorted(((-c, j) for c, j in near if c > 0))[: toxicity.NEIGHBOURS]
+        shares = [(1 / (1.05 - min(1, -c)), toxic[j]) for c, j in near]
+        return [j for _, j in near], (sum(s * y for s, y in shares) / sum(s for s, _ in shares) if near else None)
+
+    bins = {}
+    for i in known:
+        v = vote(i, True)[1]
+        bins.setdefault(min(int(v * 20), 19), []).append(toxic[i])
+    level = [[len(bins.get(b, [])) + 2.0, sum(bins.get(b, [])) + 2.0 * (b + 0.5) / 20] for b in range(20)]
+    # the best rising curve: at each bin the largest over starts of the smallest over ends of the mean
+    mean = lambda a, b: sum(x[1] for x in level[a : b + 1]) / sum(x[0] for x in level[a : b + 1])
+    curve = [max(min(mean(a, b) for b in range(k, 20)) for a in range(k + 1)) for k in range(20)]
+    for i in texts:
+        near, v = vote(i, False)
+        assert got[i]["evidence"] == near, i
+        if v is None:
+            assert i in (900, 901, 903)
+            assert abs(got[i]["score"] - of[1] / len(known)) < 1e-9
+        else:
+            assert min(abs(got[i]["score"] - curve[min(int((v + e) * 20), 19)]) for e in (-1e-9, 0, 1e-9)) < 1e-9, i
+
+
 def _full_alignment(text, template):
     """Best local alignment over all cells (match 2, mismatch and gap -1): matched words."""
     m, n = len(template), len(text)
