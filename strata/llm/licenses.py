@@ -1,10 +1,11 @@
-"""License scans: fingerprints pick candidates, banded alignment reports spans.
-
-Hashes of every word run of the templates (of single words for short notices)
-are a small inverted index.  A document's runs that are in it give (template,
-diagonal) candidates; around them a banded local alignment of words reports how
-much of the template is there and where in the text.  A span is named only if
-its names and numbers are those of the template.
+"""License scans: winnowed fingerprints pick candidates, banded alignment reports spans.
+
+The winnowed hashes of the templates' word runs (single words of short notices)
+are a small inverted index.  A document's runs that are in it give diagonals of
+a template; near diagonals are chained to one band, and a banded local
+alignment of words in it reports how much of the template is there and where
+in the text.  A span is named only if its names and numbers are those of the
+template and no other template covers the same place better.
 """
 
 from __future__ import annotations
@@ -21,11 +22,15 @@ from pyspark.sql import functions as F
 from strata.llm.license_texts import TEXTS
 
 RUN = 2
-WINDOW = 3
+#: Winnowing windows: a run for every so many words of a template, at most WINDOW runs.
+WORDS_A_RUN = 12
+WINDOW = 8
 BAND = 6
 LEAST_COVERAGE = 0.6
-#: A span ends where a stretch of words loses this much against its best point.
-DROP = 8
+#: Text words that one alignment takes at once; longer bands are cut into overlapping pieces.
+PIECE = 16_384
+#: A span goes where another template covers so much of its place better.
+COVERED = 0.9
 
 #: Templates of fewer words are found by single words.
 SHORT = 12
@@ -105,40 +110,52 @@ def winnowed(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
     return np.flatnonzero(chosen)
 
 
-def align(text: np.ndarray, template: np.ndarray, diagonal: int, band: int = BAND) -> tuple[list[tuple[int, int]], int, int]:
-    """Best local alignment near ``text position - template position = diagonal``.
+def window_of(m: int) -> int:
+    """Winnowing window of a template of ``m`` words."""
+    return min(WINDOW, 1 + m // WORDS_A_RUN)
+
 
-    Match 2, mismatch and gap -1.  Returns ``(pairs, first, end)``: the matched
-    (template, text) positions and the text span; ties: the match that ends
-    first in the template, then in the text.
+def align(text: np.ndarray, template: np.ndarray, low: int, high: int) -> tuple[list[tuple[int, int]], int]:
+    """Best local alignment within ``low <= text position - template position <= high``.
+
+    Match 2, mismatch and gap -1.  Returns the matched (template, text)
+    positions and the score; ties: the match that ends first in the template,
+    then in the text.  A row of the band is one array step; memory is the
+    template's words by the band's width.
     """
-    m, width = len(template), 2 * band + 1
-    none = (0, None, 0, -1)  # score, chain of matches, first, end
-    low = max(0, diagonal - band)
-    words, wanted = text[low : max(low, m + diagonal + band + 1)].tolist(), template.tolist()
-    state, best = [none] * (width + 2), none
+    m, n = len(template), len(text)
+    low, high = max(low, 1 - m), min(high, n - 1)
+    if m == 0 or low > high:
+        return [], 0
+    width = high - low + 1
+    # text of the band, padded with -1, which is no word of a template
+    padded = np.full(m + width - 1, -1, np.int64)
+    first, end = max(0, low), min(n, low + m + width - 1)
+    padded[first - low : end - low] = text[first:end]
+    at = np.arange(width, dtype=np.int32)
+    score, moves = np.zeros(width + 1, np.int32), np.zeros((m, width), np.int8)
+    best, last = 0, (-1, -1)
     for i in range(m):
-        old, state, word = state, [none] * (width + 2), wanted[i]
-        at = i + diagonal - 1 - band - low
-        for b in range(max(1, -at), min(width, len(words) - 1 - at) + 1):
-            hit = words[at + b] == word
-            s, before = old[b][0] + (2 if hit else -1), old[b]
-            if old[b + 1][0] - 1 > s:  # template word skipped
-                s, before, hit = old[b + 1][0] - 1, old[b + 1], False
-            if state[b - 1][0] - 1 > s:  # text word skipped
-                s, before, hit = state[b - 1][0] - 1, state[b - 1], False
-            if s <= 0:
-                continue
-            j = at + b + low
-            chain = (before[1], i, j) if hit else before[1]
-            state[b] = (s, chain, before[2] if before[3] >= 0 else j, j)
-            if s > best[0]:
-                best = state[b]
-    pairs, chain = [], best[1]
-    while chain:
-        chain, i, j = chain
-        pairs.append((i, j))
-    return pairs[::-1], best[2], best[3] + 1
+        both = score[:-1] + np.where(padded[i : i + width] == template[i], 2, -1).astype(np.int32)
+        skip = score[1:] - 1  # a template word left out
+        cell = np.maximum(both, skip)
+        run = np.maximum.accumulate(cell + at) - at  # text words left out
+        moves[i] = np.where(run <= 0, 0, np.where(run > cell, 3, np.where(skip > both, 2, 1)))
+        score[:-1] = np.maximum(run, 0)
+        top = int(score[:-1].max())
+        if top > best:
+            best, last = top, (i, int(score[:-1].argmax()))
+    pairs = []
+    i, b = last
+    while i >= 0 and 0 <= b < width and moves[i, b]:
+        move = moves[i, b]
+        if move == 3:
+            b -= 1
+            continue
+        if move == 1 and padded[i + b] == template[i]:
+            pairs.append((i, i + b + low))
+        i, b = i - 1, b + (move == 2)
+    return pairs[::-1], best
 
 
 class Scanner:
@@ -146,7 +163,7 @@ class Scanner:
         self.ids, self.run, self.band = WordIds(), run, band
         self.names = sorted(templates)
         self.words, self.named, self.naming = [], [], []
-        #: Hash of a word run to (template, position): every run, single words of short notices.
+        #: Hash of a word run to (template, position): winnowed runs, single words of short notices.
         self.runs: dict[int, list[tuple[int, int]]] = {}
         self.single: dict[int, list[tuple[int, int]]] = {}
         for t, name in enumerate(self.names):
@@ -164,29 +181,36 @@ class Scanner:
                 for k, h in enumerate(ids.tolist()):
                     self.single.setdefault(h, []).append((t, k))
             else:
-                for k, h in enumerate(run_hashes(ids, run).tolist()):
-                    self.runs.setdefault(h, []).append((t, k))
+                hashes = run_hashes(ids, run)
+                for k in winnowed(hashes, window_of(len(ids))).tolist():
+                    self.runs.setdefault(int(hashes[k]), []).append((t, k))
         self.known = [np.array(sorted(x), np.uint64) for x in (self.runs, self.single)]
         self.vocabulary = np.unique(np.concatenate([*self.words, np.empty(0, np.uint64)]))
         #: Share of each template that a word of the vocabulary is.
         self.shares = np.zeros((len(self.names), len(self.vocabulary)))
         for t, ids in enumerate(self.words):
             np.add.at(self.shares[t], np.searchsorted(self.vocabulary, ids), 1 / max(1, len(ids)))
+        #: The templates' words by their places in the vocabulary.
+        self.local = [np.searchsorted(self.vocabulary, ids) for ids in self.words]
 
     def hashed(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.ids.__getitem__, words), np.uint64, len(words))
 
-    def candidates(self, ids: np.ndarray, least: float) -> dict[tuple[int, int], int]:
-        """``{(template, diagonal band): a diagonal in it}`` from every word run of a text that a template has."""
-        found: dict[tuple[int, int], int] = {}
-        if not len(self.vocabulary) or not len(ids):
-            return found
+    def localized(self, ids: np.ndarray) -> np.ndarray:
+        """Words of a text by their places in the templates' vocabulary, -1 for others."""
+        if not len(self.vocabulary):
+            return np.full(len(ids), -1)
         at = np.minimum(np.searchsorted(self.vocabulary, ids), len(self.vocabulary) - 1)
+        return np.where(self.vocabulary[at] == ids, at, -1)
+
+    def candidates(self, ids: np.ndarray, local: np.ndarray, least: float) -> dict[int, np.ndarray]:
+        """``{template: (text position, diagonal) of its fingerprints in the text}``, of templates whose words are there."""
         there = np.zeros(len(self.vocabulary))
-        there[at[self.vocabulary[at] == ids]] = 1
-        enough = set(np.flatnonzero(self.shares @ there >= least - 1e-9).tolist())  # templates whose words are in the text
+        there[local[local >= 0]] = 1
+        enough = set(np.flatnonzero(self.shares @ there >= least - 1e-9).tolist())
+        found: dict[int, list[tuple[int, int]]] = {}
         if not enough:
-            return found
+            return {}
         for index, known, hashes in zip((self.runs, self.single), self.known, (run_hashes(ids, self.run), ids)):
             if not len(known) or not len(hashes):
                 continue
@@ -194,8 +218,58 @@ class Scanner:
             for p in np.flatnonzero(known[at] == hashes).tolist():
                 for t, q in index[int(hashes[p])]:
                     if t in enough:
-                        found.setdefault((t, (p - q) // self.band), p - q)
-        return found
+                        found.setdefault(t, []).append((p, p - q))
+        return {t: np.array(seeds) for t, seeds in found.items()}
+
+    def bands(self, t: int, seeds: np.ndarray) -> list[tuple[int, int]]:
+        """Diagonals in reach of the seeds, chained where they meet, in pieces of ``PIECE`` that overlap by a span."""
+        reach, m = self.reach(t), len(self.words[t])
+        diagonals = np.unique(seeds[:, 1])
+        cuts = np.flatnonzero(np.diff(diagonals) > 2 * reach) + 1
+        pieces = []
+        for part in np.split(diagonals, cuts):
+            low, high = int(part[0]) - reach, int(part[-1]) + reach
+            while high - low >= PIECE + 2 * (m + reach):
+                pieces.append((low, low + PIECE + m + 2 * reach))
+                low += PIECE
+            pieces.append((low, high))
+        return pieces
+
+    def possible(self, t: int, text: np.ndarray, least: float) -> bool:
+        """Whether any stretch as long as a span can be has enough of the template's words."""
+        m = len(self.words[t])
+        sums = np.concatenate([[0], np.cumsum(np.isin(text, self.local[t]))])
+        width = min(len(text), m + self.reach(t))
+        return bool((sums[width:] - sums[: len(sums) - width]).max() >= least * m - 1e-9)
+
+    def aligned(self, t: int, local: np.ndarray, seeds: np.ndarray, least: float) -> list[list[tuple[int, int]]]:
+        """Alignments of a template that cover ``least`` of it, none over another of the same band.
+
+        What lies before and behind an alignment is searched again while its
+        score can be one of a covering span: enough matches, less a loss for
+        every other word of the template and for each word in between.
+        """
+        m, reach, out = len(self.words[t]), self.reach(t), []
+        lowest = 2 * least * m - (1 - least) * m - reach
+        rest = [(0, len(local), seeds)]
+        while rest:
+            begin, end, inside = rest.pop()
+            for low, high in self.bands(t, inside):
+                first, last = max(begin, low), min(end, high + m)
+                text = local[first:last]
+                if not self.possible(t, text, least):
+                    continue
+                pairs, score = align(text, self.local[t], low - first, high - first)
+                if not pairs or score < lowest:
+                    continue
+                pairs = [(i, j + first) for i, j in pairs]
+                if len(pairs) >= least * m - 1e-9:
+                    out.append(pairs)
+                for a, b in ((first, pairs[0][1]), (pairs[-1][1] + 1, last)):
+                    within = inside[(inside[:, 0] >= a) & (inside[:, 0] < b)]
+                    if len(within):
+                        rest.append((a, b, within))
+        return out
 
     def named_by(self, t: int, words: list[str], pairs: list[tuple[int, int]], first: int, end: int) -> bool:
         """Whether a span has the names and numbers of its template, and no others.
@@ -219,37 +293,30 @@ class Scanner:
         """Diagonals to both sides that are aligned: all that the missing words of a template can shift."""
         return self.band + int((1 - LEAST_COVERAGE) * len(self.words[t]))
 
-    def possible(self, t: int, ids: np.ndarray, diagonal: int, least: float) -> bool:
-        """Whether the words in reach of the band are enough; never refuses a span that ``align`` would find."""
-        m = len(self.words[t])
-        near = ids[max(0, diagonal - self.reach(t)) : max(0, diagonal + m + self.reach(t))]
-        if len(near) / m < least:
-            return False
-        there = np.isin(self.words[t], near)
-        return there.sum() / m >= least
-
     def scan(self, text: str, least: float) -> list[tuple[str, float, int, int, int]]:
         """``(template, coverage, matched, first character, end)``, best first; spans of one template do not overlap."""
         lowered = text.lower()
         words = _WORD.findall(lowered)
         ids = self.hashed(words)
-        candidates = self.candidates(ids, least)
+        local = self.localized(ids)
+        candidates = self.candidates(ids, local, least)
         if not candidates:
             return []
         spans = [m.span() for m in _WORD.finditer(lowered)]
         found = []
-        for (t, _), diagonal in sorted(candidates.items()):
-            if not self.possible(t, ids, diagonal, least):
-                continue
-            pairs, first, end = align(ids, self.words[t], diagonal, self.reach(t))
-            matched = len(pairs)
-            coverage = matched / len(self.words[t])
-            if matched and coverage >= least and self.named_by(t, words, pairs, first, end):
-                found.append((self.names[t], coverage, matched, spans[first][0], spans[end - 1][1]))
+        for t, seeds in sorted(candidates.items()):
+            for pairs in self.aligned(t, local, seeds, least):
+                first, end = pairs[0][1], pairs[-1][1] + 1
+                if self.named_by(t, words, pairs, first, end):
+                    found.append((self.names[t], len(pairs) / len(self.words[t]), len(pairs), spans[first][0], spans[end - 1][1]))
         found.sort(key=lambda f: (-f[1], -f[2], f[0], f[3]))
         kept: list = []
         for f in found:
-            if not any(k[0] == f[0] and f[3] < k[4] and k[3] < f[4] for k in kept):
+            for k in kept:
+                common = min(f[4], k[4]) - max(f[3], k[3])
+                if common > 0 and (k[0] == f[0] or (k[1] > f[1] and common >= COVERED * (f[4] - f[3]))):
+                    break
+            else:
                 kept.append(f)
         return kept
 
@@ -271,9 +338,11 @@ def license_spans(
     """``(doc_id, license, coverage, n_spans, spans)`` for every row, without a shuffle.
 
     ``spans`` lists every template of which ``least_coverage`` or more is
-    found, with no other licence's name or number in the span.  A template of
-    ``SHORT`` or more words needs ``RUN`` equal words in a row, which deleted
-    and replaced words always leave; a shorter one needs all of its own names
+    found, with no other licence's name or number in the span, but for spans
+    of which another template covers ``COVERED`` with a larger coverage.  A
+    template of ``SHORT`` or more words needs ``RUN + window_of(words) - 1``
+    equal words in a row (3 for 12 words, 9 from 84 words on), which always
+    hold a winnowed fingerprint; a shorter one needs all of its own names
     and numbers, or any word where it has none.  Text words between the
     template's are bridged up to ``BAND`` and four tenths of the template.  Spans are in characters (of the
     ASCII words of the lower-cased text); ``license`` is the best one (larger

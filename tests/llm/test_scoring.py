@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -294,3 +295,39 @@ def test_license_scan_of_whole_texts():
     rest = bsd[bsd.index("Redistributions of source") :]  # the conditions without the opening
     assert "BSD-3-Clause" in {f[0] for f in scanner.scan(rest, 0.6)}
     assert not {f[0] for f in scanner.scan(licenses.TEXTS["GPL-3.0-header"], 0.6)} & {"LGPL-3.0-header", "AGPL-3.0-header", "GPL-2.0-header"}
+
+
+def test_license_alignment_is_the_full_one_in_its_band():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        text, template = rng.integers(0, 6, rng.integers(0, 40)), rng.integers(0, 6, rng.integers(1, 20))
+        pairs, score = licenses.align(text, template, -len(template), len(text))
+        m, n = len(template), len(text)
+        best = np.zeros((m + 1, n + 1), int)
+        for i in range(1, m + 1):
+            for j in range(1, n + 1):
+                hit = 2 if template[i - 1] == text[j - 1] else -1
+                best[i, j] = max(0, best[i - 1, j - 1] + hit, best[i - 1, j] - 1, best[i, j - 1] - 1)
+        assert score == best.max()
+        assert all(template[i] == text[j] for i, j in pairs)
+        assert all(a[0] < b[0] and a[1] < b[1] for a, b in zip(pairs, pairs[1:]))
+        low, high = sorted(rng.integers(-10, 30, 2).tolist())
+        assert all(low <= j - i <= high for i, j in licenses.align(text, template, low, high)[0])
+
+
+def test_license_scan_of_a_long_notices_file():
+    """Many licences in one text are all found, each by its own name, in bounded time."""
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    prose = "the of and to software any or in without with this that is a for be by as "
+    text = "".join(f"Part {k}.\n{licenses.TEXTS[name]}\n{prose * 40}\n" for k in range(4) for name in sorted(licenses.TEXTS))
+    start = time.process_time()
+    found = Counter(f[0] for f in scanner.scan(text, 0.6) if f[1] == 1.0)
+    assert time.process_time() - start < 60
+    assert all(found[name] >= 4 for name in licenses.TEXTS)
+    mit = licenses.TEXTS["MIT-full"]
+    assert "NCSA" not in {f[0] for f in scanner.scan(mit, 0.6)}
+    # a band that is cut into pieces finds what lies on a cut
+    ids = licenses._WORD.findall(mit.lower())
+    for before in (licenses.PIECE - len(ids), licenses.PIECE - len(ids) // 2, licenses.PIECE):
+        long = "the software " * (before // 2) + mit + " the software" * licenses.PIECE
+        assert max(f[1] for f in scanner.scan(long, 0.6) if f[0].startswith("MIT")) == 1.0
