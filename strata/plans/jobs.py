@@ -158,6 +158,6 @@ def run_from_landing(
     root = root or run_dir(spark, "lake")
     registry = csv.ingest(spark, landing_dir, f"{root}/raw", schemas)
     present = [r["table_name"] for r in registry.select("table_name").collect()]  # nine rows at most
-    catalog.register(spark, catalog.RAW_DATABASE, {t: f"{root}/raw/{t}" for t in present})
+    catalog.register(spark, catalog.RAW_DATABASE, {t: f"{root}/raw/{t}" for t in present}, schemas)
     sources = {t: catalog.source(spark, t) for t in present}
     return medallion.build(spark, sources, f"{root}/lake")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.plans import charts, jobs, kpis, medallion, quality
 from strata.plans.medallion import Lake
-from strata.sources import catalog
+from strata.sources import catalog, csv
 from strata.sources.fixtures import RAW_TABLES, raw_tables
 from strata.sources.schemas import RETAIL_SCHEMAS
 
@@ -44,7 +44,7 @@ def _model(name: str) -> Query:
 def ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The free-text review table through CSV landing → typed read → Parquet → read."""
     raw_dir, _ = jobs.ingest_tables(spark, raw_tables(spark, sf_dir), ("order_reviews",))
-    return spark.read.parquet(f"{raw_dir}/order_reviews")
+    return csv.raw_table(spark, raw_dir, "order_reviews", raw_tables(spark, sf_dir)["order_reviews"].schema)
 
 
 def _ingest(table: str) -> Query:
@@ -52,7 +52,7 @@ def _ingest(table: str) -> Query:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw_dir, _ = jobs.ingest_tables(spark, raw_tables(spark, sf_dir), (table,), RETAIL_SCHEMAS)
-        return spark.read.parquet(f"{raw_dir}/{table}")
+        return csv.raw_table(spark, raw_dir, table, RETAIL_SCHEMAS[table])
 
     run.__name__ = f"ingest_{table}"
     return run

@@ -38,19 +38,31 @@ def logical_name(database: Column) -> Column:
     return F.substring_index(database, "__", 1)
 
 
-def registration_sql(database: str, locations: Mapping[str, str]) -> list[str]:
-    """The statements that (re)register ``{table: location}`` in ``database``."""
+def _columns(schema: StructType) -> str:
+    return " (" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ")"
+
+
+def registration_sql(
+    database: str, locations: Mapping[str, str], schemas: Mapping[str, StructType] | None = None
+) -> list[str]:
+    """The statements that (re)register ``{table: location}`` in ``database``.
+
+    ``schemas``: declared columns, for tables whose files hold more; by default those of the files.
+    """
     statements = [f"CREATE DATABASE IF NOT EXISTS {database}"]
     for table, location in locations.items():
         statements.append(f"DROP TABLE IF EXISTS {database}.{table}")
+        columns = _columns(schemas[table]) if schemas else ""
         statements.append(
-            f"CREATE TABLE {database}.{table} USING PARQUET LOCATION '{_quoted(location)}'"
+            f"CREATE TABLE {database}.{table}{columns} USING PARQUET LOCATION '{_quoted(location)}'"
         )
     return statements
 
 
-def register(spark: SparkSession, database: str, locations: Mapping[str, str]) -> None:
-    for statement in registration_sql(database, locations):
+def register(
+    spark: SparkSession, database: str, locations: Mapping[str, str], schemas: Mapping[str, StructType] | None = None
+) -> None:
+    for statement in registration_sql(database, locations, schemas):
         spark.sql(statement)
 
 

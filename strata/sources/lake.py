@@ -64,6 +64,12 @@ def read_tables(spark: SparkSession, base: str, names: Sequence[str]) -> dict[st
     return {name: spark.read.parquet(f"{base}/{name}") for name in names}
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def new_version() -> str:
     """A folder name that sorts after those of earlier versions."""
     return f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"

@@ -19,6 +19,11 @@ from pyspark.sql.types import StructType
 PLACE = ("file", "range_start", "place")
 
 
+def file_hash() -> Column:
+    """A file by the hash of its path, as a file source sees it."""
+    return F.xxhash64("_metadata.file_path")
+
+
 def _quotes(line: str) -> Column:
     return F.length(line) - F.length(F.replace(F.col(line), F.lit('"'), F.lit("")))
 
@@ -26,7 +31,7 @@ def _quotes(line: str) -> Column:
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """``(file, range_start, place, line)``: physical lines, ``place`` rising inside a range."""
     return spark.read.option("lineSep", "\n").text(path).select(
-        F.xxhash64("_metadata.file_path").alias("file"),
+        file_hash().alias("file"),
         F.col("_metadata.file_block_start").alias("range_start"),
         F.monotonically_increasing_id().alias("place"),
         F.col("value").alias("line"),
@@ -139,9 +144,11 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def parsed(records: DataFrame, schema: StructType, header: list[str], options: dict[str, str]) -> DataFrame:
+def parsed(records: DataFrame, schema: StructType, header: list[str], options: dict[str, str], file_as: str | None = None) -> DataFrame:
     """The records' fields as columns of ``schema`` (text), without the header record of each file.
 
+    ``file_as``: name of a further column, the file's hash.
+
     A file's first record is its header and must hold the names in ``header``, in this order;
     another header is an error.
     """
@@ -152,4 +159,5 @@ def parsed(records: DataFrame, schema: StructType, header: list[str], options: d
     is_data = F.when(~F.col("is_first"), F.lit(True)).otherwise(
         F.when(names == "\u0001".join(header), F.lit(False)).otherwise(wrong.cast("boolean"))
     )
-    return rows.where(is_data).select(*[F.col("fields")[c].alias(c) for c in schema.names])
+    file = [F.col("file").alias(file_as)] if file_as else []
+    return rows.where(is_data).select(*[F.col("fields")[c].alias(c) for c in schema.names], *file)

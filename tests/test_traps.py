@@ -5,15 +5,18 @@ NULL groups, NULL keys, orphan rows and missing landing files."""
 from __future__ import annotations
 
 import datetime as dt
+import json
 from pathlib import Path
 
 import pytest
 from pyspark.errors import ArithmeticException, NumberFormatException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.plans import kpis, quality
 from strata.plans.medallion import Lake
 from strata.sources import csv
+from strata.sources import lake as lake_folders
 from strata.sources.schemas import RETAIL_SCHEMAS, LandingFile
 
 T = dt.datetime
@@ -236,6 +239,76 @@ def test_csv_columns_are_bound_by_header(spark, scratch):
         csv.read_csv(spark, f"{scratch}/pay", RETAIL_SCHEMAS["orders"])
 
 
+def _landing(d) -> list[LandingFile]:
+    """A payment folder of two files with three malformed cells, and a review file whose bad cell stands behind a line break."""
+    (d / "in" / "pay").mkdir(parents=True)
+    head = "order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
+    (d / "in" / "pay" / "a.csv").write_text(head + "o1,1,card,3,12.5\no2,first,card,2,oops\n")
+    (d / "in" / "pay" / "b.csv").write_text(head + "o3,1,card,2,1e\no4,,card,,\n")
+    (d / "in" / "rev.csv").write_text(
+        "review_id,order_id,review_score,review_comment_title,review_comment_message,review_creation_date,review_answer_timestamp\n"
+        'r1,o1,5,,"two\nlines",2018-01-01 00:00:00,2018-01-02 00:00:00\nr2,o2,4,,,yesterday,\n'
+    )
+    (d / "in" / "cat.csv").write_text("product_category_name,product_category_name_english\ncama,bed\n")
+    return [
+        LandingFile("pay", "order_payments"),
+        LandingFile("rev.csv", "order_reviews", multiline=True),
+        LandingFile("cat.csv", "category_translation"),
+    ]
+
+
+def test_rejected_cells_are_named(spark, scratch):
+    d = local(scratch)
+    files = _landing(d)
+    reg = csv.ingest(spark, f"{scratch}/in", f"{scratch}/raw", RETAIL_SCHEMAS, files).collect()
+    assert {r.table_name: (r.row_count, r.malformed_cells) for r in reg} == {
+        "order_payments": (4, 3), "order_reviews": (2, 1), "category_translation": (1, 0),
+    }
+    got = csv.rejected_cells(spark, f"{scratch}/raw").collect()
+    assert sorted((r.table_name, r.file_name.rsplit("/", 1)[1], json.loads(r.record).get("order_id"), r.column_name, r.cell) for r in got) == [
+        ("order_payments", "a.csv", "o2", "payment_sequential", "first"),
+        ("order_payments", "a.csv", "o2", "payment_value", "oops"),
+        ("order_payments", "b.csv", "o3", "payment_value", "1e"),
+        ("order_reviews", "rev.csv", "o2", "review_creation_date", "yesterday"),
+    ]
+    for f in files:
+        assert csv.raw_table(spark, f"{scratch}/raw", f.table, RETAIL_SCHEMAS[f.table]).columns == RETAIL_SCHEMAS[f.table].names
+    # the rejects come from the written rows, by the one column that holds them
+    plan = csv._rejects_of(spark, f"{scratch}/in", f"{scratch}/raw", files[0])._jdf.queryExecution().executedPlan().toString()
+    assert "csv" not in plan.lower().replace(".csv", "") and "IsNotNull(_rejected.file)" in plan
+
+
+def test_ingest_again_reads_changed_files_only(spark, scratch):
+    d = local(scratch)
+    files = _landing(d)
+    raw = d / "raw"
+
+    def run(schemas=RETAIL_SCHEMAS):
+        reg = csv.ingest(spark, f"{scratch}/in", f"{scratch}/raw", schemas, files).collect()
+        written = {f.table: sorted(p.name for p in (raw / f.table).glob("part-*")) for f in files}
+        return {r.table_name: (r.row_count, r.malformed_cells) for r in reg}, written
+
+    first, before = run()
+    assert run() == (first, before)
+    with (d / "in" / "pay" / "b.csv").open("a") as out:
+        out.write("o5,1,card,2,never\n")
+    second, after = run()
+    assert second == {**first, "order_payments": (5, 4)}
+    assert [t for t in before if before[t] != after[t]] == ["order_payments"]
+    cells = {r.cell for r in csv.rejected_cells(spark, f"{scratch}/raw").collect()}
+    assert cells == {"first", "oops", "1e", "never", "yesterday"}
+    (d / "in" / "pay" / "c.csv").write_text((d / "in" / "pay" / "a.csv").read_text())
+    third, later = run()
+    assert third["order_payments"] == (7, 6) and later["order_reviews"] == after["order_reviews"]
+    # another declared type, and a table whose write broke off, are read again
+    wide = {**RETAIL_SCHEMAS, "category_translation": StructType([StructField("product_category_name", StringType())])}
+    _, typed = run(wide)
+    assert [t for t in later if later[t] != typed[t]] == ["category_translation"]
+    lake_folders.remove(spark, f"{scratch}/raw/{csv.MANIFEST}/order_reviews")
+    _, last = run(wide)
+    assert [t for t in typed if typed[t] != last[t]] == ["order_reviews"]
+
+
 def test_landing_keeps_text_and_microseconds(spark, scratch):
     rows = [(" pad ", T(2018, 1, 5, 10).replace(microsecond=123456), "a\nb"), ("x ", None, 'q"x"'), (None, T(2018, 1, 5), ",")]
     df = spark.createDataFrame(rows, "a string, t timestamp_ntz, b string")
