@@ -1,14 +1,18 @@
 """Shards of equal row counts that keep equal texts together.
 
-Documents with equal texts are linked.  Large groups are planned first, one by
-one.  Balanced label propagation then moves the small ones, round by round, to
-the shards where most of their copies are, as far as the quotas of the shards
-allow; a group holds room only where it is admitted.  Small groups that found
-no room there go in a line into the room left in any shard, so only a group at
-the end of a shard is cut.  Copies that start in one shard and share a salt are
-one cell, since nothing tells them apart; joins and sums are over cells, so a
-group that holds a third of all rows is many cells.  Unlinked documents then
-fill every shard to its quota exactly.
+Documents with equal texts are linked.  Every document starts with the shard
+of a hash as its label.  Balanced label propagation then moves linked documents:
+each round joins them to the present labels of their neighbours and asks for
+the shard that holds most of them; a shard admits as many rows as its quota
+leaves free and its own leavers of the same round make free, so full shards
+swap.  Which shards are full is found anew every round, and quotas are a
+``SLACK``-th wider until the last.  Groups that are then apart or above a quota
+go in a line into the room left in any shard, so only a group at the end of a
+shard is cut; unlinked documents fill every shard to its quota
+exactly.  Groups of more than a ``LARGE``-th of a shard are planned before, one
+by one.  Copies with one label (and, in a large group, one salt) are one cell,
+since nothing tells them apart; joins and sums are over cells, so a group that
+holds a third of all rows is many cells.
 """
 
 from __future__ import annotations
@@ -21,13 +25,28 @@ from pyspark.sql import functions as F
 from strata.llm.scratch import Scratch
 
 SHARDS = 16
-#: Most rounds; they end when no group asks.  Every round but the last closes a shard or admits all that ask.
-ROUNDS = 24
+#: Most rounds; they end when no group is apart.  What is apart after the last goes in the line.
+ROUNDS = 8
 #: Groups of more than a shard's rows by this are planned one by one.
 LARGE = 32
 SALTS = 64
-ADMISSION_BUCKETS = 1024
+#: Turns in which the askers of a shard are admitted, in a round and at the end.
+TURNS = 64
+LAST_TURNS = 1024
+#: During the rounds a shard may hold its quota and this part of it more; without it full shards could not swap.
+SLACK = 16
 RANK_ROWS = 2_000
+#: Buckets whose counts are summed up in one task.
+SPAN = 4_096
+
+
+def _firsts(counts: DataFrame, by: list[str]) -> DataFrame:
+    """``(by, _b, _first)``: the sum of ``_n`` over the lower buckets ``_b``, ``SPAN`` buckets a task and then their sums."""
+    put = counts.withColumn("_s", F.floor(F.col("_b") / SPAN).cast("long"))
+    spans = put.groupBy(*by, "_s").agg(F.sum("_n").alias("_sn"))
+    before = spans.select(*by, "_s", (F.sum("_sn").over(Window.partitionBy(*by).orderBy("_s")) - F.col("_sn")).alias("_before"))
+    inside = F.sum("_n").over(Window.partitionBy(*by, "_s").orderBy("_b")) - F.col("_n")
+    return put.withColumn("_inside", inside).join(before, [*by, "_s"]).select(*by, "_b", (F.col("_before") + F.col("_inside")).alias("_first"))
 
 
 def _ranked(df: DataFrame, by: list[str], n: int, alias: str) -> DataFrame:
@@ -39,8 +58,7 @@ def _ranked(df: DataFrame, by: list[str], n: int, alias: str) -> DataFrame:
     buckets = max(1, -(-n // RANK_ROWS))
     put = df.withColumn("_b", F.pmod("r", F.lit(buckets)))
     counts = put.groupBy(*by, "_b").agg(F.count("*").alias("_n"))
-    upto = F.sum("_n").over(Window.partitionBy(*by).orderBy("_b"))
-    firsts = counts.select(*by, "_b", (upto - F.col("_n")).alias("_first"))
+    firsts = _firsts(counts, by)
     inner = Window.partitionBy(*by, "_b").orderBy("r", "doc_id")
     return (
         put.withColumn("_k", F.row_number().over(inner) - 1)
@@ -83,50 +101,101 @@ def _plan_groups(groups: list[tuple[str, int, list[int]]], room: list[int]) -> t
     return whole, cut
 
 
-def _propagate(groups: DataFrame, room: list[int], scratch: Scratch, rounds: int) -> DataFrame:
-    """``groups`` ``(gid, total, votes)`` with their ``shard``, null where no shard with copies could take them.
+def _admitted(asked: dict[tuple[int, int, int], int], room: list[int], turns: int) -> list[int]:
+    """For each shard the first turn that it does not admit; ``asked`` holds rows by (from, to, turn).
 
-    A group holds room only once it is admitted, as a whole; takes the admitted rows off ``room``.
+    A shard takes what its room and its own leavers of the same round allow.
+    All are admitted at first; a shard with too many takes fewer turns, which
+    keeps some leavers of others in place, until every shard can hold its rows.
     """
-    state = scratch.table(groups.withColumn("shard", F.lit(None).cast("int")), "small-0")
-    closed: set[int] = set()  # shards that could not take all that asked for them
+    shards = range(len(room))
+    upto = {(a, b): [0] * (turns + 1) for a in shards for b in shards}  # rows from a to b before a turn
+    for (a, b, t), n in asked.items():
+        upto[a, b][t + 1] += n
+    for sums in upto.values():
+        for t in range(turns):
+            sums[t + 1] += sums[t]
+    ends = [turns] * len(room)
+    while True:
+        leave = [sum(upto[s, to][ends[to]] for to in shards) for s in shards]
+        fewer = []
+        for s in shards:
+            e = ends[s]
+            while e and sum(upto[a, s][e] for a in shards) > max(0, room[s] + leave[s]):
+                e -= 1
+            fewer.append(e)
+        if fewer == ends:
+            return ends
+        ends = fewer
+
+
+def _asked(apart: DataFrame, full: set[int], k: int) -> DataFrame:
+    """Round ``k``: every cell ``(gid, n, shard)`` with the shard ``to`` that it asks for, its ``turn`` and the number of ``places`` of its group.
+
+    Cells are joined to the labels of their neighbours.  Shards that turned
+    askers down in the round before come last; then most neighbours, then a hash.
+    """
+    labels = apart.groupBy("gid", "shard").agg(F.sum("n").alias("v"))
+    open_ = ~F.col("shard").isin(*full) if full else F.lit(True)
+    tie = F.xxhash64("gid", "shard", F.lit(k))
+    best = F.max(F.struct(open_.alias("open"), F.col("v"), tie.alias("tie"), F.col("shard").alias("to")))
+    wish = labels.groupBy("gid").agg(best["to"].alias("to"), F.count("*").alias("places"))
+    turn = F.pmod(F.xxhash64("gid", F.lit(k)), F.lit(TURNS)).cast("int")
+    return apart.select("gid", "n", "shard").join(wish, "gid").withColumn("turn", turn)
+
+
+def _propagate(cells: DataFrame, room: list[int], scratch: Scratch, rounds: int) -> DataFrame:
+    """Groups ``(gid, total, shard)`` of the cells ``(gid, n, shard)``; the shard is null where a group is apart or found no room.
+
+    ``room`` holds the rows that each shard may take of these groups; takes the rows of groups with a shard off it.
+    """
+    here = scratch.table(cells, "apart-0")
+    held = {r["shard"]: r["n"] for r in here.groupBy("shard").agg(F.sum("n").alias("n")).collect()}  # a row a shard
+    left = [x + x // SLACK - held.get(s, 0) for s, x in enumerate(room)]
+    full = {s for s, x in enumerate(left) if x < 0}
+    whole = []
     for k in range(rounds):
-        open_shards = [s for s, x in enumerate(room) if x and s not in closed]
-        if not open_shards:
+        state = scratch.table(_asked(here, full, k), f"asked-{k}")
+        whole.append(state.where("places = 1").select("gid", "n", "shard"))
+        apart = state.where("places > 1")
+        moves = apart.where("shard <> to").groupBy("shard", "to", "turn").agg(F.sum("n").alias("n"))
+        asked = {(r["shard"], r["to"], r["turn"]): r["n"] for r in moves.collect()}  # shards x shards x TURNS rows at most
+        if not asked:
+            here = apart.select("gid", "n", "shard")
             break
-        most = F.array_max(F.array(*[F.struct(F.col("votes")[s].alias("v"), F.lit(-s).alias("s")) for s in open_shards]))
-        turn = F.pmod(F.xxhash64("gid", F.lit(k)), F.lit(ADMISSION_BUCKETS))
-        asked = (
-            state.withColumn("_m", most)
-            .withColumn("to", F.when(F.col("shard").isNull() & (F.col("_m.v") > 0), -F.col("_m.s")))
-            .withColumn("turn", turn)
-            .drop("_m")
-        )
-        wanted = asked.where("to is not null").groupBy("to", "turn").agg(F.sum("total").alias("n")).collect()  # shards x ADMISSION_BUCKETS rows at most
-        if not wanted:
-            break
-        ends, full = [0] * len(room), set()  # the first turn that a shard does not admit
-        for r in sorted(wanted, key=lambda r: (r["to"], r["turn"])):
-            s = r["to"]
-            if s in full:
-                continue
-            if r["n"] > room[s]:
-                full.add(s)
-                continue
-            room[s] -= r["n"]
-            ends[s] = r["turn"] + 1
-        closed |= full
-        go = F.col("to").isNotNull() & (F.col("turn") < _lookup(ends, F.coalesce("to", F.lit(0))))
-        state = scratch.table(asked.withColumn("shard", F.when(go, F.col("to")).otherwise(F.col("shard"))).drop("to", "turn"), f"small-{k + 1}")
-        scratch.drop(f"small-{k}")
-    return state
+        ends = _admitted(asked, left, TURNS)
+        full = {s for s, x in enumerate(left) if x < 0}
+        for (a, b, t), n in asked.items():
+            if t < ends[b]:
+                left[a] += n
+                left[b] -= n
+            else:
+                full.add(b)
+        here = apart.select("gid", "n", F.when(F.col("turn") < _lookup(ends, F.col("to")), F.col("to")).otherwise(F.col("shard")).alias("shard"))
+    for part in whole:
+        here = here.unionByName(part)
+    one = F.min("shard") == F.max("shard")
+    groups = here.groupBy("gid").agg(F.sum("n").alias("total"), F.when(one, F.min("shard")).alias("shard"))
+    groups = scratch.table(groups.withColumn("turn", F.pmod(F.xxhash64("gid"), F.lit(LAST_TURNS)).cast("int")), "propagated")
+    # now the quotas hold strictly: of a shard with too many rows, the groups of the last turns go in the line
+    sums = groups.where("shard is not null").groupBy("shard", "turn").agg(F.sum("total").alias("n"))
+    ends = [LAST_TURNS] * len(room)
+    for r in sorted(sums.collect(), key=lambda r: (r["shard"], r["turn"])):  # shards x LAST_TURNS rows at most
+        s = r["shard"]
+        if r["turn"] < ends[s]:
+            if r["n"] <= room[s]:
+                room[s] -= r["n"]
+            else:
+                ends[s] = r["turn"]
+    stays = F.col("turn") < _lookup(ends, F.coalesce("shard", F.lit(0)))
+    return groups.select("gid", "total", F.when(stays, F.col("shard")).alias("shard"))
 
 
 def _offsets(groups: DataFrame, n: int) -> DataFrame:
     """``(gid, first)``: running sums of ``total`` over the groups, ``n`` rows in all."""
     put = groups.withColumn("_b", F.pmod(F.xxhash64("gid"), F.lit(max(1, -(-n // RANK_ROWS)))))
     sums = put.groupBy("_b").agg(F.sum("total").alias("_n"))
-    firsts = sums.select("_b", (F.sum("_n").over(Window.orderBy("_b")) - F.col("_n")).alias("_first"))
+    firsts = _firsts(sums, [])
     upto = F.sum("total").over(Window.partitionBy("_b").orderBy("gid"))
     return (
         put.withColumn("_k", upto - F.col("total")).join(firsts, "_b").select("gid", (F.col("_first") + F.col("_k")).alias("first"))
@@ -156,19 +225,22 @@ def balanced_shards(
     shard; then the rest goes on to the next.  Of the groups of a shard's rows
     by ``LARGE`` or less, fewer than ``shards`` are cut.  Size is the UTF-8 bytes of the
     text plus 1.  Null text equals the empty text.  Null ids and repeated rows
-    are rows like others.  Empty table: empty result.
+    are rows like others, told apart by their place in the input, so which of
+    them has which slot follows from how the input is split.  Empty table: empty result.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     key = F.md5(text)
+    # written once with the rows, so all later steps see the same number
+    nth = F.monotonically_increasing_id()
     rows = scratch.table(
         docs.select(
             F.col(id_col).cast("long").alias("doc_id"),
             (F.octet_length(text) + 1).cast("long").alias("size"),
             F.crc32(text).alias("text_crc32"),
             F.unhex(key).alias("gid"),
-            F.pmod(F.xxhash64(F.lit(1), F.col(id_col)), F.lit(shards)).cast("int").alias("start"),
-            F.pmod(F.xxhash64(F.lit(2), F.col(id_col)), F.lit(SALTS)).cast("int").alias("salt"),
-            F.xxhash64(F.lit(3), F.col(id_col), key).alias("r"),
+            F.pmod(F.xxhash64(F.lit(1), F.col(id_col), nth), F.lit(shards)).cast("int").alias("start"),
+            F.pmod(F.xxhash64(F.lit(2), F.col(id_col), nth), F.lit(SALTS)).cast("int").alias("salt"),
+            F.xxhash64(F.lit(3), F.col(id_col), key, nth).alias("r"),
             *carry,
         ),
         "rows",
@@ -184,7 +256,8 @@ def balanced_shards(
     large = F.col("total") * LARGE > min(quotas)  # 2 x LARGE x shards groups at most
     listed = groups.where(large).select(F.hex("gid").alias("gid"), "total", "votes").collect()
     whole, cut = _plan_groups([(r["gid"], r["total"], list(r["votes"])) for r in listed], room)
-    small = _propagate(groups.where(~large), room, scratch, rounds)
+    of_small = cells.join(groups.where(~large).select("gid"), "gid").groupBy("gid", F.col("start").alias("shard")).agg(F.sum("n").alias("n"))
+    small = _propagate(of_small, room, scratch, rounds)
     left = small.where("shard is null")
     n_left = left.agg(F.sum("total")).first()[0] or 0
     # groups that are cut, then small groups that no shard with copies took, in a line; (end, shard) pieces of it

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -193,3 +194,96 @@ def test_shards_keep_large_groups_whole_or_in_few(spark, room):
         where.setdefault(text[r["doc_id"]], set()).add(r["shard"])
     assert len(where["group 0"]) == 6
     assert sum(len(s) > 1 for t, s in where.items() if t != "group 0") < 16
+
+
+def _rounds(cells, room, rounds, wishes):
+    """The label propagation stated again over a list; ``wishes`` gives ties and turns as the engine hashes them."""
+    label = {(g, s): n for g, s, n in cells}
+    left = [x + x // sharding.SLACK for x in room]
+    for (_, s), n in label.items():
+        left[s] -= n
+    full = {s for s, x in enumerate(left) if x < 0}
+    for k in range(rounds):
+        groups = {}
+        for (g, s), n in label.items():
+            groups.setdefault(g, {})[s] = n
+        moves = []
+        for g, at in groups.items():
+            if len(at) > 1:
+                to = max(at, key=lambda s: (s not in full, at[s], wishes[g, s, k][0]))
+                moves += [(wishes[g, s, k][1], s, to, g, n) for s, n in at.items() if s != to]
+        if not moves:
+            break
+        ends = [sharding.TURNS] * len(room)
+        while True:
+            go = [m for m in moves if m[0] < ends[m[2]]]
+            over = []
+            for s in range(len(room)):
+                allowed = max(0, left[s] + sum(m[4] for m in go if m[1] == s))
+                end = ends[s]
+                while sum(m[4] for m in moves if m[2] == s and m[0] < end) > allowed:
+                    end -= 1
+                over.append(end)
+            if over == ends:
+                break
+            ends = over
+        full = {s for s, x in enumerate(left) if x < 0}
+        for turn, s, to, g, n in moves:
+            if turn < ends[to]:
+                del label[g, s]
+                label[g, to] = label.get((g, to), 0) + n
+                left[s] += n
+                left[to] -= n
+            else:
+                full.add(to)
+    return label
+
+
+@pytest.mark.parametrize(("spare", "rounds"), [(0, 1), (0, 4), (3, 2), (40, 8)])
+def test_label_propagation_against_brute_force(spark, room, spare, rounds):
+    rng, shards = random.Random(spare), 4
+    cells = [(f"g{g}", s, rng.randint(1, 3)) for g in range(60) for s in rng.sample(range(shards), rng.randint(1, 3))]
+    quota = [sum(n for _, at, n in cells if at == s) + spare for s in range(shards)]
+    df = spark.createDataFrame(cells, "gid string, shard int, n long")
+    hashed = spark.range(rounds).select(F.col("id").cast("int").alias("k")).join(df.select("gid", "shard"), F.lit(True))
+    tie, turn = F.xxhash64("gid", "shard", "k"), F.pmod(F.xxhash64("gid", "k"), F.lit(sharding.TURNS))
+    wishes = {(r[0], r[1], r[2]): (r[3], r[4]) for r in hashed.select("gid", "shard", "k", tie, turn).collect()}
+    want = {}
+    for (g, s), n in _rounds(cells, quota, rounds, wishes).items():
+        want.setdefault(g, {})[s] = n
+    got = sharding._propagate(df.withColumn("gid", F.col("gid").cast("binary")), list(quota), room, rounds).collect()
+    assert len(got) == 60
+    for r in got:
+        at = want[bytes(r["gid"]).decode()]
+        assert r["total"] == sum(at.values())
+        assert r["shard"] == (next(iter(at)) if len(at) == 1 else None)
+
+
+def test_a_round_joins_cells_to_the_labels_of_their_neighbours(spark):
+    df = spark.createDataFrame([(b"a", 0, 1), (b"a", 1, 2), (b"b", 1, 1)], "gid binary, shard int, n long")
+    out = sharding._asked(df, {1}, 0)
+    assert "Join" in _plan(out) and not NO_PYTHON.search(_plan(out))
+    got = {(bytes(r["gid"]), r["shard"]): (r["to"], r["places"]) for r in out.collect()}
+    assert got == {(b"a", 0): (0, 2), (b"a", 1): (0, 2), (b"b", 1): (1, 1)}  # shard 1 is full, so shard 0 in spite of its fewer copies
+
+
+def test_propagation_settles_groups_while_all_rows_are_linked(spark, room):
+    cells = spark.range(16_000).select(
+        F.unhex(F.md5((F.col("id") / 2).cast("long").cast("string"))).alias("gid"),
+        F.pmod(F.xxhash64("id"), F.lit(16)).cast("int").alias("shard"),
+        F.lit(1).cast("long").alias("n"),
+    )
+    left = [1000] * 16
+    got = sharding._propagate(cells.groupBy("gid", "shard").agg(F.sum("n").alias("n")), left, room, sharding.ROUNDS)
+    settled = got.where("shard is not null").count()
+    assert min(left) >= 0 and sum(left) == 16_000 - 2 * settled
+    assert settled >= 7_200  # 8,000 groups; the others go in the line
+
+
+def test_shards_of_one_repeated_row(spark, room):
+    rows = [(None, "same")] * 3000 + [(7, "same")] * 1000 + [(8, "own")] * 500 + [(k, f"text {k}") for k in range(500)]
+    got = sharding.balanced_shards(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), room).collect()
+    _check_shards(got, 5000)
+    assert Counter(r["doc_id"] for r in got)[None] == 3000
+    cells = spark.read.parquet(f"{room.root}/all-cells").where("n > 1").agg(F.max("n")).first()[0]
+    assert cells < 40  # 4,000 rows in 1,024 cells
