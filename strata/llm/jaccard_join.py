@@ -11,9 +11,10 @@
 4. The token-group matrix tells which groups hold a token among the rarest of
    a class, as many as any partner must share one of.  Groups that meet there
    are paired, unless no sizes fit or all that met are connected already.  The
-   classes of the smaller group of a pair query the other: the overlap with its token
-   union bounds that with any member, and only a query that reaches the bound
-   opens the group and is compared exactly.
+   classes of the smaller group of a pair query the other: they meet its stored
+   token union, whose overlap bounds that with any member.  Only groups that a
+   query reaches the bound of are opened: their members are sent and compared
+   exactly with the queries that qualify.
 """
 
 from __future__ import annotations
@@ -46,9 +47,19 @@ _BLOBS = "slice int, toks binary, idx binary, sigs binary, ns binary, docs binar
 _INDEX = "kind byte, doc long, sig long, n int, toks array<long>, dfs array<int>"
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Bytes of equal weight together: the upper ones of sorted values compress well."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
+def _planed(values: np.ndarray, start: np.ndarray) -> pa.BinaryArray:
+    """One blob a part of ``values`` (parts begin at ``start``): bytes of equal weight together, as the upper ones of sorted values compress well."""
+    size, length = values.itemsize, np.diff(np.append(start, len(values)))
+    first, long = np.repeat(start, length), np.repeat(length, length)
+    at = np.arange(len(values)) - first + size * first
+    out, planes = np.empty(size * len(values), np.uint8), values.view(np.uint8).reshape(-1, size)
+    for k in range(size):
+        out[at + k * long] = planes[:, k]
+    return _blobs(out, size * np.append(start, len(values)))
+
+
+def _blobs(data: np.ndarray, cuts: np.ndarray) -> pa.BinaryArray:
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data)])
 
 
 def _unplaned(blob: bytes, dtype) -> np.ndarray:
@@ -70,23 +81,28 @@ def _send(slices: int, size: int):
         order = np.argsort(tokens)
         tokens, owner = tokens[order], owner[order]
         where = _slice_of(tokens, slices)
-        cut = np.searchsorted(where, np.arange(slices + 1))
-        rows = []
-        for s in range(slices):
-            a, b = cut[s], cut[s + 1]
-            if a < b:
-                here, idx = np.unique(owner[a:b], return_inverse=True)
-                rows.append(
-                    (s, _planes(tokens[a:b]), _planes(idx.astype(np.uint16)), sigs[here].tobytes(), ns[here].tobytes(), None, None)
-                )
+        # array steps over all parts at once: the cost follows the tokens, not the number of slices
+        start = np.flatnonzero(np.diff(where, prepend=-1))
+        part = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(where))))
+        held, local = np.unique(part * 65_536 + owner, return_inverse=True)
+        cuts = np.searchsorted(held, np.arange(len(start) + 1) * 65_536)
+        here, idx = held % 65_536, (local - cuts[part]).astype(np.uint16)
         ids = np.array([d if d is not None else 0 for d, _, _ in docs], np.int64)
         nulls = np.array([d is None for d, _, _ in docs], bool)
         rest = np.array([(g, n) for _, g, n in docs], np.int64).reshape(-1, 2)
-        rows.append((turn % slices, None, None, None, None, np.column_stack([ids, rest]).tobytes(), nulls.tobytes()))
-        return pa.RecordBatch.from_pylist(
-            [dict(zip(("slice", "toks", "idx", "sigs", "ns", "docs", "nulls"), r)) for r in rows],
-            schema=pa.schema([("slice", pa.int32()), *((c, pa.binary()) for c in ("toks", "idx", "sigs", "ns", "docs", "nulls"))]),
-        )
+        none = pa.nulls(1, pa.binary())
+        columns = [
+            (where[start], [turn % slices]),
+            (_planed(tokens, start), none),
+            (_planed(idx, start), none),
+            (_blobs(sigs[here].view(np.uint8), cuts * 8), none),
+            (_blobs(ns[here].view(np.uint8), cuts * 4), none),
+            (pa.nulls(len(start), pa.binary()), [np.column_stack([ids, rest]).tobytes()]),
+            (pa.nulls(len(start), pa.binary()), [nulls.tobytes()]),
+        ]
+        schema = pa.schema([("slice", pa.int32()), *((c, pa.binary()) for c in ("toks", "idx", "sigs", "ns", "docs", "nulls"))])
+        arrays = [pa.concat_arrays([pa.array(x, f.type), pa.array(y, f.type)]) for (x, y), f in zip(columns, schema)]
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, sets, docs, held, turn = WordHashes(), {}, [], 0, None
@@ -226,11 +242,6 @@ def _compare(percent: int):
 
         members = np.arange(split, len(sigs))
         queries = np.arange(split) if split else members
-        if split and len(members):
-            # the bound: a query that shares too few tokens with the group's union links with no member
-            union = np.unique(np.concatenate([sets[k] for k in members]))
-            bound = np.array([len(np.intersect1d(sets[k], union, assume_unique=True)) for k in queries])
-            queries = queries[bound * 100 >= ns[queries] * percent]
         for lo in range(0, len(queries), CHUNK):
             q = queries[lo : lo + CHUNK]
             if not len(members):
@@ -251,6 +262,27 @@ def _compare(percent: int):
     return run
 
 
+def _qualifying(percent: int):
+    """The queries (side 0) that share enough tokens with the token union of the group that they ask (side 1, one row).
+
+    A query that shares fewer with the union links with no member.
+    """
+
+    def run(rows: pa.Table) -> pa.Table:
+        lists = rows["toks"].combine_chunks()
+        offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+        side, n = rows["side"].to_numpy(), rows["n"].to_numpy().astype(np.int64)
+        at = int(np.flatnonzero(side == 1)[0])
+        union = np.sort(values[offsets[at] : offsets[at + 1]])
+        place = np.minimum(np.searchsorted(union, values), len(union) - 1)
+        upto = np.concatenate([[0], np.cumsum(union[place] == values)])
+        shared = upto[offsets[1:]] - upto[offsets[:-1]]
+        found = np.flatnonzero((side == 0) & (shared * 100 >= n * percent))
+        return rows.select(["other", "part", "sig"]).take(found)
+
+    return run
+
+
 def _grouped(cand: DataFrame, scratch: Scratch) -> DataFrame:
     """``cand`` with ``grp``: classes of an equal min-hash, in blocks of about ``BLOCK`` classes."""
     keyed = scratch.table(
@@ -310,6 +342,14 @@ def _cross_links(grouped: DataFrame, inner: DataFrame, scratch: Scratch, percent
     )
     asked = pairs.groupBy("other").agg(F.sum("q").alias("q"))
     asked = scratch.table(asked.select("other", F.ceil(F.col("q") / BLOCK).cast("int").alias("parts")), "asked")
+    unions = scratch.table(
+        grouped.withColumnRenamed("grp", "other")
+        .join(asked, "other")
+        .groupBy("other", "parts")
+        .agg(F.array_distinct(F.flatten(F.collect_list("toks"))).alias("toks")),  # of BLOCK similar classes
+        "unions",
+    )
+    part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     queries = (
         pairs.select("grp", "other")
         .join(asked, "other")
@@ -317,12 +357,13 @@ def _cross_links(grouped: DataFrame, inner: DataFrame, scratch: Scratch, percent
         .withColumn("part", F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int"))
         .select("other", "part", F.lit(0).alias("side"), "sig", "n", "toks")
     )
+    bounds = unions.select("other", part, F.lit(1).alias("side"), F.lit(0).cast("long").alias("sig"), F.lit(0).alias("n"), "toks")
+    found = queries.union(bounds).groupBy("other", "part").applyInArrow(_qualifying(percent), "other long, part int, sig long")
+    qualified = scratch.table(found, "qualified")
+    opened = scratch.table(qualified.select("other", "part").distinct(), "opened")
+    queries = qualified.join(grouped.select("sig", "n", "toks"), "sig").select("other", "part", F.lit(0).alias("side"), "sig", "n", "toks")
     members = (
-        grouped.withColumnRenamed("grp", "other")
-        .join(asked, "other")
-        .select(
-            "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(1).alias("side"), "sig", "n", "toks"
-        )
+        grouped.withColumnRenamed("grp", "other").join(opened, "other").select("other", "part", F.lit(1).alias("side"), "sig", "n", "toks")
     )
     return queries.union(members).groupBy("other", "part").applyInArrow(_compare(percent), "a long, b long")
 

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import random
 import re
+import time
 
 import numpy as np
+import pyarrow as pa
 
 from strata.llm import components as cc
 from strata.llm import embed_dedup, jaccard_join
@@ -144,3 +147,58 @@ def test_embeddings_against_brute_force(spark, room):
         assert {i: r["component_id"] for i, r in found.items()} == comp
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got)
     assert embed_dedup.embedding_links(df.limit(0), room).collect() == []
+
+
+def test_groups_open_only_where_a_query_reaches_the_bound(spark, room):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(9))
+    rows, doc = [], 0
+    for _ in range(12):
+        passage = [word() for _ in range(24)]  # in one text of each of two families: rare, but far from 80 %
+        for _ in range(2):
+            base = [word() for _ in range(200)]
+            for k in range(5):
+                text = list(base)
+                text[rng.randrange(200)] = word()
+                if k == 0:
+                    text[100:124] = passage
+                rows.append((doc := doc + 1, " ".join(text)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(map(tuple, jaccard_join.jaccard_components(df, room).collect()))
+    assert got == _brute_jaccard(rows)
+    table = lambda name: spark.read.parquet(f"{room.root}/{name}")
+    met, opened = table("directed").select("other").distinct().count(), table("opened").count()
+    assert opened < met
+    grouped = {r["sig"]: r for r in table("grouped").collect()}
+    unions = {r["other"]: set(r["toks"]) for r in table("unions").collect()}
+    asked = {(r["grp"], r["other"]) for r in table("directed").collect()}
+    qualified = {(r["sig"], r["other"]) for r in table("qualified").collect()}
+    for sig, r in grouped.items():
+        for grp, other in asked:
+            if grp == r["grp"]:
+                bound = len(set(r["toks"]) & unions[other]) * 100 >= r["n"] * 80
+                assert ((sig, other) in qualified) == bound
+
+
+def test_sender_round_trip_and_cost_at_many_slices():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(map(str, rng.integers(0, 50_000, 400))) for _ in range(1500)] + ["", "one two", None]
+    batch = pa.RecordBatch.from_pylist([{"doc": k, "text": t} for k, t in enumerate(texts)])
+    hashes, took = jaccard_join.WordHashes(), {}
+    want = {tuple(jaccard_join.shingle_set(t.encode(), hashes)) for t in texts if t}
+    for slices in (64, 2_500, 80_000):
+        start = time.perf_counter()
+        out = pa.Table.from_batches(list(jaccard_join._send(slices, 5)(iter([batch])))).to_pylist()
+        took[slices] = time.perf_counter() - start
+        sets = {}
+        for r in out:
+            if r["docs"] is not None:
+                assert [d for d, _, _ in np.frombuffer(r["docs"], np.int64).reshape(-1, 3)] == list(range(len(texts)))
+                continue
+            tokens, idx = jaccard_join._unplaned(r["toks"], np.uint64), jaccard_join._unplaned(r["idx"], np.uint16)
+            assert set(jaccard_join._slice_of(tokens, slices)) == {r["slice"]}
+            for t, g in zip(tokens, np.frombuffer(r["sigs"], np.int64)[idx]):
+                sets.setdefault(g, set()).add(t)
+        assert {tuple(sorted(x)) for x in sets.values()} == want
+    assert took[80_000] < 3 * took[2_500] + 0.2
+    assert [len(list(jaccard_join._send(64, 5)(iter([batch.slice(1500, 1)]))))] == [1]  # no tokens: the document row only
