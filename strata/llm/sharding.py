@@ -35,7 +35,7 @@ TURNS = 64
 LAST_TURNS = 1024
 #: During the rounds a shard may hold its quota and this part of it more; without it full shards could not swap.
 SLACK = 16
-RANK_ROWS = 2_000
+RANK_ROWS = 500
 #: Buckets whose counts are summed up in one task.
 SPAN = 4_096
 
