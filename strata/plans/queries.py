@@ -13,15 +13,26 @@ from pyspark.sql import functions as F
 
 from strata.plans import charts, jobs, kpis, medallion, quality
 from strata.plans.medallion import Lake
+from strata.session import sized_session, stored_bytes
 from strata.sources import catalog, csv
-from strata.sources.fixtures import RAW_TABLES, raw_tables
+from strata.sources.fixtures import DRIVER_TABLES, RAW_TABLES, RawTables, raw_tables
 from strata.sources.schemas import RETAIL_SCHEMAS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def sized(spark: SparkSession, sf_dir: str) -> SparkSession:
+    """The session whose shuffles fit the tables of ``sf_dir``."""
+    return sized_session(spark, stored_bytes(spark, [f"{sf_dir}/{t}.parquet" for t in DRIVER_TABLES]))
+
+
+def _raw(spark: SparkSession, sf_dir: str) -> tuple[SparkSession, RawTables]:
+    spark = sized(spark, sf_dir)
+    return spark, raw_tables(spark, sf_dir)
+
+
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
-    return Lake(raw_tables(spark, sf_dir))
+    return Lake(_raw(spark, sf_dir)[1])
 
 
 def _on_lake(fn: Callable[[Lake], DataFrame]) -> Query:
@@ -43,15 +54,17 @@ def _model(name: str) -> Query:
 
 def ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The free-text review table through CSV landing → typed read → Parquet → read."""
-    raw_dir, _ = jobs.ingest_tables(spark, raw_tables(spark, sf_dir), ("order_reviews",))
-    return csv.raw_table(spark, raw_dir, "order_reviews", raw_tables(spark, sf_dir)["order_reviews"].schema)
+    spark, raw = _raw(spark, sf_dir)
+    raw_dir, _ = jobs.ingest_tables(spark, raw, ("order_reviews",))
+    return csv.raw_table(spark, raw_dir, "order_reviews", raw["order_reviews"].schema)
 
 
 def _ingest(table: str) -> Query:
     """One table through CSV landing and the declared retail schema, whole."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        raw_dir, _ = jobs.ingest_tables(spark, raw_tables(spark, sf_dir), (table,), RETAIL_SCHEMAS)
+        spark, raw = _raw(spark, sf_dir)
+        raw_dir, _ = jobs.ingest_tables(spark, raw, (table,), RETAIL_SCHEMAS)
         return csv.raw_table(spark, raw_dir, table, RETAIL_SCHEMAS[table])
 
     run.__name__ = f"ingest_{table}"
@@ -60,7 +73,7 @@ def _ingest(table: str) -> Query:
 
 def ingest_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All nine landing files ingested; rows and malformed cells per loaded table."""
-    _, registry = jobs.ingest_tables(spark, raw_tables(spark, sf_dir), schemas=RETAIL_SCHEMAS)
+    _, registry = jobs.ingest_tables(*_raw(spark, sf_dir), schemas=RETAIL_SCHEMAS)
     return registry
 
 
@@ -71,7 +84,7 @@ _REGISTERED: dict[tuple[str, str], jobs.Registration] = {}
 def registered(spark: SparkSession, sf_dir: str) -> jobs.Registration:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _REGISTERED:
-        _REGISTERED[key] = jobs.register_lake(spark, raw_tables(spark, sf_dir))
+        _REGISTERED[key] = jobs.register_lake(*_raw(spark, sf_dir))
     return _REGISTERED[key]
 
 
@@ -102,7 +115,8 @@ def _on_catalog(name: str, fn: Callable[[Lake], DataFrame]) -> Query:
     """A business question over the registered star tables, as production asks it."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Lake.from_catalog(spark, {"gold": registered(spark, sf_dir).star_database}, ("gold",)))
+        star = registered(spark, sf_dir).star_database
+        return fn(Lake.from_catalog(sized(spark, sf_dir), {"gold": star}, ("gold",)))
 
     run.__name__ = name
     return run
@@ -119,16 +133,16 @@ def _report_section(name: str, fn: Callable[[Lake], DataFrame]) -> Query:
 
 
 def medallion_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.medallion_build(spark, raw_tables(spark, sf_dir))
+    return jobs.medallion_build(*_raw(spark, sf_dir))
 
 
 def medallion_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze, then silver alone: the silver run reads bronze from the catalog."""
-    return jobs.medallion_build(spark, raw_tables(spark, sf_dir), ("bronze", "silver"))
+    return jobs.medallion_build(*_raw(spark, sf_dir), ("bronze", "silver"))
 
 
 def star_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.star_roundtrip(spark, raw_tables(spark, sf_dir))
+    return jobs.star_roundtrip(*_raw(spark, sf_dir))
 
 
 def preview_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

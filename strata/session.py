@@ -13,6 +13,7 @@ from __future__ import annotations
 import atexit
 import re
 import uuid
+from collections.abc import Iterable
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
@@ -72,6 +73,55 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+#: Bytes of Parquet input behind one shuffle partition.
+PARTITION_BYTES = 4 << 20
+#: Bytes of Parquet that one task reads, and of shuffled data that AQE merges into one task.
+READ_BYTES = 16 << 20
+MERGE_BYTES = 32 << 20
+#: Settings for them, with Spark's defaults; a caller's own choice stays.
+TASK_CONF = {
+    "spark.sql.files.maxPartitionBytes": ("134217728b", READ_BYTES),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": ("67108864b", MERGE_BYTES),
+}
+
+
+def stored_bytes(spark: SparkSession, paths: Iterable[str]) -> int:
+    """Bytes of the files below ``paths`` (absent ones count nothing), from the file system's listing."""
+    total = 0
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(folder):
+            total += fs.getContentSummary(folder).getLength()
+    return total
+
+
+def sized_session(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """A session with the caller's settings whose tasks stay small however large the input is.
+
+    AQE merges shuffle partitions but never adds any, and a task that reads
+    well compressed Parquet sorts many times the bytes it reads: with fixed
+    numbers both sorts grow with the input until they spill.  The caller's
+    session is not changed, and is returned itself where its settings are enough.
+    """
+    name = "spark.sql.shuffle.partitions"
+    needed = -(-input_bytes // PARTITION_BYTES)
+    if needed <= int(spark.conf.get(name)) and input_bytes <= READ_BYTES:
+        return spark
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.get(key, None) != value:
+            try:
+                own.conf.set(key, value)
+            except PySparkException:  # a setting of the whole application
+                continue
+    own.conf.set(name, str(max(needed, int(spark.conf.get(name)))))
+    for key, (default, size) in TASK_CONF.items():
+        if own.conf.get(key) == default:
+            own.conf.set(key, str(size))
+    return own
+
+
 _RUN_DIRS: list[tuple[SparkSession, str]] = []
 
 

@@ -17,6 +17,10 @@ from strata.parallel import DEFAULT_THREADS, run_all
 KEEP_VERSIONS = 2
 
 
+#: Codec of the lake's Parquet files: smaller than snappy's, and no slower to write.
+CODEC = "zstd"
+
+
 @dataclass(frozen=True)
 class Written:
     """A written folder with the row count and content digest taken while it was written."""
@@ -32,7 +36,7 @@ class Written:
 
 def write_table(df: DataFrame, path: str) -> None:
     """Full rebuild of one lake table as Parquet."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", CODEC).parquet(path)
 
 
 def write_digested(df: DataFrame, path: str) -> Written:
