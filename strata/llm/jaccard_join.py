@@ -40,7 +40,7 @@ COLUMNS = 8_192
 #: Bytes of text behind one hash range (its tokens are sorted in one task's memory).
 RANGE_BYTES = 12_000_000
 #: Tokens and documents gathered before a task sends blobs.
-FLUSH_TOKENS = 2_000_000
+FLUSH_TOKENS = 1_000_000
 FLUSH_DOCS = 60_000
 
 _BLOBS = "slice int, toks binary, idx binary, sigs binary, ns binary, docs binary, nulls binary"

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 import time
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -202,3 +203,20 @@ def test_sender_round_trip_and_cost_at_many_slices():
         assert {tuple(sorted(x)) for x in sets.values()} == want
     assert took[80_000] < 3 * took[2_500] + 0.2
     assert [len(list(jaccard_join._send(64, 5)(iter([batch.slice(1500, 1)]))))] == [1]  # no tokens: the document row only
+
+
+def test_the_senders_batch_is_small_beside_an_executor():
+    texts = [" ".join(f"w{k}-{i % 40}x{(i * 7919 + k) % 5003}" for i in range(1_000)) for k in range(50)]
+    texts = [f"{t} {n}" for n in range(46) for t in texts]  # 2.3 million shingles, equal ones held once a text
+    batches = [
+        pa.record_batch([pa.array(range(lo, lo + 100)), pa.array(texts[lo : lo + 100])], names=["doc", "text"])
+        for lo in range(0, len(texts), 100)
+    ]
+    tracemalloc.start()
+    try:
+        rows = sum(b.num_rows for b in jaccard_join._send(64, 5)(iter(batches)))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows > 64
+    assert peak < 140_000_000, peak
