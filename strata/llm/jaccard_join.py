@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.components import components
@@ -42,6 +42,10 @@ RANGE_BYTES = 12_000_000
 #: Tokens and documents gathered before a task sends blobs.
 FLUSH_TOKENS = 1_000_000
 FLUSH_DOCS = 60_000
+#: Bits of one bitmap of ``bitmap_construct_agg``, bits for every row marked, and the most bitmaps (8 MB).
+BITMAP = 32_768
+BITS_A_ROW = 16
+MOST_BITMAPS = 2_048
 
 _BLOBS = "slice int, toks binary, idx binary, sigs binary, ns binary, docs binary, nulls binary"
 _INDEX = "kind byte, doc long, sig long, n int, toks array<long>, dfs array<int>"
@@ -433,6 +437,26 @@ def jaccard_components(
     )
 
 
+def _marked(docs: DataFrame, name: Column, rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """``docs`` cut in two: those whose ``name`` is surely not in ``rows (row)``, and the rest.
+
+    The rest holds all that is in ``rows``, and what shares a bit of a bitmap of
+    bounded size with it: the more rows, the more of ``docs`` is in the rest.
+    """
+    rows = scratch.table(rows, "marked")
+    maps = min(MOST_BITMAPS, 2 ** (rows.count() * BITS_A_ROW // BITMAP).bit_length())
+    place = lambda c: F.pmod(c, F.lit(maps * BITMAP).cast("long"))
+    at, bits = fresh(docs, "_at"), fresh(docs, "_bits")
+    marks = rows.select(place(F.col("row")).alias("place")).groupBy(F.floor(F.col("place") / BITMAP).alias(at))
+    marks = scratch.table(marks.agg(F.bitmap_construct_agg(F.col("place") % BITMAP).alias(bits)), "marks")
+    here = place(name) % BITMAP
+    byte = F.substr(F.col(bits), F.floor(here / 8).cast("int") + 1, F.lit(1))
+    hit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), (here % 8).cast("int"))
+    looked = docs.join(F.broadcast(marks), F.floor(place(name) / BITMAP) == F.col(at), "left")
+    found = F.coalesce(hit, F.lit(0)) == 1
+    return looked.where(~found).drop(at, bits), looked.where(found).drop(at, bits)
+
+
 def one_of_each_group(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
     """One row of every group of linked texts, that of the smallest id, with its own columns.
 
@@ -458,14 +482,16 @@ def one_of_each_group(docs: DataFrame, scratch: Scratch, **options) -> DataFrame
     chosen = scratch.table(
         members.join(best, "grp").select("row", "sure", "times", (F.col("row") == F.col("best")).alias("stays")), "chosen"
     )
+    # only what is removed or comes again meets a shuffle; the other texts are told apart by a bitmap
+    removed = chosen.where(F.col("sure") & ~F.col("stays"))
+    comes_again = chosen.where(F.col("sure") & F.col("stays") & (F.col("times") > 1))
+    free, held = _marked(docs, name, removed.select("row").union(comes_again.select("row")), scratch)
     gone = fresh(docs, "_gone")
-    left = docs.join(
-        chosen.where(F.col("sure") & ~F.col("stays")).select(F.col("row").alias(gone)), name == F.col(gone), "left_anti"
-    )
+    left = held.join(removed.select(F.col("row").alias(gone)), name == F.col(gone), "left_anti")
     # rows that repeat a chosen row wholly: one of them stays
-    again = chosen.where(F.col("sure") & F.col("stays") & (F.col("times") > 1)).select(F.col("row").alias(gone))
+    again = comes_again.select(F.col("row").alias(gone))
     single = left.join(again, name == F.col(gone), "left_anti")
     rank = fresh(docs, "_rank")
     first = Window.partitionBy(name).orderBy(name)
     repeated = left.join(again, name == F.col(gone), "left_semi").withColumn(rank, F.row_number().over(first))
-    return single.unionByName(repeated.where(F.col(rank) == 1).drop(rank))
+    return free.unionByName(single).unionByName(repeated.where(F.col(rank) == 1).drop(rank))

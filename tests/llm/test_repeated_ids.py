@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 
+from pyspark.sql import functions as F
+
 from strata.llm import decontam, embed_dedup, jaccard_join, line_dedup, mixing
 
 DOC = "doc_id long, text string"
@@ -72,3 +74,35 @@ def test_columns_named_like_our_own(spark, room):
     assert mixed.columns == df.columns and mixed.count() > 0 and mixed.first()["_copy"] == 3
     one = jaccard_join.one_of_each_group(df, room)
     assert one.columns == df.columns and one.count() == 4
+
+
+def test_texts_that_stay_meet_no_shuffle(spark, room):
+    """Only rows that are removed or come again are shuffled with their texts, however large the tables are."""
+    texts = [" ".join(f"w{k}x{j}" for j in range(9)) for k in range(300)]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(1000 + k, texts[k]) for k in range(20)] + [(5, texts[5])] * 2 + [(None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        one = jaccard_join.one_of_each_group(df, room)
+        plan = one._jdf.queryExecution().sparkPlan()
+        got = sorted((tuple(r) for r in one.collect()), key=str)
+    finally:
+        spark.conf.set(name, was)
+    assert got == sorted([(k, t) for k, t in enumerate(texts)] + [(None, None)], key=str)
+    free = plan.children().apply(0).toString()
+    assert "BroadcastHashJoin" in free and "SortMergeJoin" not in free and "text" in free
+
+
+def test_marked_rows_are_all_in_the_rest(spark, room):
+    df = spark.range(5000).selectExpr("id", "id * 7919 as _AT", "cast(null as binary) as _bits")
+    name = F.xxhash64("id")
+    rows = df.where("id % 50 = 3").select(name.alias("row"))
+    free, held = jaccard_join._marked(df, name, rows, room)
+    found = {r["id"] for r in held.collect()}
+    assert {k for k in range(5000) if k % 50 == 3} <= found and len(found) < 1000
+    assert found.isdisjoint(r["id"] for r in free.collect()) and free.count() == 5000 - len(found)
+    assert free.columns == held.columns == df.columns
+    free, held = jaccard_join._marked(df, name, rows.limit(0), room)
+    assert free.count() == 5000 and held.count() == 0
