@@ -10,23 +10,31 @@ model runs as soon as its own inputs are written and reads them back, so
 lineage is cut at every model — an executor lost in the gold layer never
 recomputes bronze.  Each run writes folders of its own version and publishes
 them together at the end.  A ``layer`` filter runs one layer only, reading
-upstream layers from the catalog.
+upstream layers from the catalog.  Of the large models that shuffle their rows
+one runs at a time, and its shuffle files go when it is written, so that the
+disk holds one model's shuffle beside the lake and not those of all models.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Collection, Mapping
+from contextlib import nullcontext
 from dataclasses import dataclass
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.parallel import DEFAULT_THREADS, run_graph
 from strata.plans import models as m
+from strata.session import scanned_bytes, tidy_session
 from strata.sources import catalog, lake
 
 SOURCE = "source:"
 LAYERS = ("bronze", "silver", "gold")
 
+#: Bytes of stored input from which a model that shuffles its rows runs while no other such model does.
+ALONE_BYTES = 64 << 20
+
 
 @dataclass(frozen=True)
 class Model:
@@ -35,12 +43,18 @@ class Model:
     layer: str
     inputs: tuple[str, ...]  # "source:<raw table>" or another model's name
     fn: Callable[..., DataFrame]
+    shuffles: bool = False  # its rows go through a shuffle as they are, not as groups or beside a small table
 
 
 def _bronze(table: str) -> Model:
     return Model(f"bronze_{table}", table, "bronze", (SOURCE + table,), m.bronze)
 
 
+def _order_fact(name: str, lines: str, fn: Callable[..., DataFrame]) -> Model:
+    """Lines joined with their orders."""
+    return Model(name, name, "gold", (lines, "silver_orders"), fn, shuffles=True)
+
+
 # Dependency order: every model appears after its inputs.
 # Model, layer and table names are what readers of the lake expect.
 MODELS: tuple[Model, ...] = (
@@ -64,7 +78,12 @@ MODELS: tuple[Model, ...] = (
         m.silver_order_payments,
     ),
     Model(
-        "silver_order_reviews", "order_reviews", "silver", ("bronze_order_reviews",), m.silver_order_reviews
+        "silver_order_reviews",
+        "order_reviews",
+        "silver",
+        ("bronze_order_reviews",),
+        m.silver_order_reviews,
+        shuffles=True,
     ),
     Model("silver_orders", "orders", "silver", ("bronze_orders",), m.silver_orders),
     Model(
@@ -81,11 +100,9 @@ MODELS: tuple[Model, ...] = (
     Model("dim_product", "dim_product", "gold", ("silver_products",), m.dim_product),
     Model("dim_seller", "dim_seller", "gold", ("silver_sellers",), m.dim_seller),
     Model("fact_orders", "fact_orders", "gold", ("silver_orders",), m.fact_orders),
-    Model(
-        "fact_payments", "fact_payments", "gold", ("silver_order_payments", "silver_orders"), m.fact_payments
-    ),
-    Model("fact_reviews", "fact_reviews", "gold", ("silver_order_reviews", "silver_orders"), m.fact_reviews),
-    Model("fact_sales", "fact_sales", "gold", ("silver_order_items", "silver_orders"), m.fact_sales),
+    _order_fact("fact_payments", "silver_order_payments", m.fact_payments),
+    _order_fact("fact_reviews", "silver_order_reviews", m.fact_reviews),
+    _order_fact("fact_sales", "silver_order_items", m.fact_sales),
 )
 
 BY_NAME: dict[str, Model] = {x.name: x for x in MODELS}
@@ -189,6 +206,7 @@ def build(
     threads.  The inventory's row counts and digests are sums of the writes
     themselves.  A model that needs an absent source is left out, and so is
     what depends on it.  Older versions than the one replaced are removed.
+    Models that shuffle ``ALONE_BYTES`` of input or more do so one at a time.
     """
     if layer is not None and layer not in LAYERS:
         raise ValueError(f"unknown layer {layer!r}; expected one of {LAYERS}")
@@ -199,6 +217,7 @@ def build(
         raise ValueError("no model can be built from the sources given")
     version = lake.new_version()
     written: dict[str, lake.Written] = {}
+    own, one_shuffle = tidy_session(spark), Lock()
 
     def write(spec: Model) -> None:
         args = []
@@ -206,12 +225,13 @@ def build(
             if ref.startswith(SOURCE):
                 args.append(sources[ref[len(SOURCE) :]])
             elif ref in written:
-                args.append(written[ref].read(spark))
+                args.append(written[ref].read(own))
             else:
-                args.append(spark.table(table_name(BY_NAME[ref], databases)))
-        written[spec.name] = lake.write_digested(
-            spec.fn(*args), f"{root}/{spec.layer}/{spec.alias}/{version}"
-        )
+                args.append(own.table(table_name(BY_NAME[ref], databases)))
+        with one_shuffle if spec.shuffles and scanned_bytes(args) >= ALONE_BYTES else nullcontext():
+            written[spec.name] = lake.write_digested(
+                spec.fn(*args), f"{root}/{spec.layer}/{spec.alias}/{version}"
+            )
 
     run_graph(
         {name: ([i for i in spec.inputs if i in specs], lambda spec=spec: write(spec)) for name, spec in specs.items()},

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.plans import charts, jobs, kpis, medallion, quality
 from strata.plans.medallion import Lake
-from strata.session import sized_session, stored_bytes
+from strata.session import sized_session, stored_bytes, tidy_session
 from strata.sources import catalog, csv
 from strata.sources.fixtures import DRIVER_TABLES, RAW_TABLES, RawTables, raw_tables
 from strata.sources.schemas import RETAIL_SCHEMAS
@@ -31,6 +31,11 @@ def _raw(spark: SparkSession, sf_dir: str) -> tuple[SparkSession, RawTables]:
     return spark, raw_tables(spark, sf_dir)
 
 
+def _tidy_raw(spark: SparkSession, sf_dir: str) -> tuple[SparkSession, RawTables]:
+    spark = tidy_session(sized(spark, sf_dir))
+    return spark, raw_tables(spark, sf_dir)
+
+
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
     return Lake(_raw(spark, sf_dir)[1])
 
@@ -133,12 +138,12 @@ def _report_section(name: str, fn: Callable[[Lake], DataFrame]) -> Query:
 
 
 def medallion_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.medallion_build(*_raw(spark, sf_dir))
+    return jobs.medallion_build(*_tidy_raw(spark, sf_dir))
 
 
 def medallion_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze, then silver alone: the silver run reads bronze from the catalog."""
-    return jobs.medallion_build(*_raw(spark, sf_dir), ("bronze", "silver"))
+    return jobs.medallion_build(*_tidy_raw(spark, sf_dir), ("bronze", "silver"))
 
 
 def star_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

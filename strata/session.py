@@ -17,7 +17,7 @@ from collections.abc import Iterable
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale: AQE re-plans joins from runtime sizes,
 # coalesces small shuffle partitions and splits skewed join partitions.
@@ -96,6 +96,45 @@ def stored_bytes(spark: SparkSession, paths: Iterable[str]) -> int:
     return total
 
 
+def scanned_bytes(frames: Iterable[DataFrame]) -> int:
+    """Bytes of the tables and files that the plans of ``frames`` read, whole."""
+    total = 0
+    for df in frames:
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+        total += sum(int(leaves.apply(k).stats().sizeInBytes()) for k in range(leaves.size()))
+    return total
+
+
+#: Removes a query's shuffle files when it ends, not when the driver's garbage collection meets them.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def tidy_session(spark: SparkSession) -> SparkSession:
+    """A session with the caller's settings whose queries leave no shuffle files, for jobs of many writes.
+
+    A write's shuffle is of no use after it, but stays on the executors' disks
+    until the driver collects garbage, which a driver with little to do hardly
+    ever does.  The caller's session is not changed.
+    """
+    if spark.conf.get(TIDY, None) == "true":
+        return spark
+    own = _copy(spark)
+    own.conf.set(TIDY, "true")
+    return own
+
+
+def _copy(spark: SparkSession) -> SparkSession:
+    """A new session with the caller's settings."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.get(key, None) != value:
+            try:
+                own.conf.set(key, value)
+            except PySparkException:  # a setting of the whole application
+                continue
+    return own
+
+
 def sized_session(spark: SparkSession, input_bytes: int) -> SparkSession:
     """A session with the caller's settings whose tasks stay small however large the input is.
 
@@ -108,13 +147,7 @@ def sized_session(spark: SparkSession, input_bytes: int) -> SparkSession:
     needed = -(-input_bytes // PARTITION_BYTES)
     if needed <= int(spark.conf.get(name)) and input_bytes <= READ_BYTES:
         return spark
-    own = spark.newSession()
-    for key, value in spark.conf.getAll.items():
-        if own.conf.get(key, None) != value:
-            try:
-                own.conf.set(key, value)
-            except PySparkException:  # a setting of the whole application
-                continue
+    own = _copy(spark)
     own.conf.set(name, str(max(needed, int(spark.conf.get(name)))))
     for key, (default, size) in TASK_CONF.items():
         if own.conf.get(key) == default:
